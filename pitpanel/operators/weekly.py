@@ -28,9 +28,8 @@ def clean_weekly(df: DataFrame, date_format: str | None = None) -> DataFrame:
     if "date" not in df.columns:
         raise KeyError("clean_weekly: 'date' column not found.")
     raw = F.col("date").cast("string")
-    parsed = F.try_to_date(raw, F.lit(date_format)) if date_format else F.coalesce(
-        F.try_to_date(raw, F.lit("yyyy-MM-dd")), F.try_to_date(raw, F.lit("yyyyMMdd")),
-        F.try_to_date(raw, F.lit("M/d/yyyy")))
+    parsed = F.try_to_date(raw, date_format) if date_format else F.coalesce(
+        F.try_to_date(raw, "yyyy-MM-dd"), F.try_to_date(raw, "yyyyMMdd"), F.try_to_date(raw, "M/d/yyyy"))
     if dict(df.dtypes)["date"] == "date":
         parsed = F.col("date")
     out = df.withColumn("date", parsed).filter(F.col("date").isNotNull())

@@ -139,6 +139,235 @@ def q_j1(spark, sf_dir):
     return panel_df(spark, sf_dir)
 
 
+# ------------------------------------------------------------------ targets
+TREND_SQL = O.with_ctes(["annual"], """
+SELECT state, county, county_fips, crop, year, value AS actual_yield, expected_yield,
+  value - expected_yield AS yield_anomaly,
+  CASE WHEN expected_yield IS NOT NULL AND expected_yield <> 0
+       THEN ((value - expected_yield) / expected_yield) * 100.0 END AS yield_anomaly_pct
+FROM (SELECT *, CASE WHEN count(value) OVER w >= 5
+             THEN regr_intercept(value, cast(year - 2000 AS double)) OVER w
+                  + regr_slope(value, cast(year - 2000 AS double)) OVER w * cast(year - 2000 AS double) END AS expected_yield
+      FROM annual WINDOW w AS (PARTITION BY state, county_fips, crop ORDER BY year
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""")
+
+
+@register("w3_expected_trend", TREND_SQL, TARGET_DOUBLES,
+          {"expected_yield": 4, "yield_anomaly": 4, "yield_anomaly_pct": 4})
+def q_w3(spark, sf_dir):
+    """W3 + T1: prior-only OLS trend expectation (rounded to 4 decimals)."""
+    return T.build_targets(A.annual(spark, sf_dir), method="trend").select(*TARGET_COLS)
+
+
+@register("w13_trend_slope", O.with_ctes(["annual"], """
+SELECT state, county_fips, crop, year,
+  CASE WHEN count(value) OVER w >= 5 THEN regr_slope(value, cast(year AS double)) OVER w END AS yield_trend_slope
+FROM annual WINDOW w AS (PARTITION BY state, county_fips, crop ORDER BY year
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""), ["yield_trend_slope"],
+          {"yield_trend_slope": 4})
+def q_w13(spark, sf_dir):
+    """Prior-only trend slope feature."""
+    y = T.clean_yields(A.annual(spark, sf_dir))
+    return T.add_trend_slope(y).select("state", "county_fips", "crop", "year", "yield_trend_slope")
+
+
+@register("w11_descriptive_risk", O.with_ctes(["targets"], """
+SELECT state, county_fips, crop, year, yield_anomaly_pct,
+  CASE WHEN yield_anomaly_pct IS NOT NULL
+       THEN cast(yield_anomaly_pct <= quantile_cont(yield_anomaly_pct, 0.2) OVER (PARTITION BY state, county_fips, crop) AS int)
+  END AS severe_risk_descriptive
+FROM targets"""), ["yield_anomaly_pct"])
+def q_w11(spark, sf_dir):
+    """EDA-only label from the entity's whole history."""
+    t = T.add_descriptive_risk(targets_df(spark, sf_dir))
+    return t.select("state", "county_fips", "crop", "year", "yield_anomaly_pct", "severe_risk_descriptive")
+
+
+@register("w7_lag_table", O.with_ctes(["lagt"], "SELECT * FROM lagt"), LAG_DOUBLES)
+def q_w7(spark, sf_dir):
+    """Merge-ready lag table, unique by (county_fips, crop, year)."""
+    from pitpanel.operators.lags import lag_table
+    return lag_table(targets_df(spark, sf_dir))
+
+
+@register("w8_yield_lags", O.with_ctes(["targets"], """
+SELECT county_fips, crop, year, actual_yield,
+  lag(actual_yield, 1) OVER w AS yield_lag_1, lag(actual_yield, 2) OVER w AS yield_lag_2,
+  lag(actual_yield, 3) OVER w AS yield_lag_3
+FROM targets WINDOW w AS (PARTITION BY county_fips, crop ORDER BY year)"""),
+          ["actual_yield", "yield_lag_1", "yield_lag_2", "yield_lag_3"])
+def q_w8(spark, sf_dir):
+    """N autoregressive yield lags."""
+    from pitpanel.operators.lags import add_yield_lags
+    t = targets_df(spark, sf_dir).select("county_fips", "crop", "year", "actual_yield")
+    return add_yield_lags(t, 3)
+
+
+# ------------------------------------------------------------------ splits
+SPLIT_EXTRA = """base AS (SELECT * FROM targets WHERE yield_anomaly IS NOT NULL),
+cut AS (SELECT min(year) AS cutoff FROM (SELECT DISTINCT year FROM base ORDER BY year DESC LIMIT 2))"""
+
+
+@register("t5_temporal_split", O.with_ctes(["targets"], """
+SELECT b.state, b.county_fips, b.crop, b.year, CASE WHEN b.year < cut.cutoff THEN 'train' ELSE 'test' END AS split
+FROM base b, cut""", extra=SPLIT_EXTRA))
+def q_t5(spark, sf_dir):
+    """T5: the latest 2 distinct years are test."""
+    base = targets_df(spark, sf_dir).filter(F.col("yield_anomaly").isNotNull())
+    return SP.tag_temporal_split(base, 2).select("state", "county_fips", "crop", "year", "split")
+
+
+@register("t6_spatial_split", O.with_ctes(["targets"], """
+SELECT state, county_fips, crop, year, CASE WHEN state = 'ASIA' THEN 'test' ELSE 'train' END AS split
+FROM targets"""))
+def q_t6(spark, sf_dir):
+    """Hold one state (region) out."""
+    t = targets_df(spark, sf_dir)
+    train, test = SP.spatial_split(t, "ASIA")
+    cols = ["state", "county_fips", "crop", "year"]
+    return train.select(*cols, F.lit("train").alias("split")).unionByName(
+        test.select(*cols, F.lit("test").alias("split")))
+
+
+@register("t7_expanding_folds", O.with_ctes(["targets"], """
+SELECT t.state, t.county_fips, t.crop, t.year, f.fold_year,
+       CASE WHEN t.year < f.fold_year THEN 'train' ELSE 'test' END AS role
+FROM targets t JOIN (SELECT year AS fold_year FROM (SELECT DISTINCT year FROM targets)
+                     QUALIFY row_number() OVER (ORDER BY year) > 3) f ON t.year <= f.fold_year"""))
+def q_t7(spark, sf_dir):
+    """Expanding-window folds after 3 training years, long form."""
+    t = targets_df(spark, sf_dir).select("state", "county_fips", "crop", "year")
+    return SP.expanding_folds(t, 3)
+
+
+# ------------------------------------------------------------------ season
+@register("f2_season_cutoff", O.with_ctes(["daily"], """
+SELECT * FROM daily WHERE month(date) BETWEEN 4 AND 8 AND month(date) * 100 + day(date) <= 630"""),
+          ["PRECTOTCORR", "T2M", "T2M_MAX"])
+def q_f2(spark, sf_dir):
+    """F1 + F2: season days up to a year-agnostic 06-30 cutoff."""
+    return S.filter_season(A.daily(spark, sf_dir), cutoff_month_day="06-30")
+
+
+@register("f3_season_date_cutoff", O.with_ctes(["daily"], """
+SELECT * FROM daily WHERE month(date) BETWEEN 4 AND 8 AND date <= DATE '1997-07-15'"""),
+          ["PRECTOTCORR", "T2M", "T2M_MAX"])
+def q_f3(spark, sf_dir):
+    """F1 + F3: season days up to an absolute inclusive cutoff."""
+    return S.filter_season(A.daily(spark, sf_dir), cutoff_date="1997-07-15")
+
+
+A1_SQL = O.with_ctes(["runs"], """
+SELECT *, obs_days < 153 AS is_partial_year,
+  cumulative_precip - avg(cumulative_precip) OVER (PARTITION BY county_fips ORDER BY year
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS precip_anomaly
+FROM (SELECT county_fips, year, coalesce(sum(PRECTOTCORR), 0.0) AS cumulative_precip, avg(T2M) AS mean_temp,
+        max(T2M_MAX) AS max_temp, count_if(T2M_MAX >= 35.0) AS extreme_heat_days,
+        count_if(PRECTOTCORR <= 1.0) AS dry_days, cast(coalesce(max(run_bridge), 0) AS bigint) AS longest_dry_spell,
+        coalesce(sum(CASE WHEN T2M - 10.0 > 0.0 THEN T2M - 10.0 ELSE 0.0 END), 0.0) AS growing_degree_days,
+        count(*) AS obs_days
+      FROM runs GROUP BY county_fips, year)""")
+
+
+@register("a1_season_features", A1_SQL, SEASON_DOUBLES)
+def q_a1(spark, sf_dir):
+    """A1 + A2 + A3 + W1 for the whole season, one row per entity-year."""
+    return S.season_features(A.daily(spark, sf_dir), group_cols=["county_fips", "year"])
+
+
+STRESS_COLS = ["county_fips", "year", "checkpoint", "max_consecutive_dry_days", "extreme_heat_days_after_july_1",
+               "precip_last_30_days_before_checkpoint", "heat_days_last_30_days_before_checkpoint",
+               "gdd_last_30_days_before_checkpoint"]
+
+
+@register("a6_stress_features", O.with_ctes(["ckw"], "SELECT " + ", ".join(STRESS_COLS) + " FROM ckw0"),
+          STRESS_DOUBLES)
+def q_a6(spark, sf_dir):
+    """Stress-timing features per checkpoint."""
+    return S.stress_features(A.daily(spark, sf_dir), group_cols=["county_fips", "year"]).select(*STRESS_COLS)
+
+
+@register("f5_drop_partial_current_year", O.with_ctes(["ckw"], """
+SELECT * FROM ckw WHERE NOT (year = 2001 AND coalesce(is_partial_year, false))"""), WEATHER_DOUBLES)
+def q_f5(spark, sf_dir):
+    """current-year (2001, explicit) partial-season rows are dropped;
+    anomaly baselines are computed before the drop (N14)."""
+    return S.drop_incomplete_current_year(weather_df(spark, sf_dir), current_year=2001)
+
+
+# ------------------------------------------------------------------ weekly
+A4_COLS = ["county_fips", "year", "weeks_d0", "weeks_d1", "weeks_d2", "weeks_d3", "weeks_d4", "weeks_d2_plus",
+           "max_drought_category", "mean_drought_severity", "d0_max_pct", "d1_max_pct", "d2_max_pct",
+           "d3_max_pct", "d4_max_pct", "d2_plus_max_pct"]
+
+
+@register("a4_drought_features", O.with_ctes(["drought"], "SELECT *, 'full_season' AS checkpoint FROM drought"),
+          ["mean_drought_severity", "d0_max_pct", "d1_max_pct", "d2_max_pct", "d3_max_pct", "d4_max_pct",
+           "d2_plus_max_pct"])
+def q_a4(spark, sf_dir):
+    """A4 + A18: weekly severity features per entity-year (full season)."""
+    return WK.weekly_features(A.weekly(spark, sf_dir), with_max_pct=True)
+
+
+@register("a4_drought_by_checkpoint", O.with_ctes(["weekly", "ck"], """
+SELECT county_fips, year, checkpoint, count_if(D0 > 0) AS weeks_d0, count_if(D1 > 0) AS weeks_d1,
+  count_if(D2 > 0) AS weeks_d2, count_if(D3 > 0) AS weeks_d3, count_if(D4 > 0) AS weeks_d4,
+  count_if(D2 + D3 + D4 > 0) AS weeks_d2_plus, max(dom) AS max_drought_category, avg(dom) AS mean_drought_severity
+FROM (SELECT w.*, cast(year(w.date) AS int) AS year, ck.checkpoint,
+        CASE WHEN D4 > 0 THEN 4 WHEN D3 > 0 THEN 3 WHEN D2 > 0 THEN 2 WHEN D1 > 0 THEN 1 ELSE 0 END AS dom
+      FROM weekly w JOIN ck ON month(w.date) * 100 + day(w.date) <= ck.end_key
+      WHERE month(w.date) BETWEEN 4 AND 8)
+GROUP BY county_fips, year, checkpoint"""), ["mean_drought_severity"])
+def q_a4c(spark, sf_dir):
+    """A4 per checkpoint cutoff (closes the early-checkpoint drought leak, N11)."""
+    return WK.weekly_features_by_checkpoint(A.weekly(spark, sf_dir))
+
+
+@register("c9_clean_weekly", O.with_ctes(["weekly"], """
+SELECT date, county_fips, cast(year(date) AS int) AS year,
+  greatest(least(coalesce(D0, 0.0), 100.0), 0.0) AS D0, greatest(least(coalesce(D1, 0.0), 100.0), 0.0) AS D1,
+  greatest(least(coalesce(D2, 0.0), 100.0), 0.0) AS D2, greatest(least(coalesce(D3, 0.0), 100.0), 0.0) AS D3,
+  greatest(least(coalesce(D4, 0.0), 100.0), 0.0) AS D4
+FROM weekly WHERE date IS NOT NULL"""), ["D0", "D1", "D2", "D3", "D4"])
+def q_c9(spark, sf_dir):
+    """Weekly table cleaning with source column-name variants."""
+    w = A.weekly(spark, sf_dir).withColumnRenamed("date", "MapDate").withColumnRenamed("county_fips", "FIPS")
+    w = w.withColumn("MapDate", F.date_format("MapDate", "yyyyMMdd"))
+    return WK.clean_weekly(w)
+
+
+# ------------------------------------------------------------------ audits
+@register("a14_target_by_crop", O.with_ctes(["panel"], """
+SELECT crop, count(yield_anomaly) AS n, avg(yield_anomaly) AS mean, stddev_samp(yield_anomaly) AS std
+FROM panel WHERE crop IS NOT NULL GROUP BY crop"""), ["mean", "std"])
+def q_a14c(spark, sf_dir):
+    """Target count / mean / std by crop."""
+    return P.panel_summary_by(panel_df(spark, sf_dir), "crop")
+
+
+@register("a14_target_by_checkpoint", O.with_ctes(["panel"], """
+SELECT checkpoint, count(yield_anomaly) AS n, avg(yield_anomaly) AS mean, stddev_samp(yield_anomaly) AS std
+FROM panel WHERE checkpoint IS NOT NULL GROUP BY checkpoint"""), ["mean", "std"])
+def q_a14k(spark, sf_dir):
+    """Target count / mean / std by checkpoint."""
+    return P.panel_summary_by(panel_df(spark, sf_dir), "checkpoint")
+
+
+@register("a14_panel_audit", O.with_ctes(["panel"], """
+SELECT count(*) AS row_count, count(DISTINCT county_fips) AS n_counties, count(DISTINCT state) AS n_states,
+  string_agg(DISTINCT state, ',' ORDER BY state) AS states, string_agg(DISTINCT crop, ',' ORDER BY crop) AS crops,
+  string_agg(DISTINCT cast(year AS varchar), ',' ORDER BY cast(year AS varchar)) AS years,
+  string_agg(DISTINCT checkpoint, ',' ORDER BY checkpoint) AS checkpoints,
+  count(*) - count(DISTINCT (county_fips, crop, year, checkpoint)) AS duplicate_rows
+FROM panel"""))
+def q_a14(spark, sf_dir):
+    """Headline audit (distinct lists joined as sorted text)."""
+    a = P.panel_audit(panel_df(spark, sf_dir))
+    return a.select("row_count", "n_counties", "n_states",
+                    *[F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
+                      for c in ("states", "crops", "years", "checkpoints")], "duplicate_rows")
+
+
 # ------------------------------------------------------------------ export
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def wrap(q: Query):
