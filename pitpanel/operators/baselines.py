@@ -127,17 +127,22 @@ def majority_class(train: DataFrame, test: DataFrame, label: str = "severe_risk"
     return test.withColumn(out_col, F.lit(majority_label(train, label)).cast("int"))
 
 
+def historical_county_rate(train: DataFrame, test: DataFrame, label: str = "severe_risk",
+                           keys: Sequence[str] = ENTITY_KEYS, out_col: str = "y_score") -> DataFrame:
+    """Label rate of the entity -> crop -> global (a risk score)."""
+    valid = train.filter(F.col(label).isNotNull()).withColumn(label, F.col(label).cast("double"))
+    g = global_stat(valid, label)
+    g = 0.0 if g is None else g
+    return fallback_lookup(valid, test, [list(keys), ["crop"]], label, out_col, g)
+
+
 def historical_county_risk(train: DataFrame, test: DataFrame, label: str = "severe_risk",
                            threshold: float = RISK_RATE_THRESHOLD, keys: Sequence[str] = ENTITY_KEYS,
-                           out_col: str = "y_pred") -> DataFrame:
-    """Label rate of the entity -> crop -> global, then ``rate >= threshold``."""
-    valid = train.filter(F.col(label).isNotNull())
-    g = global_stat(valid.withColumn(label, F.col(label).cast("double")), label)
-    g = 0.0 if g is None else g
-    rated = fallback_lookup(valid.withColumn(label, F.col(label).cast("double")), test,
-                            [list(keys), ["crop"]], label, "_rate", g)
-    return rated.withColumn(out_col, F.coalesce((F.col("_rate") >= threshold).cast("int"), F.lit(0))) \
-        .drop("_rate")
+                           out_col: str = "y_pred", keep_score: bool = False) -> DataFrame:
+    """``historical rate >= threshold``."""
+    rated = historical_county_rate(train, test, label, keys, "y_score")
+    out = rated.withColumn(out_col, F.coalesce((F.col("y_score") >= threshold).cast("int"), F.lit(0)))
+    return out if keep_score else out.drop("y_score")
 
 
 def group_means(df: DataFrame, target: str = "yield_anomaly") -> DataFrame:

@@ -94,10 +94,11 @@ def add_residuals(df: DataFrame, actual: str = "y_true", pred: str = "y_pred") -
         .withColumn("abs_residual", F.abs(F.col("residual")))
 
 
-def residual_summary(df: DataFrame, by: str, residual: str = "residual") -> DataFrame:
+def residual_summary(df: DataFrame, by, residual: str = "residual") -> DataFrame:
     """Mean, sample std, MAE and count of residuals per group."""
     r = F.col(residual)
-    return df.groupBy(by).agg(F.avg(r).alias("mean_residual"), F.stddev_samp(r).alias("std_residual"),
+    by = [by] if isinstance(by, str) else list(by)
+    return df.groupBy(*by).agg(F.avg(r).alias("mean_residual"), F.stddev_samp(r).alias("std_residual"),
                               F.avg(F.abs(r)).alias("mae"), F.count(r).alias("count"))
 
 

@@ -96,6 +96,22 @@ def panel_df(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.build_panel(targets_df(spark, sf_dir), weather_df(spark, sf_dir), drought_df(spark, sf_dir))
 
 
+_PANELS: dict[tuple[int, str], DataFrame] = {}
+
+
+def stored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel as a materialised stage: built once per session and input,
+    written by a reliable checkpoint into ``spark.checkpoint.dir`` (lineage
+    cut; survives executor loss) and read by every downstream job -- the
+    baselines, metrics and model fits -- as the saved panel is in a batch
+    workflow."""
+    from pitpanel.session import cut_lineage
+    key = (id(spark._jsparkSession), sf_dir)
+    if key not in _PANELS:
+        _PANELS[key] = cut_lineage(panel_df(spark, sf_dir))
+    return _PANELS[key]
+
+
 TARGET_COLS = ["state", "county", "county_fips", "crop", "year", "actual_yield", "expected_yield",
                "yield_anomaly", "yield_anomaly_pct"]
 
@@ -342,7 +358,7 @@ SELECT crop, count(yield_anomaly) AS n, avg(yield_anomaly) AS mean, stddev_samp(
 FROM panel WHERE crop IS NOT NULL GROUP BY crop"""), ["mean", "std"])
 def q_a14c(spark, sf_dir):
     """Target count / mean / std by crop."""
-    return P.panel_summary_by(panel_df(spark, sf_dir), "crop")
+    return P.panel_summary_by(stored_panel(spark, sf_dir), "crop")
 
 
 @register("a14_target_by_checkpoint", O.with_ctes(["panel"], """
@@ -350,7 +366,7 @@ SELECT checkpoint, count(yield_anomaly) AS n, avg(yield_anomaly) AS mean, stddev
 FROM panel WHERE checkpoint IS NOT NULL GROUP BY checkpoint"""), ["mean", "std"])
 def q_a14k(spark, sf_dir):
     """Target count / mean / std by checkpoint."""
-    return P.panel_summary_by(panel_df(spark, sf_dir), "checkpoint")
+    return P.panel_summary_by(stored_panel(spark, sf_dir), "checkpoint")
 
 
 @register("a14_panel_audit", O.with_ctes(["panel"], """
@@ -362,12 +378,216 @@ SELECT count(*) AS row_count, count(DISTINCT county_fips) AS n_counties, count(D
 FROM panel"""))
 def q_a14(spark, sf_dir):
     """Headline audit (distinct lists joined as sorted text)."""
-    a = P.panel_audit(panel_df(spark, sf_dir))
+    a = P.panel_audit(stored_panel(spark, sf_dir))
     return a.select("row_count", "n_counties", "n_states",
                     *[F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
                       for c in ("states", "crops", "years", "checkpoints")], "duplicate_rows")
 
 
+# ------------------------------------------------------------------ baselines + metrics
+from pitpanel.operators import baselines as B  # noqa: E402
+from pitpanel.operators import metrics as M  # noqa: E402
+
+META = ["year", "state", "county_fips", "crop", "checkpoint"]
+
+
+def labelled_split(spark: SparkSession, sf_dir: str, n_test_years: int = 2):
+    """Panel rows with a checkpoint -> T5 (latest 2 years test) -> T3 labels."""
+    panel = stored_panel(spark, sf_dir).filter(F.col("checkpoint").isNotNull())
+    train, test = SP.temporal_split(panel, n_test_years)
+    return T.assign_risk_labels(train, test)
+
+
+def reg_preds(spark, sf_dir):
+    train, test = labelled_split(spark, sf_dir)
+    return B.regression_predictions(train, test)
+
+
+def cls_preds(spark, sf_dir):
+    train, test = labelled_split(spark, sf_dir)
+    return B.classification_predictions(train, test)
+
+
+PRED_COLS = [*META, "model", "task", "y_true", "y_pred"]
+
+
+@register("t3_panel_labels", O.with_ctes(["lab"], """
+SELECT county_fips, crop, year, checkpoint, split, yield_anomaly_pct, severe_risk FROM lab"""),
+          ["yield_anomaly_pct"])
+def q_t3(spark, sf_dir):
+    """Training-only thresholds applied to train and test panel rows."""
+    train, test = labelled_split(spark, sf_dir)
+    cols = ["county_fips", "crop", "year", "checkpoint", "yield_anomaly_pct", "severe_risk"]
+    return train.select(*cols, F.lit("train").alias("split")).unionByName(
+        test.select(*cols, F.lit("test").alias("split")))
+
+
+@register("b7_regression_baselines", O.with_ctes(["reg_preds"], "SELECT * FROM reg_preds"), ["y_true", "y_pred"])
+def q_b7r(spark, sf_dir):
+    """B1-B4 (+J6, J7/W12): regression baseline predictions, long form."""
+    return reg_preds(spark, sf_dir).select(*PRED_COLS)
+
+
+@register("b7_classification_baselines", O.with_ctes(["cls_preds"], "SELECT * FROM cls_preds"))
+def q_b7c(spark, sf_dir):
+    """Classification baseline predictions, long form."""
+    return cls_preds(spark, sf_dir).select(*PRED_COLS)
+
+
+REG_METRICS_SQL = O.with_ctes(["reg_preds"], """
+SELECT model, "group", group_value,
+  sqrt(avg((y_true - y_pred) * (y_true - y_pred))) AS rmse, avg(abs(y_true - y_pred)) AS mae,
+  CASE WHEN count(y_true) * var_pop(y_true) = 0
+       THEN CASE WHEN sum((y_true - y_pred) * (y_true - y_pred)) = 0 THEN 1.0 ELSE 0.0 END
+       ELSE 1 - sum((y_true - y_pred) * (y_true - y_pred)) / (count(y_true) * var_pop(y_true)) END AS r2,
+  count(*) AS n, 'regression' AS task
+FROM g WHERE group_value IS NOT NULL
+GROUP BY model, "group", group_value
+HAVING "group" = 'overall' OR count(*) >= 2""", extra="""g AS (
+  SELECT model, y_true, y_pred, 'overall' AS "group", 'all' AS group_value FROM reg_preds
+  UNION ALL SELECT model, y_true, y_pred, 'crop', crop FROM reg_preds
+  UNION ALL SELECT model, y_true, y_pred, 'checkpoint', checkpoint FROM reg_preds
+  UNION ALL SELECT model, y_true, y_pred, 'year', cast(year AS varchar) FROM reg_preds
+  UNION ALL SELECT model, y_true, y_pred, 'crop_checkpoint', crop || '/' || checkpoint FROM reg_preds)""")
+
+
+@register("a12_regression_metrics", REG_METRICS_SQL, ["rmse", "mae", "r2"])
+def q_a12r(spark, sf_dir):
+    """A10 + A12: grouped regression metrics (overall, crop, checkpoint, year, crop x checkpoint)."""
+    return M.grouped_metrics(reg_preds(spark, sf_dir), "regression", crop_checkpoint=True)
+
+
+CLS_METRICS_SQL = O.with_ctes(["cls_preds"], """
+SELECT model, "group", group_value,
+  CASE WHEN n > 0 THEN (tp + tn) / n ELSE 0.0 END AS accuracy,
+  CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
+  CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall,
+  CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1,
+  tn, fp, fn, tp, n, 'classification' AS task
+FROM (SELECT model, "group", group_value,
+        count_if(y_true = 1 AND y_pred = 1) AS tp, count_if(y_true <> 1 AND y_pred = 1) AS fp,
+        count_if(y_true = 1 AND y_pred <> 1) AS fn, count_if(y_true <> 1 AND y_pred <> 1) AS tn,
+        count(*) AS n, min(y_true) AS ymin, max(y_true) AS ymax
+      FROM g WHERE group_value IS NOT NULL GROUP BY model, "group", group_value)
+WHERE "group" = 'overall' OR (n >= 2 AND ymin <> ymax)""", extra="""g AS (
+  SELECT model, y_true, y_pred, 'overall' AS "group", 'all' AS group_value FROM cls_preds
+  UNION ALL SELECT model, y_true, y_pred, 'crop', crop FROM cls_preds
+  UNION ALL SELECT model, y_true, y_pred, 'checkpoint', checkpoint FROM cls_preds
+  UNION ALL SELECT model, y_true, y_pred, 'year', cast(year AS varchar) FROM cls_preds)""")
+
+
+@register("a12_classification_metrics", CLS_METRICS_SQL, ["accuracy", "precision", "recall", "f1"])
+def q_a12c(spark, sf_dir):
+    """A11 + A12: grouped classification metrics (baseline layout, no crop x checkpoint)."""
+    m = M.grouped_metrics(cls_preds(spark, sf_dir), "classification", crop_checkpoint=False)
+    return m.select("model", "group", "group_value", "accuracy", "precision", "recall", "f1",
+                    "tn", "fp", "fn", "tp", "n", "task")
+
+
+@register("a8_group_means", O.with_ctes(["lab"], """
+SELECT county_fips, crop, checkpoint, avg(yield_anomaly) AS mean_target, count(yield_anomaly) AS n,
+  CASE grouping(county_fips, crop, checkpoint) WHEN 1 THEN 'county_crop' WHEN 5 THEN 'crop'
+       WHEN 4 THEN 'crop_checkpoint' ELSE 'global' END AS level
+FROM train GROUP BY GROUPING SETS ((county_fips, crop), (crop), (crop, checkpoint), ())"""), ["mean_target"])
+def q_a8(spark, sf_dir):
+    """All baseline group means in one GROUPING SETS aggregate."""
+    train, _ = labelled_split(spark, sf_dir)
+    return B.group_means(train)
+
+
+@register("b8_entity_mean", O.with_ctes(["lab"], """
+SELECT t.county_fips, t.crop, t.year, t.checkpoint,
+  cast(CASE WHEN e.county_fips IS NOT NULL THEN e.v ELSE gm.g END AS double) AS y_pred
+FROM test t LEFT JOIN (SELECT county_fips, avg(yield_anomaly) AS v FROM train WHERE county_fips IS NOT NULL
+                       GROUP BY county_fips) e ON t.county_fips = e.county_fips
+CROSS JOIN (SELECT CASE WHEN avg(yield_anomaly) IS NULL OR avg(yield_anomaly) = 0 THEN 0.0
+                        ELSE avg(yield_anomaly) END AS g FROM train) gm"""), ["y_pred"])
+def q_b8(spark, sf_dir):
+    """Single-key entity mean with a global fallback."""
+    train, test = labelled_split(spark, sf_dir)
+    return B.entity_mean(train, test).select("county_fips", "crop", "year", "checkpoint", "y_pred")
+
+
+@register("a16_residual_summary", O.with_ctes(["reg_preds"], """
+SELECT model, year, avg(y_true - y_pred) AS mean_residual, stddev_samp(y_true - y_pred) AS std_residual,
+  avg(abs(y_true - y_pred)) AS mae, count(y_true - y_pred) AS count
+FROM reg_preds GROUP BY model, year"""), ["mean_residual", "std_residual", "mae"])
+def q_a16(spark, sf_dir):
+    """C17 + A16: residual mean / std / MAE / count by model and year."""
+    return M.residual_summary(M.add_residuals(reg_preds(spark, sf_dir)), ["model", "year"])
+
+
+@register("a17_residual_box", O.with_ctes(["reg_preds"], """
+SELECT model, year, quantile_cont(r, 0.0) AS q0, quantile_cont(r, 0.25) AS q1, quantile_cont(r, 0.5) AS median,
+  quantile_cont(r, 0.75) AS q3, quantile_cont(r, 1.0) AS q100
+FROM (SELECT *, y_true - y_pred AS r FROM reg_preds) WHERE r IS NOT NULL GROUP BY model, year"""),
+          ["q0", "q1", "median", "q3", "q100"])
+def q_a17(spark, sf_dir):
+    """Exact residual box statistics by model and year (distributed ranks)."""
+    return M.residual_box_stats(M.add_residuals(reg_preds(spark, sf_dir)), ["model", "year"])
+
+
+@register("o3_worst_predictions", O.with_ctes(["reg_preds"], """
+SELECT *, y_true - y_pred AS residual, abs(y_true - y_pred) AS abs_residual FROM reg_preds
+ORDER BY abs(y_true - y_pred) DESC NULLS LAST, model, county_fips, crop, year, checkpoint LIMIT 20"""),
+          ["y_true", "y_pred", "residual", "abs_residual"])
+def q_o3(spark, sf_dir):
+    """C17 + O3: the 20 largest absolute residuals (a top-k report)."""
+    r = M.add_residuals(reg_preds(spark, sf_dir))
+    return M.worst_predictions(r, 20, tiebreak=["model", "county_fips", "crop", "year", "checkpoint"])
+
+
+@register("j11_best_vs_reference", O.with_ctes(["reg_preds"], """
+SELECT a.model AS best_model, a.rmse AS model_rmse, b.model AS best_baseline, b.rmse AS baseline_rmse,
+       a.rmse < b.rmse AS model_beats_baseline
+FROM (SELECT model, rmse FROM m WHERE model <> 'zero_anomaly' ORDER BY rmse, model LIMIT 1) a,
+     (SELECT model, rmse FROM m WHERE model = 'zero_anomaly' ORDER BY rmse, model LIMIT 1) b""",
+    extra="""m AS (SELECT model, sqrt(avg((y_true - y_pred) * (y_true - y_pred))) AS rmse FROM reg_preds GROUP BY model)"""),
+          ["model_rmse", "baseline_rmse"])
+def q_j11(spark, sf_dir):
+    """O5 + J11: best history-based baseline vs the zero-anomaly reference."""
+    m = M.regression_metrics(reg_preds(spark, sf_dir), ["model"])
+    return M.compare_best(m.filter(F.col("model") != "zero_anomaly"), m.filter(F.col("model") == "zero_anomaly"))
+
+
+AUROC_SQL = O.with_ctes(["cls_preds"], """
+SELECT model, sum(pos * (below + 0.5 * neg)) / (max(P) * max(N)) AS auroc,
+       cast(max(P) AS bigint) AS n_pos, cast(max(N) AS bigint) AS n_neg
+FROM (SELECT model, s, pos, neg,
+        coalesce(sum(neg) OVER (PARTITION BY model ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below,
+        sum(pos) OVER (PARTITION BY model) AS P, sum(neg) OVER (PARTITION BY model) AS N
+      FROM (SELECT model, y_score AS s, count_if(y_true = 1) AS pos, count_if(y_true <> 1) AS neg
+            FROM scores WHERE y_score IS NOT NULL AND y_true IS NOT NULL GROUP BY model, y_score))
+GROUP BY model""", extra="""scores AS (
+  SELECT 'historical_county_risk' AS model, severe_risk AS y_true, rate AS y_score FROM rates
+  UNION ALL SELECT 'low_prior_anomaly', severe_risk, -prior_year_yield_anomaly FROM tc)""")
+
+
+@register("a19_auroc", AUROC_SQL, ["auroc"])
+def q_a19(spark, sf_dir):
+    """Exact AUROC of two risk scores (ties count 1/2)."""
+    train, test = labelled_split(spark, sf_dir)
+    tc = test.filter(F.col("severe_risk").isNotNull())
+    s1 = B.historical_county_rate(train, tc).select(F.lit("historical_county_risk").alias("model"),
+                                                    F.col("severe_risk").alias("y_true"), "y_score")
+    s2 = tc.select(F.lit("low_prior_anomaly").alias("model"), F.col("severe_risk").alias("y_true"),
+                   (-F.col("prior_year_yield_anomaly")).alias("y_score"))
+    return M.auroc(s1.unionByName(s2))
+
+
+CORR_FEATURES = ["cumulative_precip", "mean_temp", "growing_degree_days", "extreme_heat_days", "dry_days",
+                 "yield_anomaly"]
+_pairs = [(a, b) for i, a in enumerate(CORR_FEATURES) for b in CORR_FEATURES[i + 1:]]
+
+
+@register("a20_correlations", O.with_ctes(["panel"], "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, corr({a}, {b}) AS corr FROM panel" for a, b in _pairs)),
+          ["corr"])
+def q_a20(spark, sf_dir):
+    """Feature correlation matrix (long form, one aggregate pass)."""
+    return M.correlation_long(stored_panel(spark, sf_dir), CORR_FEATURES)
+
+
 # ------------------------------------------------------------------ export
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def wrap(q: Query):

@@ -173,13 +173,79 @@ def bigint_counts(sql: str) -> str:
         i = k
 
 
+# ---------------------------------------------------------------- split + labels
+LAB = """mp AS (SELECT * FROM panel WHERE checkpoint IS NOT NULL),
+cut2 AS (SELECT min(year) AS cutoff FROM (SELECT DISTINCT year FROM mp ORDER BY year DESC LIMIT 2)),
+thr2 AS (SELECT state, county_fips, crop, quantile_cont(yield_anomaly_pct, 0.2) AS risk_threshold
+         FROM mp, cut2 WHERE mp.year < cut2.cutoff GROUP BY state, county_fips, crop),
+lab AS (SELECT mp.*, CASE WHEN mp.year < cut2.cutoff THEN 'train' ELSE 'test' END AS split,
+          CASE WHEN mp.yield_anomaly_pct IS NOT NULL AND thr2.risk_threshold IS NOT NULL
+               THEN cast(mp.yield_anomaly_pct <= thr2.risk_threshold AS int) END AS severe_risk
+        FROM mp CROSS JOIN cut2
+        LEFT JOIN thr2 ON mp.state = thr2.state AND mp.county_fips = thr2.county_fips AND mp.crop = thr2.crop),
+train AS (SELECT * FROM lab WHERE split = 'train'),
+test AS (SELECT * FROM lab WHERE split = 'test')"""
+
+REG_PREDS = """gm AS (SELECT CASE WHEN avg(yield_anomaly) IS NULL OR avg(yield_anomaly) = 0 THEN 0.0
+                      ELSE avg(yield_anomaly) END AS g FROM train),
+cm AS (SELECT county_fips, crop, avg(yield_anomaly) AS v FROM train
+       WHERE county_fips IS NOT NULL AND crop IS NOT NULL GROUP BY county_fips, crop),
+crm AS (SELECT crop, avg(yield_anomaly) AS v FROM train WHERE crop IS NOT NULL GROUP BY crop),
+ccm AS (SELECT crop, checkpoint, avg(yield_anomaly) AS v FROM train
+        WHERE crop IS NOT NULL AND checkpoint IS NOT NULL GROUP BY crop, checkpoint),
+hist AS (SELECT year, NULL AS state, county_fips, crop, NULL AS checkpoint, yield_anomaly, false AS is_test
+         FROM train WHERE yield_anomaly IS NOT NULL
+         UNION ALL SELECT year, state, county_fips, crop, checkpoint, yield_anomaly, true FROM test),
+prev AS (SELECT *, CASE WHEN count(*) OVER w = 0 THEN 0.0 ELSE arg_max(yield_anomaly, year) OVER w END AS y_pred
+         FROM hist WINDOW w AS (PARTITION BY county_fips, crop ORDER BY year
+                                RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+reg_preds AS (
+  SELECT year, state, county_fips, crop, checkpoint, 'zero_anomaly' AS model, 'regression' AS task,
+         yield_anomaly AS y_true, cast(0.0 AS double) AS y_pred FROM test
+  UNION ALL
+  SELECT year, state, county_fips, crop, checkpoint, 'previous_year_anomaly', 'regression', yield_anomaly,
+         cast(y_pred AS double) FROM prev WHERE is_test
+  UNION ALL
+  SELECT t.year, t.state, t.county_fips, t.crop, t.checkpoint, 'county_historical_mean', 'regression',
+         t.yield_anomaly, cast(CASE WHEN cm.county_fips IS NOT NULL THEN cm.v WHEN crm.crop IS NOT NULL THEN crm.v
+                                    ELSE gm.g END AS double)
+  FROM test t LEFT JOIN cm ON t.county_fips = cm.county_fips AND t.crop = cm.crop
+       LEFT JOIN crm ON t.crop = crm.crop CROSS JOIN gm
+  UNION ALL
+  SELECT t.year, t.state, t.county_fips, t.crop, t.checkpoint, 'crop_checkpoint_mean', 'regression',
+         t.yield_anomaly, cast(CASE WHEN ccm.crop IS NOT NULL THEN ccm.v WHEN crm.crop IS NOT NULL THEN crm.v
+                                    ELSE gm.g END AS double)
+  FROM test t LEFT JOIN ccm ON t.crop = ccm.crop AND t.checkpoint = ccm.checkpoint
+       LEFT JOIN crm ON t.crop = crm.crop CROSS JOIN gm)"""
+
+CLS_PREDS = """maj AS (SELECT coalesce((SELECT severe_risk FROM train WHERE severe_risk IS NOT NULL GROUP BY severe_risk
+                                 ORDER BY count(*) DESC, severe_risk ASC LIMIT 1), 0) AS m),
+valid AS (SELECT * FROM train WHERE severe_risk IS NOT NULL),
+gr AS (SELECT coalesce(avg(severe_risk), 0.0) AS g FROM valid),
+cr AS (SELECT county_fips, crop, avg(severe_risk) AS v FROM valid
+       WHERE county_fips IS NOT NULL AND crop IS NOT NULL GROUP BY county_fips, crop),
+crr AS (SELECT crop, avg(severe_risk) AS v FROM valid WHERE crop IS NOT NULL GROUP BY crop),
+tc AS (SELECT * FROM test WHERE severe_risk IS NOT NULL),
+rates AS (SELECT tc.*, CASE WHEN cr.county_fips IS NOT NULL THEN cr.v WHEN crr.crop IS NOT NULL THEN crr.v
+                            ELSE gr.g END AS rate
+          FROM tc LEFT JOIN cr ON tc.county_fips = cr.county_fips AND tc.crop = cr.crop
+               LEFT JOIN crr ON tc.crop = crr.crop CROSS JOIN gr),
+cls_preds AS (
+  SELECT year, state, county_fips, crop, checkpoint, 'majority_class' AS model, 'classification' AS task,
+         severe_risk AS y_true, cast(maj.m AS int) AS y_pred FROM tc CROSS JOIN maj
+  UNION ALL
+  SELECT year, state, county_fips, crop, checkpoint, 'historical_county_risk', 'classification', severe_risk,
+         coalesce(cast(rate >= 0.5 AS int), 0) FROM rates)"""
+
 FRAGMENTS = {
     "annual": ANNUAL, "daily": DAILY, "weekly": WEEKLY, "dirty": DIRTY, "targets": TARGETS,
     "lagt": LAGS, "runs": RUNS, "ck": CK, "ckw": CKW, "drought": DROUGHT, "panel": PANEL,
+    "lab": LAB, "reg_preds": REG_PREDS, "cls_preds": CLS_PREDS,
 }
 DEPENDS = {
     "dirty": ["annual"], "targets": ["annual"], "lagt": ["targets"], "runs": ["daily"],
     "ckw": ["runs", "ck"], "drought": ["weekly"], "panel": ["targets", "lagt", "ckw", "drought"],
+    "lab": ["panel"], "reg_preds": ["lab"], "cls_preds": ["lab"],
 }
 
 

@@ -34,8 +34,17 @@ PRIORITY_TO_CATEGORY = {
 }
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet table reader, one relation per (session, path): listing and
+    footer reads happen once, and identical sub-plans share one relation."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 def _fips(c) -> F.Column:
