@@ -588,6 +588,183 @@ def q_a20(spark, sf_dir):
     return M.correlation_long(stored_panel(spark, sf_dir), CORR_FEATURES)
 
 
+# ------------------------------------------------------------------ ingest
+from pitpanel.sources import landing as L  # noqa: E402
+from pitpanel.sources import payloads as PL  # noqa: E402
+from pitpanel.sources import records as R  # noqa: E402
+
+NUM_RE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+CLEAN_SQL_BODY = """
+SELECT try_cast(trim(year) AS int) AS year, trim(state_name) AS state, trim(county_name) AS county,
+  lpad(trim(split_part(trim(state_fips_code), '.', 1)), 2, '0')
+    || lpad(trim(split_part(trim(county_ansi), '.', 1)), 3, '0') AS county_fips,
+  trim(commodity_desc) AS crop, try_cast(trim(replace(trim("Value"), ',', '')) AS double) AS value,
+  trim(unit_desc) AS unit
+FROM {src} WHERE regexp_full_match(replace(trim("Value"), ',', ''), '""" + NUM_RE + """')"""
+
+
+@register("c7_clean_yield_records", O.with_ctes(["dirty"], CLEAN_SQL_BODY.format(src="dirty")), ["value"])
+def q_c7(spark, sf_dir):
+    """Raw text records -> clean typed yields (suppressed values dropped)."""
+    return R.clean_yield_records(A.dirty(spark, sf_dir))
+
+
+@register("f9_source_filter", O.with_ctes(["dirty"], CLEAN_SQL_BODY.format(src="""(SELECT * FROM dirty
+  WHERE commodity_desc IN ('BUILDING', 'MACHINERY') AND state_name IN ('ASIA', 'EUROPE', 'AMERICA')
+    AND try_cast(year AS int) BETWEEN 1996 AND 2000)""")), ["value"])
+def q_f9(spark, sf_dir):
+    """F9 + C7: source predicates (commodity, state, year range) then cleaning."""
+    d = R.source_filter(A.dirty(spark, sf_dir), crops=["BUILDING", "MACHINERY"],
+                        states=["ASIA", "EUROPE", "AMERICA"], start_year=1996, end_year=2000)
+    return R.clean_yield_records(d)
+
+
+@register("s1_csv_roundtrip", O.with_ctes(["dirty"], """
+SELECT year, state_name, county_name, commodity_desc, unit_desc, "Value",
+  lpad(split_part(trim(state_fips_code), '.', 1), 2, '0') AS state_fips_code,
+  lpad(split_part(trim(county_ansi), '.', 1), 3, '0') AS county_ansi,
+  lpad(split_part(trim(county_fips), '.', 1), 5, '0') AS county_fips
+FROM dirty"""))
+def q_s1(spark, sf_dir):
+    """S11 + S1 + C1-C4: write raw records as CSV into the shared folder,
+    read them back as text only (ids never inferred numeric), normalise ids."""
+    import uuid
+    from pitpanel.session import ensure_checkpoint_dir
+    from pitpanel.sources.sinks import write_table
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/s1-{uuid.uuid4().hex}"
+    write_table(A.dirty(spark, sf_dir), path, fmt="csv")
+    return R.normalize_id_columns(R.read_csv_as_text(spark, path))
+
+
+CENTROID_RAW_SQL = """craw AS (
+  SELECT cast(n_nationkey // 1000 AS varchar) AS STATEFP, cast(n_nationkey % 1000 AS varchar) AS COUNTYFP,
+         '  ' || lower(n_name) || ' ' AS COUNAME,
+         CASE WHEN n_nationkey % 7 = 3 THEN '' ELSE cast(n_nationkey * 1.5 AS varchar) END AS LATITUDE,
+         cast(-10.0 * n_regionkey AS varchar) AS LONGITUDE
+  FROM nation)"""
+
+
+def centroid_raw(spark, sf_dir):
+    n = A.table(spark, sf_dir, "nation")
+    k = F.col("n_nationkey")
+    return n.select(F.floor(k / 1000).cast("string").alias("STATEFP"), (k % 1000).cast("string").alias("COUNTYFP"),
+                    F.concat(F.lit("  "), F.lower("n_name"), F.lit(" ")).alias("COUNAME"),
+                    F.when(k % 7 == 3, F.lit("")).otherwise((k * 1.5).cast("string")).alias("LATITUDE"),
+                    (F.lit(-10.0) * F.col("n_regionkey")).cast("string").alias("LONGITUDE"))
+
+
+@register("j8_requested_centroids", O.with_ctes(["dirty"], """
+SELECT lpad(STATEFP, 2, '0') || lpad(COUNTYFP, 3, '0') AS county_fips, upper(trim(COUNAME)) AS county,
+       lpad(STATEFP, 2, '0') AS state_fips, try_cast(LATITUDE AS double) AS lat, try_cast(LONGITUDE AS double) AS lon
+FROM craw
+WHERE lpad(STATEFP, 2, '0') || lpad(COUNTYFP, 3, '0') IN (
+        SELECT lpad(split_part(county_fips, '.', 1), 5, '0') FROM dirty WHERE state_name IN ('ASIA', 'EUROPE'))
+  AND try_cast(LATITUDE AS double) IS NOT NULL AND try_cast(LONGITUDE AS double) IS NOT NULL""",
+    extra=CENTROID_RAW_SQL), ["lat", "lon"])
+def q_j8(spark, sf_dir):
+    """S7 + J8: centroid dimension kept for requested ids (semi join)."""
+    req = A.dirty(spark, sf_dir).filter(F.col("state_name").isin("ASIA", "EUROPE")).select("county_fips")
+    return L.centroids(centroid_raw(spark, sf_dir), req)
+
+
+@register("s8_completeness", O.with_ctes(["daily"], """
+SELECT county_fips, count(DISTINCT year) AS years_present, count(DISTINCT year) = 5 AS complete
+FROM daily WHERE year BETWEEN 1996 AND 2000 GROUP BY county_fips"""))
+def q_s8(spark, sf_dir):
+    """An entity is complete iff every required year (1996-2000) is landed."""
+    return L.completeness(A.daily(spark, sf_dir), 1996, 2000)
+
+
+@register("j9_remaining_entities", O.with_ctes(["daily"], """
+SELECT lpad(cast(n_nationkey AS varchar), 5, '0') AS county_fips, n_name AS county FROM nation
+WHERE lpad(cast(n_nationkey AS varchar), 5, '0') NOT IN (
+  SELECT county_fips FROM daily WHERE year BETWEEN 1992 AND 1998 GROUP BY county_fips
+  HAVING count(DISTINCT year) = 7)
+UNION ALL
+SELECT county_fips, county FROM (
+  SELECT lpad(cast(n_nationkey AS varchar), 5, '0') AS county_fips, n_name || '#' AS county FROM nation)
+WHERE county_fips NOT IN (
+  SELECT county_fips FROM daily WHERE year BETWEEN 1996 AND 2000 GROUP BY county_fips
+  HAVING count(DISTINCT year) = 5)"""))
+def q_j9(spark, sf_dir):
+    """S8 + J9 + U3: entities still to load for two required ranges."""
+    n = A.table(spark, sf_dir, "nation")
+    ents = n.select(A._fips("n_nationkey").alias("county_fips"), F.col("n_name").alias("county"))
+    d = A.daily(spark, sf_dir)
+    a = L.remaining_entities(ents, d, 1992, 1998)
+    b = L.remaining_entities(ents.withColumn("county", F.concat("county", F.lit("#"))), d, 1996, 2000)
+    return a.unionByName(b)
+
+
+@register("s9_merge_batches", O.with_ctes(["daily"], "SELECT * FROM daily"), ["PRECTOTCORR", "T2M", "T2M_MAX"])
+def q_s9(spark, sf_dir):
+    """An older batch (stale values) merged with a re-landed newer batch
+    overlapping it; the newer batch wins per (entity, date)."""
+    d = A.daily(spark, sf_dir)
+    old = d.filter(F.col("date") < F.lit("1998-07-01").cast("date")) \
+        .withColumn("PRECTOTCORR", F.lit(-1.0)).withColumn("T2M", F.lit(-1.0))
+    new = d.filter(F.col("date") >= F.lit("1998-01-01").cast("date"))
+    older_only = d.filter(F.col("date") < F.lit("1998-01-01").cast("date"))
+    return L.merge_batches([old, older_only, new])
+
+
+@register("s5_weather_payload", O.with_ctes(["daily"], """
+SELECT county_fips, date,
+  CASE WHEN day(date) % 13 = 0 THEN NULL ELSE PRECTOTCORR END AS PRECTOTCORR,
+  CASE WHEN day(date) % 10 = 0 THEN NULL ELSE T2M END AS T2M,
+  CASE WHEN day(date) % 10 = 0 THEN NULL ELSE T2M - 1.0 END AS T2M_MIN,
+  T2M_MAX, cast(year(date) AS int) AS year, cast(month(date) AS int) AS month
+FROM daily"""), ["PRECTOTCORR", "T2M", "T2M_MIN", "T2M_MAX"])
+def q_s5(spark, sf_dir):
+    """S5 + C11: per entity-year weather payloads {PARAM: {YYYYMMDD: v}}
+    (sentinel -999 for some days, some dates absent from some parameters)
+    unnested back to one row per date."""
+    d = A.daily(spark, sf_dir)
+    ds = F.date_format("date", "yyyyMMdd")
+    day = F.dayofmonth("date")
+
+    def entries(v, keep=None):
+        e = F.struct(ds.alias("k"), v.alias("v"))
+        return F.collect_list(e if keep is None else F.when(keep, e))
+
+    g = d.groupBy("county_fips", "year").agg(
+        F.map_from_entries(entries(F.when(day % 13 == 0, F.lit(-999.0)).otherwise(F.col("PRECTOTCORR")))).alias("p"),
+        F.map_from_entries(entries(F.col("T2M"), day % 10 != 0)).alias("t"),
+        F.map_from_entries(entries(F.col("T2M") - 1.0, day % 10 != 0)).alias("tn"),
+        F.map_from_entries(entries(F.col("T2M_MAX"))).alias("tx"))
+    payload = F.to_json(F.create_map(F.lit("PRECTOTCORR"), F.col("p"), F.lit("T2M"), F.col("t"),
+                                     F.lit("T2M_MIN"), F.col("tn"), F.lit("T2M_MAX"), F.col("tx")))
+    pl = g.select("county_fips", payload.alias("payload"))
+    out = PL.unnest_weather_payload(pl, keep=["county_fips"])
+    return out.withColumn("year", F.col("year").cast("int")).withColumn("month", F.col("month").cast("int"))
+
+
+@register("s6_records_payload", O.with_ctes(["dirty"], "SELECT * EXCLUDE (county_fips) FROM dirty WHERE year <> '2001'"))
+def q_s6(spark, sf_dir):
+    """Record payloads {"data": [...]} per (state, crop, year) unnested;
+    payloads carrying {"error": [...]} (here: year 2001) are quarantined."""
+    d = A.dirty(spark, sf_dir).drop("county_fips")
+    recs = F.collect_list(F.struct(*[F.col(c) for c in PL.RECORD_FIELDS]))
+    g = d.groupBy("state_name", "commodity_desc", "year").agg(recs.alias("data"))
+    payload = F.when(F.col("year") == "2001", F.to_json(F.struct(F.array(F.lit("record limit exceeded")).alias("error")))) \
+        .otherwise(F.to_json(F.struct(F.col("data").alias("data"))))
+    rows, _errors = PL.unnest_records(g.select(payload.alias("payload")))
+    return rows
+
+
+@register("u_year_set_ops", O.with_ctes(["annual", "daily"], """
+SELECT 'intersect' AS op, year FROM (SELECT year FROM annual INTERSECT SELECT year FROM daily)
+UNION ALL SELECT 'except', year FROM (SELECT year FROM daily EXCEPT SELECT year FROM annual)
+UNION ALL SELECT 'distinct', year FROM (SELECT DISTINCT year FROM annual)"""))
+def q_u(spark, sf_dir):
+    """Intersect / except / distinct of period sets."""
+    a = A.annual(spark, sf_dir).select("year")
+    d = A.daily(spark, sf_dir).select("year")
+    return (a.intersect(d).select(F.lit("intersect").alias("op"), "year")
+            .unionByName(d.subtract(a).select(F.lit("except").alias("op"), "year"))
+            .unionByName(a.distinct().select(F.lit("distinct").alias("op"), "year")))
+
+
 # ------------------------------------------------------------------ export
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def wrap(q: Query):

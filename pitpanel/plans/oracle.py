@@ -41,6 +41,8 @@ DIRTY = """dirty AS (
          'USD / ORDER' AS unit_desc,
          CASE WHEN (cast(county_fips AS int) + year) % 17 = 0 THEN '(D)'
               ELSE format('{:,}', cast(floor(value) AS bigint)) END AS "Value",
+         cast(cast(cast(county_fips AS int) // 1000 AS double) AS varchar) AS state_fips_code,
+         cast(cast(cast(county_fips AS int) % 1000 AS double) AS varchar) AS county_ansi,
          cast(cast(cast(county_fips AS int) AS double) AS varchar) AS county_fips
   FROM annual)"""
 

@@ -126,5 +126,7 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("crop").alias("commodity_desc"),
         F.lit("USD / ORDER").alias("unit_desc"),
         value_txt.alias("Value"),
+        F.floor(code / 1000).cast("double").cast("string").alias("state_fips_code"),
+        (code % 1000).cast("double").cast("string").alias("county_ansi"),
         code.cast("double").cast("string").alias("county_fips"),
     )
