@@ -128,26 +128,27 @@ def compare_best(models: DataFrame, baselines: DataFrame, metric: str = "rmse",
     return a.join(b, "_k").drop("_k").withColumn("model_beats_baseline", beats)
 
 
-def residual_box_stats(df: DataFrame, by: Sequence[str], residual: str = "residual",
-                       num_partitions: int | None = None) -> DataFrame:
-    """Min / q1 / median / q3 / max per group, linear interpolation,
-    exact and distributed.  Distinct (group, value) counts are ranked with
-    range-partitioned prefix sums (a hot group is split across tasks, never
-    buffered in one), then only the rows holding the two ranks around each
-    quantile position survive to the final per-group aggregate."""
+def exact_quantiles(df: DataFrame, by: Sequence[str], value: str,
+                    qs: dict[str, float], num_partitions: int | None = None) -> DataFrame:
+    """Exact linear-interpolated quantiles per group, distributed.
+
+    Distinct (group, value) counts are ranked with range-partitioned prefix
+    sums (a hot group is split across tasks, never buffered in one), then
+    only the rows holding the two ranks around each quantile position
+    survive to the final per-group aggregate.  One output column per name."""
     by = list(by)
-    base = df.filter(F.col(residual).isNotNull()).dropna(subset=by) \
-        .groupBy(*by, residual).agg(F.count(F.lit(1)).alias("_c"))
-    ranked = global_prefix_sums(base, [*by, residual], ["_c"], num_partitions)
+    base = df.filter(F.col(value).isNotNull()).dropna(subset=by) \
+        .groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
+    ranked = global_prefix_sums(base, [*by, value], ["_c"], num_partitions)
     n_by = base.groupBy(*by).agg(F.sum("_c").alias("_n"))
-    grp_off = global_prefix_sums(n_by, by, ["_n"], 1, inclusive=False)
-    r = ranked.join(grp_off, by).select(
-        *by, residual, (F.col("_c_cum") - F.col("_n_cum") - F.col("_c")).alias("_lo"),
-        (F.col("_c_cum") - F.col("_n_cum")).alias("_hi"), "_n")
-    qs = [("min", 0.0), ("q1", 0.25), ("median", 0.5), ("q3", 0.75), ("max", 1.0)]
+    grp_off = global_prefix_sums(n_by, by, ["_n"], 1, inclusive=False) if by \
+        else n_by.withColumn("_n_cum", F.lit(0))
+    j = ranked.join(grp_off, by) if by else ranked.crossJoin(grp_off)
+    r = j.select(*by, value, (F.col("_c_cum") - F.col("_n_cum") - F.col("_c")).alias("_lo"),
+                 (F.col("_c_cum") - F.col("_n_cum")).alias("_hi"), "_n")
     items = []
-    for name, q in qs:
-        h = F.lit(q) * (F.col("_n") - 1)
+    for name, q in qs.items():
+        h = F.lit(float(q)) * (F.col("_n") - 1)
         items.append(F.struct(F.lit(name).alias("stat"), h.alias("h"),
                               F.floor(h).alias("i0"), F.ceil(h).alias("i1")))
     ex = r.select("*", F.explode(F.array(*items)).alias("_q"))
@@ -155,10 +156,17 @@ def residual_box_stats(df: DataFrame, by: Sequence[str], residual: str = "residu
     hit1 = (F.col("_q.i1") >= F.col("_lo")) & (F.col("_q.i1") < F.col("_hi"))
     part = ex.filter(hit0 | hit1).groupBy(*by, F.col("_q.stat").alias("stat")).agg(
         F.first("_q.h").alias("h"), F.first("_q.i0").alias("i0"),
-        F.max(F.when(hit0, F.col(residual))).alias("v0"), F.max(F.when(hit1, F.col(residual))).alias("v1"))
+        F.max(F.when(hit0, F.col(value))).alias("v0"), F.max(F.when(hit1, F.col(value))).alias("v1"))
     val = F.col("v0") + (F.col("h") - F.col("i0")) * (F.col("v1") - F.col("v0"))
-    return part.groupBy(*by).pivot("stat", [q for q, _ in qs]).agg(F.first(val)) \
-        .withColumnRenamed("min", "q0").withColumnRenamed("max", "q100")
+    g = part.groupBy(*by) if by else part.groupBy()
+    return g.pivot("stat", list(qs)).agg(F.first(val))
+
+
+def residual_box_stats(df: DataFrame, by: Sequence[str], residual: str = "residual",
+                       num_partitions: int | None = None) -> DataFrame:
+    """Min / q1 / median / q3 / max of residuals per group (exact)."""
+    qs = {"q0": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "q100": 1.0}
+    return exact_quantiles(df, by, residual, qs, num_partitions)
 
 
 def auroc(df: DataFrame, score: str = "y_score", label: str = "y_true", by: Sequence[str] = ("model",),
@@ -188,3 +196,18 @@ def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     items = [F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"_c{k}").alias("corr"))
              for k, (a, b) in enumerate(pairs)]
     return agg.select(F.explode(F.array(*items)).alias("s")).select("s.*")
+
+
+def explore(preds: DataFrame, crop: str | None = None, state: str | None = None,
+            year: int | None = None) -> DataFrame:
+    """F8: the explorer's crop x state x year filter over a predictions table."""
+    cond = F.lit(True)
+    for col, v in (("crop", crop), ("state", state), ("year", year)):
+        if v is not None:
+            cond = cond & (F.col(col) == v)
+    return preds.filter(cond)
+
+
+def head(df: DataFrame, n: int = 5, order: Sequence[str] = ()) -> DataFrame:
+    """A deterministic peek (sorted, limited)."""
+    return (df.orderBy(*order) if order else df).limit(n)

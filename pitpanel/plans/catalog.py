@@ -96,7 +96,18 @@ def panel_df(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.build_panel(targets_df(spark, sf_dir), weather_df(spark, sf_dir), drought_df(spark, sf_dir))
 
 
-_PANELS: dict[tuple[int, str], DataFrame] = {}
+_STORED: dict[tuple[int, str, str], tuple[object, DataFrame]] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Materialise a shared stage once per session and input (reliable
+    checkpoint into the shared ``spark.checkpoint.dir``; lineage cut)."""
+    from pitpanel.session import cut_lineage
+    js = spark._jsparkSession
+    key = (id(js), sf_dir, name)
+    if key not in _STORED or _STORED[key][0] is not js:
+        _STORED[key] = (js, cut_lineage(build()))
+    return _STORED[key][1]
 
 
 def stored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,11 +116,7 @@ def stored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut; survives executor loss) and read by every downstream job -- the
     baselines, metrics and model fits -- as the saved panel is in a batch
     workflow."""
-    from pitpanel.session import cut_lineage
-    key = (id(spark._jsparkSession), sf_dir)
-    if key not in _PANELS:
-        _PANELS[key] = cut_lineage(panel_df(spark, sf_dir))
-    return _PANELS[key]
+    return stored(spark, sf_dir, "panel", lambda: panel_df(spark, sf_dir))
 
 
 TARGET_COLS = ["state", "county", "county_fips", "crop", "year", "actual_yield", "expected_yield",
@@ -765,6 +772,113 @@ def q_u(spark, sf_dir):
             .unionByName(a.distinct().select(F.lit("distinct").alias("op"), "year")))
 
 
+@register("f8_explorer_filter", O.with_ctes(["reg_preds"], """
+SELECT * FROM reg_preds WHERE crop = 'BUILDING' AND state = 'EUROPE' AND year = 2001"""), ["y_true", "y_pred"])
+def q_f8(spark, sf_dir):
+    """F8: the explorer filter (crop x state x year) over baseline predictions."""
+    return M.explore(reg_preds(spark, sf_dir).select(*PRED_COLS), crop="BUILDING", state="EUROPE", year=2001)
+
+
+@register("a15_stage_summary", O.with_ctes(["targets"], """
+SELECT count(*) AS rows, count(DISTINCT county_fips) AS entities, min(year) AS min_year, max(year) AS max_year,
+       avg(actual_yield) AS mean_actual_yield FROM targets"""), ["mean_actual_yield"])
+def q_a15(spark, sf_dir):
+    """Stage summary (rows, entities, year range, mean measure)."""
+    return P.stage_summary(targets_df(spark, sf_dir), value_col="actual_yield")
+
+
+# ------------------------------------------------------------------ models (rows-only checks)
+from pitpanel.operators import ablation as AB  # noqa: E402
+from pitpanel.operators import features as FS  # noqa: E402
+from pitpanel.operators import ml as ML  # noqa: E402
+
+ABLATION_MODES = {"pooled": None, "automobile_only": "AUTOMOBILE", "building_only": "BUILDING"}
+
+
+_MODELS: dict[tuple[int, str], tuple[object, dict]] = {}
+
+
+def model_predictions(spark, sf_dir):
+    key = (id(spark._jsparkSession), sf_dir)
+
+    def build():
+        train, test = labelled_split(spark, sf_dir)
+        numeric, categorical = FS.select_feature_columns(stored_panel(spark, sf_dir))
+        preds, models = ML.train_and_predict(train, test, numeric, categorical, parallelism=5,
+                                             return_models=True)
+        _MODELS[key] = (spark._jsparkSession, models)
+        return preds
+    return stored(spark, sf_dir, "model_predictions", build)
+
+
+def model_metrics(spark, sf_dir):
+    p = model_predictions(spark, sf_dir)
+    reg = M.grouped_metrics(p.filter(F.col("task") == "regression"), "regression", crop_checkpoint=True)
+    cls = M.grouped_metrics(p.filter(F.col("task") == "classification"), "classification", crop_checkpoint=True)
+    return reg.unionByName(cls, allowMissingColumns=True)
+
+
+def ablation_metrics(spark, sf_dir):
+    return stored(spark, sf_dir, "ablation", lambda: AB.run_ablation(stored_panel(spark, sf_dir), ABLATION_MODES,
+                                                                     n_test_years=2))
+
+
+@register("m11_model_predictions", None)
+def q_m11(spark, sf_dir):
+    """Ridge, random forest, gradient boosting, logistic regression
+    and balanced random forest fitted on the training years, scored on test."""
+    return model_predictions(spark, sf_dir)
+
+
+@register("m11_model_metrics", None)
+def q_m11m(spark, sf_dir):
+    """A12 over the model predictions (with crop x checkpoint)."""
+    return model_metrics(spark, sf_dir)
+
+
+@register("j11_model_vs_baseline", None)
+def q_j11m(spark, sf_dir):
+    """Best model vs best baseline by overall RMSE."""
+    mm = model_metrics(spark, sf_dir).filter((F.col("task") == "regression") & (F.col("group") == "overall"))
+    bm = M.regression_metrics(reg_preds(spark, sf_dir), ["model"])
+    return M.compare_best(mm, bm)
+
+
+@register("m15_checkpoint_trend", None)
+def q_m15(spark, sf_dir):
+    """First vs last checkpoint RMSE per regression model."""
+    return AB.checkpoint_trend(model_metrics(spark, sf_dir))
+
+
+@register("m16_feature_importance", None)
+def q_m16(spark, sf_dir):
+    """Random-forest feature importances, sorted."""
+    train, _ = labelled_split(spark, sf_dir)
+    model_predictions(spark, sf_dir)
+    model = _MODELS[(id(spark._jsparkSession), sf_dir)][1]["random_forest_reg"]
+    return ML.feature_importance(model, train)
+
+
+@register("m12_ablation_metrics", None)
+def q_m12(spark, sf_dir):
+    """F7 + M4 + M12: crop modes x feature groups x models, grouped metrics."""
+    return ablation_metrics(spark, sf_dir)
+
+
+@register("m13_best_per_group", None)
+def q_m13(spark, sf_dir):
+    """Best regression model per (mode, feature group)."""
+    m = ablation_metrics(spark, sf_dir)
+    return AB.best_per_group(m, "regression").unionByName(AB.best_per_group(m, "classification"),
+                                                          allowMissingColumns=True)
+
+
+@register("m14_ablation_pivot", None)
+def q_m14(spark, sf_dir):
+    """Feature group x mode table of the minimum RMSE."""
+    return AB.ablation_pivot(ablation_metrics(spark, sf_dir), "regression")
+
+
 # ------------------------------------------------------------------ export
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def wrap(q: Query):

@@ -34,17 +34,19 @@ PRIORITY_TO_CATEGORY = {
 }
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: dict[tuple[int, str], tuple[object, DataFrame]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet table reader, one relation per (session, path): listing and
     footer reads happen once, and identical sub-plans share one relation."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(path)
-    return _READS[key]
+    js = spark._jsparkSession
+    key = (id(js), path)
+    # the session object is kept in the value, so its id cannot be reused
+    if key not in _READS or _READS[key][0] is not js:
+        _READS[key] = (js, spark.read.parquet(path))
+    return _READS[key][1]
 
 
 def _fips(c) -> F.Column:

@@ -125,3 +125,48 @@ def load_panel(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
         .withColumn("year", F.col("year").cast("string").try_cast("int"))
     df = add_checkpoint_label(df)
     return df.drop(*[c for c in ("severe_risk_descriptive", "severe_risk") if c in df.columns])
+
+
+def _cast_known(df: DataFrame, numeric: Sequence[str] = (), ints: Sequence[str] = (),
+                bools: Sequence[str] = ()) -> DataFrame:
+    cols = {}
+    for c in df.columns:
+        if c in ints:
+            cols[c] = F.trim(F.col(c)).try_cast("int")
+        elif c in bools:
+            cols[c] = F.lower(F.trim(F.col(c))).isin("true", "1")
+        elif c in numeric:
+            cols[c] = F.trim(F.col(c)).try_cast("double")
+    return df.withColumns(cols) if cols else df
+
+
+def read_weather_features(spark: SparkSession, path: str) -> DataFrame:
+    """Weather-feature CSV; ids stay text (normalised), year coerced,
+    every other known measure numeric."""
+    df = normalize_id_columns(read_csv_as_text(spark, path))
+    text = {"county_fips", "state_fips", "county", "state", "checkpoint"}
+    numeric = [c for c in df.columns if c not in text | {"year", "is_partial_year"}]
+    return _cast_known(df, numeric, ints=["year"], bools=["is_partial_year"])
+
+
+def read_daily(spark: SparkSession, path: str, date_format: str = "yyyy-MM-dd") -> DataFrame:
+    """Daily measurements CSV with date parsing (bad dates -> NULL)."""
+    df = normalize_id_columns(read_csv_as_text(spark, path))
+    text = {"county_fips", "state_fips", "county", "date"}
+    numeric = [c for c in df.columns if c not in text | {"year", "month"}]
+    df = _cast_known(df, numeric, ints=["year", "month"])
+    return df.withColumn("date", F.try_to_date(F.col("date"), date_format))
+
+
+def read_weekly(spark: SparkSession, path: str) -> DataFrame:
+    """S3: weekly severity CSV -> cleaned."""
+    from pitpanel.operators.weekly import clean_weekly
+    return clean_weekly(read_csv_as_text(spark, path))
+
+
+def union_frames(frames: Sequence[DataFrame]) -> DataFrame:
+    """Union by column name (missing columns as NULL)."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
