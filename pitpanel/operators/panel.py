@@ -19,7 +19,7 @@ from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, St
 
 from pitpanel.functions.ids import is_valid_fips, normalize_fips
 from pitpanel.functions.season import FULL_SEASON_DAYS
-from pitpanel.operators.lags import keep_first, lag_table
+from pitpanel.operators.lags import add_lag_columns, keep_first, lag_table  # noqa: F401
 from pitpanel.operators.season import drop_incomplete_current_year
 from pitpanel.schema import require_columns, validate_merge_keys
 
@@ -75,29 +75,27 @@ def prepare_weather(weather: DataFrame, current_year: int | None = None,
                     allow_partial: bool = False) -> DataFrame:
     """Weather side of J1: id normalised, F5, colliding columns dropped (C13),
     one row per (county_fips, year[, checkpoint]) (O4)."""
-    w = weather.withColumn("county_fips", normalize_fips("county_fips")) \
-        .withColumn("year", F.col("year").cast("int"))
+    cols = weather.columns
+    validate_merge_keys(weather, "weather features", WEATHER_MERGE_KEYS)
+    w = weather.withColumns({"county_fips": normalize_fips("county_fips"), "year": F.col("year").cast("int")})
     if current_year is not None:
         w = drop_incomplete_current_year(w, current_year, allow_partial)
-    w = w.drop(*[c for c in ("county", "state", "state_fips") if c in w.columns])
-    keys = WEATHER_MERGE_KEYS + (["checkpoint"] if "checkpoint" in w.columns else [])
-    validate_merge_keys(w, "weather features", WEATHER_MERGE_KEYS)
-    order = [F.col("obs_days").desc_nulls_last()] if "obs_days" in w.columns else [F.lit(1)]
+    w = w.drop(*[c for c in ("county", "state", "state_fips") if c in cols])
+    keys = WEATHER_MERGE_KEYS + (["checkpoint"] if "checkpoint" in cols else [])
+    order = [F.col("obs_days").desc_nulls_last()] if "obs_days" in cols else [F.lit(1)]
     return keep_first(w, keys, order)
 
 
 def prepare_drought(drought: DataFrame, panel_has_checkpoint: bool) -> tuple[DataFrame, list[str]]:
-    d = drought.withColumn("county_fips", normalize_fips("county_fips")) \
-        .withColumn("year", F.col("year").cast("int"))
-    validate_merge_keys(d, "drought features", WEATHER_MERGE_KEYS)
+    cols = drought.columns
+    validate_merge_keys(drought, "drought features", WEATHER_MERGE_KEYS)
+    d = drought.withColumns({"county_fips": normalize_fips("county_fips"), "year": F.col("year").cast("int")})
     keys = list(WEATHER_MERGE_KEYS)
-    if "checkpoint" in d.columns and panel_has_checkpoint:
+    if "checkpoint" in cols and panel_has_checkpoint:
         keys.append("checkpoint")
-    elif "checkpoint" in d.columns:
+    elif "checkpoint" in cols:
         d = d.drop("checkpoint")
-    if "checkpoint" in d.columns and not panel_has_checkpoint:
-        d = d.drop("checkpoint")
-    order = [F.col("weeks_d0").desc_nulls_last()] if "weeks_d0" in d.columns else [F.lit(1)]
+    order = [F.col("weeks_d0").desc_nulls_last()] if "weeks_d0" in cols else [F.lit(1)]
     return keep_first(d, keys, order), keys
 
 
@@ -111,22 +109,42 @@ def build_panel(targets: DataFrame, weather: DataFrame, drought: DataFrame | Non
     are broadcast over every checkpoint row of an entity-year, as in the
     reference (N11); pass per-checkpoint drought features to avoid that.
     """
+    tcols = targets.columns
     require_columns(targets, ["county_fips", "crop", "year", TARGET_COLUMN], "targets")
-    y = valid_entities(targets).withColumn("year", F.col("year").cast("int"))
-    if with_lags and {"actual_yield", "yield_anomaly"} <= set(y.columns):
-        y = y.join(lag_table(y), ["county_fips", "crop", "year"], "left")      # J2
+    y = targets.withColumns({"county_fips": normalize_fips("county_fips"), "year": F.col("year").cast("int")}) \
+        .filter(is_valid_fips("county_fips"))                                   # C1 + C12
+    if with_lags and {"actual_yield", "yield_anomaly"} <= set(tcols):
+        y = add_lag_columns(y)                                                  # J2 (in place, no fan-out possible)
     w = prepare_weather(weather, current_year, allow_partial)
+    wcols = w.columns
     panel = y.join(w, WEATHER_MERGE_KEYS, "left")                              # J1 (fan-out)
+    has_ck = "checkpoint" in wcols or "checkpoint" in tcols
     if drought is not None:
-        d, dkeys = prepare_drought(drought, "checkpoint" in panel.columns)
+        d, dkeys = prepare_drought(drought, has_ck)
         panel = panel.join(d, dkeys, "left")                                    # J3
-    panel = panel.drop(*[c for c in ("unit",) if c in panel.columns])
-    panel = add_interactions(add_year_index(panel, year_index_base))
+    if "unit" in tcols:
+        panel = panel.drop("unit")
+    pcols = set(tcols) | set(wcols)
+    extra = {"year_index": F.col("year").cast("int") - year_index_base}         # C14
+    if {"extreme_heat_days", "dry_days"} <= pcols:                              # C15
+        extra["heat_dry_stress"] = F.col("extreme_heat_days") * F.col("dry_days")
+    if {"extreme_heat_days", "longest_dry_spell"} <= pcols:
+        extra["heat_dry_spell"] = F.col("extreme_heat_days") * F.col("longest_dry_spell")
+    panel = panel.withColumns(extra)
     if drop_missing_target:
         panel = panel.filter(F.col(TARGET_COLUMN).isNotNull())                  # F6
     return panel
 
 
+def join_lag_table(yields: DataFrame, table: DataFrame, keys=("county_fips", "crop", "year")) -> DataFrame:
+    """J2 as an explicit left join with the reference's guard: the table must
+    be unique by ``keys`` (checked with one aggregate), so the row count
+    cannot change."""
+    if check_unique(table, list(keys)).limit(1).count():
+        raise ValueError(f"lag table is not unique by {list(keys)}")
+    return yields.join(table, list(keys), "left")
+
+
 def unmatched_rows(panel: DataFrame, weather_cols: Sequence[str]) -> DataFrame:
     """Count of panel rows whose weather columns are all NULL (J1 report)."""
     cond = F.lit(True)

@@ -127,6 +127,11 @@ def build_targets(yields: DataFrame, method: str = "rolling", window: int = ROLL
                   keys: Sequence[str] = TARGET_KEYS, value_col: str = "value") -> DataFrame:
     """T4: C10 -> W2 | W3 -> T1 [-> W11]."""
     df = clean_yields(yields, value_col=value_col, keys=keys)
+    # One shuffle on (county_fips, crop) serves this entity window (its keys
+    # are a superset) and the later lag windows keyed by (county_fips, crop).
+    shared = [k for k in ("county_fips", "crop") if k in keys]
+    if shared:
+        df = df.repartition(*shared)
     if method == "rolling":
         df = add_expected_rolling(df, window, min_periods, keys)
     elif method == "trend":
