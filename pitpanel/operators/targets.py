@@ -88,21 +88,27 @@ def add_anomaly(df: DataFrame, actual: str = "actual_yield",
 def add_descriptive_risk(df: DataFrame, quantile: float = RISK_QUANTILE,
                          keys: Sequence[str] = TARGET_KEYS, pct_col: str = "yield_anomaly_pct",
                          label_col: str = "severe_risk_descriptive") -> DataFrame:
-    """W11 (EDA only -- uses every row of the entity): pct <= entity quantile."""
-    from pyspark.sql import Window
-    thr = F.percentile(F.col(pct_col), F.lit(quantile)).over(Window.partitionBy(*keys))
-    return df.withColumn(label_col, F.when(F.col(pct_col).isNotNull(),
-                                           (F.col(pct_col) <= thr).cast("int")))
+    """W11 (EDA only -- uses every row of the entity): pct <= entity quantile.
+    The quantile comes from the distributed exact quantile (no per-entity
+    window buffer) and is joined back on the entity keys."""
+    thr = risk_thresholds(df, quantile, keys, pct_col)
+    j = df.join(thr, list(keys), "left")
+    return j.withColumn(label_col, F.when(F.col(pct_col).isNotNull(),
+                                          (F.col(pct_col) <= F.col("risk_threshold")).cast("int"))) \
+        .drop("risk_threshold")
 
 
 def risk_thresholds(train: DataFrame, quantile: float = RISK_QUANTILE,
                     keys: Sequence[str] = TARGET_KEYS, pct_col: str = "yield_anomaly_pct") -> DataFrame:
     """Per-entity linear-interpolated quantile from training rows only.
 
-    Exact ``percentile`` buffers one entity's values; an entity holds one
-    value per period and checkpoint, so the buffer is bounded."""
-    return (train.filter(F.col(keys[0]).isNotNull() if keys else F.lit(True))
-            .groupBy(*keys).agg(F.percentile(F.col(pct_col), F.lit(quantile)).alias("risk_threshold")))
+    Computed with :func:`exact_quantiles` (range-partitioned ranks), so even
+    an entity holding a large share of the rows is split across tasks
+    instead of being buffered in one.  Entities whose values are all NULL
+    get no row, i.e. a NULL threshold after the left join (as pandas)."""
+    from pitpanel.operators.metrics import exact_quantiles
+    q = exact_quantiles(train.dropna(subset=list(keys)), list(keys), pct_col, {"risk_threshold": quantile})
+    return q.select(*keys, F.col("risk_threshold").cast("double").alias("risk_threshold"))
 
 
 def apply_thresholds(df: DataFrame, thresholds: DataFrame, keys: Sequence[str] = TARGET_KEYS,

@@ -746,13 +746,19 @@ def q_s5(spark, sf_dir):
     return out.withColumn("year", F.col("year").cast("int")).withColumn("month", F.col("month").cast("int"))
 
 
+PAYLOAD_PAGES = 16
+
+
 @register("s6_records_payload", O.with_ctes(["dirty"], "SELECT * EXCLUDE (county_fips) FROM dirty WHERE year <> '2001'"))
 def q_s6(spark, sf_dir):
     """Record payloads {"data": [...]} per (state, crop, year) unnested;
     payloads carrying {"error": [...]} (here: year 2001) are quarantined."""
     d = A.dirty(spark, sf_dir).drop("county_fips")
     recs = F.collect_list(F.struct(*[F.col(c) for c in PL.RECORD_FIELDS]))
-    g = d.groupBy("state_name", "commodity_desc", "year").agg(recs.alias("data"))
+    # payload pages: records of one (state, crop, year) are spread over hashed
+    # pages, so no single payload (or task) holds an unbounded group
+    page = F.pmod(F.xxhash64("county_name", "county_ansi"), F.lit(PAYLOAD_PAGES))
+    g = d.groupBy("state_name", "commodity_desc", "year", page.alias("page")).agg(recs.alias("data"))
     payload = F.when(F.col("year") == "2001", F.to_json(F.struct(F.array(F.lit("record limit exceeded")).alias("error")))) \
         .otherwise(F.to_json(F.struct(F.col("data").alias("data"))))
     rows, _errors = PL.unnest_records(g.select(payload.alias("payload")))
