@@ -183,7 +183,8 @@ def auroc(df: DataFrame, score: str = "y_score", label: str = "y_true", by: Sequ
     j = cum.join(start, by) if by else cum.crossJoin(start)
     below = F.col("_neg_cum") - F.col("_N_cum")
     out = j.groupBy(*by).agg(
-        (F.sum(F.col("_pos") * (below + 0.5 * F.col("_neg"))) / (F.first("_P") * F.first("_N"))).alias("auroc"),
+        F.try_divide(F.sum(F.col("_pos") * (below + 0.5 * F.col("_neg"))),
+                     F.first("_P") * F.first("_N")).alias("auroc"),
         F.first("_P").alias("n_pos"), F.first("_N").alias("n_neg"))
     return out.withColumn("auroc", F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0), F.col("auroc")))
 

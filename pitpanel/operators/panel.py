@@ -178,7 +178,7 @@ def missingness_report(df: DataFrame) -> DataFrame:
         for i, f in enumerate(fields)]))
     out = agg.select("_n", stack.alias("s")).select(
         "s.column", "s.missing_count",
-        F.bround(F.col("s.missing_count") * 100.0 / F.col("_n"), 2).alias("missing_pct"), "s.dtype")
+        F.bround(F.try_divide(F.col("s.missing_count") * 100.0, F.col("_n")), 2).alias("missing_pct"), "s.dtype")
     return out
 
 

@@ -778,6 +778,41 @@ def q_u(spark, sf_dir):
             .unionByName(a.distinct().select(F.lit("distinct").alias("op"), "year")))
 
 
+# The modeling-panel layout (column, pandas-style dtype) for the A13 oracle.
+PANEL_LAYOUT = [
+    ("county_fips", "object"), ("year", "int64"), ("state", "object"), ("county", "object"), ("crop", "object"),
+    ("actual_yield", "float64"), ("expected_yield", "float64"), ("yield_anomaly", "float64"),
+    ("yield_anomaly_pct", "float64"), ("prior_year_yield_anomaly", "float64"), ("prior_year_yield", "float64"),
+    ("rolling_3yr_mean_yield_anomaly", "float64"), ("rolling_3yr_std_yield_anomaly", "float64"),
+    ("rolling_3yr_mean_yield", "float64"), ("rolling_3yr_std_yield", "float64"), ("checkpoint", "object"),
+    ("cumulative_precip", "float64"), ("mean_temp", "float64"), ("max_temp", "float64"),
+    ("extreme_heat_days", "int64"), ("dry_days", "int64"), ("longest_dry_spell", "int64"),
+    ("growing_degree_days", "float64"), ("obs_days", "int64"), ("max_consecutive_dry_days", "int64"),
+    ("precip_last_30_days_before_checkpoint", "float64"), ("heat_days_last_30_days_before_checkpoint", "float64"),
+    ("gdd_last_30_days_before_checkpoint", "float64"), ("extreme_heat_days_after_july_1", "float64"),
+    ("is_partial_year", "bool"), ("precip_anomaly", "float64"),
+    ("precip_anomaly_from_county_checkpoint_mean", "float64"), ("gdd_anomaly_from_county_checkpoint_mean", "float64"),
+    ("heat_days_anomaly_from_county_checkpoint_mean", "float64"),
+    ("dry_days_anomaly_from_county_checkpoint_mean", "float64"),
+    ("temp_mean_anomaly_from_county_checkpoint_mean", "float64"), ("precip_pct_of_county_checkpoint_mean", "float64"),
+    ("weeks_d0", "int64"), ("weeks_d1", "int64"), ("weeks_d2", "int64"), ("weeks_d3", "int64"), ("weeks_d4", "int64"),
+    ("weeks_d2_plus", "int64"), ("max_drought_category", "int64"), ("mean_drought_severity", "float64"),
+    ("year_index", "int64"), ("heat_dry_stress", "int64"), ("heat_dry_spell", "int64"),
+]
+A13_SQL = O.with_ctes(["panel"], "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count_if({c} IS NULL) AS missing_count, "
+    f"round_even(cast(count_if({c} IS NULL) AS double) * 100.0 / cast(count(*) AS double), 2) AS missing_pct, "
+    f"'{t}' AS dtype FROM panel_all" for c, t in PANEL_LAYOUT))
+
+
+@register("a13_missingness_report", A13_SQL, ["missing_pct"])
+def q_a13(spark, sf_dir):
+    """Column missingness of the panel before the missing-target drop."""
+    p = P.build_panel(targets_df(spark, sf_dir), weather_df(spark, sf_dir), drought_df(spark, sf_dir),
+                      drop_missing_target=False)
+    return P.missingness_report(p)
+
+
 @register("f8_explorer_filter", O.with_ctes(["reg_preds"], """
 SELECT * FROM reg_preds WHERE crop = 'BUILDING' AND state = 'EUROPE' AND year = 2001"""), ["y_true", "y_pred"])
 def q_f8(spark, sf_dir):
