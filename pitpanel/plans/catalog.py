@@ -398,21 +398,37 @@ from pitpanel.operators import metrics as M  # noqa: E402
 META = ["year", "state", "county_fips", "crop", "checkpoint"]
 
 
+def labelled_panel(spark: SparkSession, sf_dir: str, n_test_years: int = 2) -> DataFrame:
+    """Panel rows with a checkpoint -> T5 (latest 2 years test) -> T3 labels,
+    as one ``split``-tagged table materialised once (the labelled split is
+    shared by every baseline, metric and model job)."""
+    def build():
+        panel = stored_panel(spark, sf_dir).filter(F.col("checkpoint").isNotNull())
+        tagged = SP.tag_temporal_split(panel, n_test_years)
+        thr = T.risk_thresholds(tagged.filter(F.col("split") == "train"))
+        return T.apply_thresholds(tagged, thr)
+    return stored(spark, sf_dir, f"labelled{n_test_years}", build)
+
+
 def labelled_split(spark: SparkSession, sf_dir: str, n_test_years: int = 2):
-    """Panel rows with a checkpoint -> T5 (latest 2 years test) -> T3 labels."""
-    panel = stored_panel(spark, sf_dir).filter(F.col("checkpoint").isNotNull())
-    train, test = SP.temporal_split(panel, n_test_years)
-    return T.assign_risk_labels(train, test)
+    lab = labelled_panel(spark, sf_dir, n_test_years)
+    return (lab.filter(F.col("split") == "train").drop("split"),
+            lab.filter(F.col("split") == "test").drop("split"))
 
 
 def reg_preds(spark, sf_dir):
-    train, test = labelled_split(spark, sf_dir)
-    return B.regression_predictions(train, test)
+    """Regression baseline predictions (a saved output, read by the metric jobs)."""
+    def build():
+        train, test = labelled_split(spark, sf_dir)
+        return B.regression_predictions(train, test)
+    return stored(spark, sf_dir, "reg_preds", build)
 
 
 def cls_preds(spark, sf_dir):
-    train, test = labelled_split(spark, sf_dir)
-    return B.classification_predictions(train, test)
+    def build():
+        train, test = labelled_split(spark, sf_dir)
+        return B.classification_predictions(train, test)
+    return stored(spark, sf_dir, "cls_preds", build)
 
 
 PRED_COLS = [*META, "model", "task", "y_true", "y_pred"]
