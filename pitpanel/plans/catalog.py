@@ -60,14 +60,40 @@ DROUGHT_DOUBLES = ["mean_drought_severity"]
 PANEL_DOUBLES = TARGET_DOUBLES + LAG_DOUBLES + WEATHER_DOUBLES + DROUGHT_DOUBLES
 
 
-def finish(df: DataFrame, digits: dict[str, int] | None = None, default: int = 6) -> DataFrame:
-    """Round every floating column (``round(x, d) + 0.0`` also folds -0.0)."""
+SIG_DIGITS = 8
+# magnitude buckets [10^k, 10^(k+1)) for which decimals = sig - 1 - k
+MAG_RANGE = range(12, -7, -1)
+
+
+def _half_up(c, d: int):
+    """floor(x * 10^d + 0.5) / 10^d with exact powers of ten: a pure IEEE
+    computation, so identical doubles round identically in any engine."""
+    if d >= 0:
+        p = F.lit(float(10 ** d))
+        return F.floor(c * p + F.lit(0.5)) / p
+    p = F.lit(float(10 ** -d))
+    return F.floor(c / p + F.lit(0.5)) * p
+
+
+def sig_round(c, sig: int = SIG_DIGITS):
+    """Round to ``sig`` significant digits.  The decimal count is picked by
+    comparing |x| with exact powers of ten (no log10, so both engines pick
+    the same bucket); ``+ 0.0`` folds -0.0 into 0.0.  NaN / huge values pass."""
+    a = F.abs(c)
+    expr = F.when(F.isnan(c) | (a >= F.lit(1e13)), c)
+    for k in MAG_RANGE:
+        expr = expr.when(a >= F.lit(float(10 ** k)), _half_up(c, sig - 1 - k))
+    expr = expr.otherwise(_half_up(c, sig - 1 - (MAG_RANGE[-1] - 1)))
+    return expr + F.lit(0.0)
+
+
+def finish(df: DataFrame, digits: dict[str, int] | None = None, default: int = SIG_DIGITS) -> DataFrame:
+    """Round every floating column to significant digits (per-column override)."""
     digits = digits or {}
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            d = digits.get(f.name, default)
-            cols.append((F.round(F.col(f"`{f.name}`"), d) + F.lit(0.0)).alias(f.name))
+            cols.append(sig_round(F.col(f"`{f.name}`"), digits.get(f.name, default)).alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)
@@ -176,7 +202,7 @@ FROM (SELECT *, CASE WHEN count(value) OVER w >= 5
 
 
 @register("w3_expected_trend", TREND_SQL, TARGET_DOUBLES,
-          {"expected_yield": 4, "yield_anomaly": 4, "yield_anomaly_pct": 4})
+          {"expected_yield": 7, "yield_anomaly": 7, "yield_anomaly_pct": 7})
 def q_w3(spark, sf_dir):
     """W3 + T1: prior-only OLS trend expectation (rounded to 4 decimals)."""
     return T.build_targets(A.annual(spark, sf_dir), method="trend").select(*TARGET_COLS)
@@ -187,7 +213,7 @@ SELECT state, county_fips, crop, year,
   CASE WHEN count(value) OVER w >= 5 THEN regr_slope(value, cast(year AS double)) OVER w END AS yield_trend_slope
 FROM annual WINDOW w AS (PARTITION BY state, county_fips, crop ORDER BY year
                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""), ["yield_trend_slope"],
-          {"yield_trend_slope": 4})
+          {"yield_trend_slope": 7})
 def q_w13(spark, sf_dir):
     """Prior-only trend slope feature."""
     y = T.clean_yields(A.annual(spark, sf_dir))

@@ -269,11 +269,31 @@ def with_ctes(names: list[str], body: str, extra: str | None = None) -> str:
     return bigint_counts("WITH " + ",\n".join(parts) + "\n" + body)
 
 
-def finish_sql(sql: str, doubles: list[str], digits: int | dict[str, int] = 6) -> str:
+SIG_DIGITS = 8
+MAG_RANGE = range(12, -7, -1)
+
+
+def _half_up_sql(c: str, d: int) -> str:
+    if d >= 0:
+        p = f"CAST({float(10 ** d)!r} AS DOUBLE)"
+        return f"floor({c} * {p} + CAST(0.5 AS DOUBLE)) / {p}"
+    p = f"CAST({float(10 ** -d)!r} AS DOUBLE)"
+    return f"floor({c} / {p} + CAST(0.5 AS DOUBLE)) * {p}"
+
+
+def sig_round_sql(c: str, sig: int = SIG_DIGITS) -> str:
+    """Same significant-digit rounding as the Spark side."""
+    whens = " ".join(f"WHEN abs({c}) >= CAST({float(10 ** k)!r} AS DOUBLE) THEN {_half_up_sql(c, sig - 1 - k)}"
+                     for k in MAG_RANGE)
+    last = _half_up_sql(c, sig - 1 - (MAG_RANGE[-1] - 1))
+    return (f"(CASE WHEN isnan({c}) OR abs({c}) >= CAST(1e13 AS DOUBLE) THEN {c} {whens} "
+            f"ELSE {last} END + CAST(0.0 AS DOUBLE))")
+
+
+def finish_sql(sql: str, doubles: list[str], digits: dict[str, int] | None = None) -> str:
     """Round double outputs the same way the Spark side does."""
     if not doubles:
         return sql
-    def d(c):
-        return digits.get(c, 6) if isinstance(digits, dict) else digits
-    repl = ", ".join(f'round("{c}", {d(c)}) + 0.0 AS "{c}"' for c in doubles)
+    digits = digits or {}
+    repl = ", ".join(f'{sig_round_sql(chr(34) + c + chr(34), digits.get(c, SIG_DIGITS))} AS "{c}"' for c in doubles)
     return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) AS q"
