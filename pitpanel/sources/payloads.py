@@ -25,20 +25,36 @@ def unnest_weather_payload(df: DataFrame, payload_col: str = "payload",
                            params: Sequence[str] = WEATHER_PARAMS, keep: Sequence[str] = ()) -> DataFrame:
     """One row per date of the *first* parameter, one column per
     requested parameter; a date absent from a parameter gets the sentinel,
-    and the sentinel (exact match) becomes NULL; adds date, year, month."""
-    m = F.from_json(F.col(payload_col), MapType(StringType(), MapType(StringType(), StringType())))
+    and the sentinel (exact match) becomes NULL; adds date, year, month.
+
+    The parameter maps are merged by date with ``map_zip_with`` (a hash
+    merge, linear in the payload) and exploded once -- no per-date map
+    lookups (which scan the map) and no shuffle."""
+    text_map = MapType(StringType(), StringType())
+    m = F.from_json(F.col(payload_col), MapType(StringType(), text_map))
     parsed = df.select(*keep, m.alias("_m"))
     first = F.element_at(F.map_keys(F.col("_m")), 1)
-    dates = parsed.select(*keep, "_m", F.explode(F.map_keys(F.col("_m")[first])).alias("_d"))
+    empty = F.create_map().cast(text_map)
+    acc = F.transform_values(F.col("_m")[first], lambda k, v: F.struct(F.lit(True).alias("_present")))
+    done: list[str] = []
+    for p in params:
+        acc = F.map_zip_with(acc, F.coalesce(F.col("_m")[p], empty), _merger(list(done), p))
+        done.append(p)
+    rows = parsed.select(*keep, F.explode(acc).alias("_d", "_v")).filter(F.col("_v._present"))
     cols = []
     for p in params:
-        v = F.coalesce(F.col("_m")[p][F.col("_d")].try_cast("double"), F.lit(SENTINEL))
+        v = F.coalesce(F.col(f"_v.{p}").try_cast("double"), F.lit(SENTINEL))
         cols.append(sentinel_to_null(v).alias(p))
     date = F.to_date(F.col("_d"), "yyyyMMdd")
-    out = dates.select(*keep, date.alias("date"), *cols)
+    out = rows.select(*keep, date.alias("date"), *cols)
     return out.withColumn("year", F.year("date")).withColumn("month", F.month("date"))
 
 
+def _merger(prev: list[str], p: str):
+    """(key, accumulated struct, value) -> struct carrying one more parameter."""
+    return lambda k, a, v: F.struct(a["_present"].alias("_present"), *[a[q].alias(q) for q in prev], v.alias(p))
+
+
 RECORD_FIELDS = ["year", "state_name", "county_name", "commodity_desc", "unit_desc", "Value",
                  "state_fips_code", "county_ansi"]
 
