@@ -19,7 +19,7 @@ from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, St
 
 from pitpanel.functions.ids import is_valid_fips, normalize_fips
 from pitpanel.functions.season import FULL_SEASON_DAYS
-from pitpanel.operators.lags import add_lag_columns, keep_first, lag_table  # noqa: F401
+from pitpanel.operators.lags import add_lag_columns, keep_first
 from pitpanel.operators.season import drop_incomplete_current_year
 from pitpanel.schema import require_columns, validate_merge_keys
 

@@ -1,6 +1,5 @@
 """Identifier and numeric text handling."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from pitpanel.functions.ids import (

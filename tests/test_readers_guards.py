@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from pitpanel.operators import lags as LG
 from pitpanel.operators import metrics as M

@@ -2,11 +2,9 @@
 
 import datetime as dt
 import json
-import os
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from pitpanel.sources import landing as L
 from pitpanel.sources import payloads as PL
