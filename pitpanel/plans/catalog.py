@@ -855,6 +855,35 @@ def q_a13(spark, sf_dir):
     return P.missingness_report(p)
 
 
+@register("c16_checkpoint_label", O.with_ctes(["runs"], """
+SELECT county_fips, year, obs_days,
+  CASE WHEN obs_days < 120 THEN 'partial' ELSE 'full_season' END AS checkpoint
+FROM (SELECT county_fips, year, count(*) AS obs_days FROM runs GROUP BY county_fips, year)"""))
+def q_c16(spark, sf_dir):
+    """Checkpoint label derived from the season flag (here with an
+    explicit 120-day season, as the test data never has 153 days)."""
+    f = S.season_features(A.daily(spark, sf_dir), group_cols=["county_fips", "year"], full_days=120)
+    return P.add_checkpoint_label(f).select("county_fips", "year", "obs_days", "checkpoint")
+
+
+@register("s16_load_saved_panel", O.with_ctes(["panel"], """
+SELECT county_fips, crop, year, checkpoint, yield_anomaly FROM panel"""), ["yield_anomaly"])
+def q_s16(spark, sf_dir):
+    """S11 + S16: the panel saved as CSV in the shared folder, loaded back
+    (ids normalised, year coerced, label columns dropped)."""
+    import uuid
+    from pitpanel.session import ensure_checkpoint_dir
+    from pitpanel.sources.sinks import write_table
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/s16-{uuid.uuid4().hex}"
+    lab = labelled_panel(spark, sf_dir).drop("split")
+    write_table(stored_panel(spark, sf_dir).join(lab.select("county_fips", "crop", "year", "checkpoint", "severe_risk"),
+                                                 ["county_fips", "crop", "year", "checkpoint"], "left"), path, fmt="csv")
+    p = R.load_panel(spark, path, fmt="csv")
+    assert "severe_risk" not in p.columns
+    return p.select("county_fips", "crop", "year", "checkpoint",
+                    F.col("yield_anomaly").try_cast("double").alias("yield_anomaly"))
+
+
 @register("f8_explorer_filter", O.with_ctes(["reg_preds"], """
 SELECT * FROM reg_preds WHERE crop = 'BUILDING' AND state = 'EUROPE' AND year = 2001"""), ["y_true", "y_pred"])
 def q_f8(spark, sf_dir):
