@@ -137,13 +137,15 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str,
     only the rows holding the two ranks around each quantile position
     survive to the final per-group aggregate.  One output column per name."""
     by = list(by)
+    if not by:                      # one global group: a constant key, no cross join
+        out = exact_quantiles(df.withColumn("_all", F.lit(1)), ["_all"], value, qs, num_partitions)
+        return out.drop("_all")
     base = df.filter(F.col(value).isNotNull()).dropna(subset=by) \
         .groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
     ranked = global_prefix_sums(base, [*by, value], ["_c"], num_partitions)
     n_by = base.groupBy(*by).agg(F.sum("_c").alias("_n"))
-    grp_off = global_prefix_sums(n_by, by, ["_n"], 1, inclusive=False) if by \
-        else n_by.withColumn("_n_cum", F.lit(0))
-    j = ranked.join(grp_off, by) if by else ranked.crossJoin(grp_off)
+    grp_off = global_prefix_sums(n_by, by, ["_n"], 1, inclusive=False)
+    j = ranked.join(grp_off, by)
     r = j.select(*by, value, (F.col("_c_cum") - F.col("_n_cum") - F.col("_c")).alias("_lo"),
                  (F.col("_c_cum") - F.col("_n_cum")).alias("_hi"), "_n")
     items = []
@@ -158,8 +160,7 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str,
         F.first("_q.h").alias("h"), F.first("_q.i0").alias("i0"),
         F.max(F.when(hit0, F.col(value))).alias("v0"), F.max(F.when(hit1, F.col(value))).alias("v1"))
     val = F.col("v0") + (F.col("h") - F.col("i0")) * (F.col("v1") - F.col("v0"))
-    g = part.groupBy(*by) if by else part.groupBy()
-    return g.pivot("stat", list(qs)).agg(F.first(val))
+    return part.groupBy(*by).pivot("stat", list(qs)).agg(F.first(val))
 
 
 def residual_box_stats(df: DataFrame, by: Sequence[str], residual: str = "residual",
@@ -175,12 +176,14 @@ def auroc(df: DataFrame, score: str = "y_score", label: str = "y_true", by: Sequ
     in one task: counts per (group, score), range-partitioned prefix sums of
     negatives, then one aggregate."""
     by = list(by)
+    if not by:                      # one global group: a constant key, no cross join
+        return auroc(df.withColumn("_all", F.lit(1)), score, label, ["_all"], num_partitions).drop("_all")
     c = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(*by, score).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) != 1).alias("_neg"))
     cum = global_prefix_sums(c, [*by, score], ["_neg"], num_partitions, inclusive=False)
     tot = c.groupBy(*by).agg(F.sum("_neg").alias("_N"), F.sum("_pos").alias("_P"))
-    start = global_prefix_sums(tot, by, ["_N"], 1, inclusive=False) if by else tot.withColumn("_N_cum", F.lit(0))
-    j = cum.join(start, by) if by else cum.crossJoin(start)
+    start = global_prefix_sums(tot, by, ["_N"], 1, inclusive=False)
+    j = cum.join(start, by)
     below = F.col("_neg_cum") - F.col("_N_cum")
     out = j.groupBy(*by).agg(
         F.try_divide(F.sum(F.col("_pos") * (below + 0.5 * F.col("_neg"))),
