@@ -61,30 +61,22 @@ PANEL_DOUBLES = TARGET_DOUBLES + LAG_DOUBLES + WEATHER_DOUBLES + DROUGHT_DOUBLES
 
 
 SIG_DIGITS = 8
-# magnitude buckets [10^k, 10^(k+1)) for which decimals = sig - 1 - k
-MAG_RANGE = range(12, -7, -1)
-
-
-def _half_up(c, d: int):
-    """floor(x * 10^d + 0.5) / 10^d with exact powers of ten: a pure IEEE
-    computation, so identical doubles round identically in any engine."""
-    if d >= 0:
-        p = F.lit(float(10 ** d))
-        return F.floor(c * p + F.lit(0.5)) / p
-    p = F.lit(float(10 ** -d))
-    return F.floor(c / p + F.lit(0.5)) * p
 
 
 def sig_round(c, sig: int = SIG_DIGITS):
-    """Round to ``sig`` significant digits.  The decimal count is picked by
-    comparing |x| with exact powers of ten (no log10, so both engines pick
-    the same bucket); ``+ 0.0`` folds -0.0 into 0.0.  NaN / huge values pass."""
+    """Round to ``sig`` significant digits with engine-independent arithmetic:
+    d = sig - 1 - floor(log10|x|) (clamped to [-12, 22]), scale = 10^|d|
+    (an exact double for these integer powers), then half-up as
+    floor(x * scale + 0.5) / scale (or the mirror for d < 0).  Identical
+    doubles round identically in Spark and in the SQL oracle; ``+ 0.0``
+    folds -0.0 into 0.0; zero, NaN and |x| >= 1e13 pass through."""
     a = F.abs(c)
-    expr = F.when(F.isnan(c) | (a >= F.lit(1e13)), c)
-    for k in MAG_RANGE:
-        expr = expr.when(a >= F.lit(float(10 ** k)), _half_up(c, sig - 1 - k))
-    expr = expr.otherwise(_half_up(c, sig - 1 - (MAG_RANGE[-1] - 1)))
-    return expr + F.lit(0.0)
+    d = F.least(F.greatest(F.lit(sig - 1) - F.floor(F.log10(F.greatest(a, F.lit(1e-300)))), F.lit(-12)), F.lit(22))
+    scale = F.pow(F.lit(10.0), F.abs(d))
+    rounded = F.when(d >= 0, F.floor(c * scale + F.lit(0.5)) / scale) \
+        .otherwise(F.floor(c / scale + F.lit(0.5)) * scale)
+    keep = F.isnan(c) | (a == 0) | (a >= F.lit(1e13))
+    return F.when(keep, c).otherwise(rounded) + F.lit(0.0)
 
 
 def finish(df: DataFrame, digits: dict[str, int] | None = None, default: int = SIG_DIGITS) -> DataFrame:

@@ -270,24 +270,16 @@ def with_ctes(names: list[str], body: str, extra: str | None = None) -> str:
 
 
 SIG_DIGITS = 8
-MAG_RANGE = range(12, -7, -1)
-
-
-def _half_up_sql(c: str, d: int) -> str:
-    if d >= 0:
-        p = f"CAST({float(10 ** d)!r} AS DOUBLE)"
-        return f"floor({c} * {p} + CAST(0.5 AS DOUBLE)) / {p}"
-    p = f"CAST({float(10 ** -d)!r} AS DOUBLE)"
-    return f"floor({c} / {p} + CAST(0.5 AS DOUBLE)) * {p}"
 
 
 def sig_round_sql(c: str, sig: int = SIG_DIGITS) -> str:
     """Same significant-digit rounding as the Spark side."""
-    whens = " ".join(f"WHEN abs({c}) >= CAST({float(10 ** k)!r} AS DOUBLE) THEN {_half_up_sql(c, sig - 1 - k)}"
-                     for k in MAG_RANGE)
-    last = _half_up_sql(c, sig - 1 - (MAG_RANGE[-1] - 1))
-    return (f"(CASE WHEN isnan({c}) OR abs({c}) >= CAST(1e13 AS DOUBLE) THEN {c} {whens} "
-            f"ELSE {last} END + CAST(0.0 AS DOUBLE))")
+    d = (f"least(greatest({sig - 1} - floor(log10(greatest(abs({c}), CAST(1e-300 AS DOUBLE)))), -12), 22)")
+    scale = f"pow(CAST(10.0 AS DOUBLE), abs({d}))"
+    half = "CAST(0.5 AS DOUBLE)"
+    return (f"(CASE WHEN isnan({c}) OR abs({c}) = 0 OR abs({c}) >= CAST(1e13 AS DOUBLE) THEN {c} "
+            f"WHEN {d} >= 0 THEN floor({c} * {scale} + {half}) / {scale} "
+            f"ELSE floor({c} / {scale} + {half}) * {scale} END + CAST(0.0 AS DOUBLE))")
 
 
 def finish_sql(sql: str, doubles: list[str], digits: dict[str, int] | None = None) -> str:
