@@ -876,6 +876,30 @@ def q_s16(spark, sf_dir):
                     F.col("yield_anomaly").try_cast("double").alias("yield_anomaly"))
 
 
+DROUGHT_CK_SQL = """dck AS (
+  SELECT county_fips, year, checkpoint, count_if(D0 > 0) AS weeks_d0, count_if(D1 > 0) AS weeks_d1,
+    count_if(D2 > 0) AS weeks_d2, count_if(D3 > 0) AS weeks_d3, count_if(D4 > 0) AS weeks_d4,
+    count_if(D2 + D3 + D4 > 0) AS weeks_d2_plus, max(dom) AS max_drought_category, avg(dom) AS mean_drought_severity
+  FROM (SELECT w.*, cast(year(w.date) AS int) AS year, ck.checkpoint,
+          CASE WHEN D4 > 0 THEN 4 WHEN D3 > 0 THEN 3 WHEN D2 > 0 THEN 2 WHEN D1 > 0 THEN 1 ELSE 0 END AS dom
+        FROM weekly w JOIN ck ON month(w.date) * 100 + day(w.date) <= ck.end_key
+        WHERE month(w.date) BETWEEN 4 AND 8)
+  GROUP BY county_fips, year, checkpoint)"""
+
+
+@register("j3_panel_checkpoint_drought", O.with_ctes(["panel"], """
+SELECT p.* REPLACE (d.weeks_d0 AS weeks_d0, d.weeks_d1 AS weeks_d1, d.weeks_d2 AS weeks_d2, d.weeks_d3 AS weeks_d3,
+                    d.weeks_d4 AS weeks_d4, d.weeks_d2_plus AS weeks_d2_plus,
+                    d.max_drought_category AS max_drought_category, d.mean_drought_severity AS mean_drought_severity)
+FROM panel p LEFT JOIN dck d ON p.county_fips = d.county_fips AND p.year = d.year AND p.checkpoint = d.checkpoint""",
+    extra=DROUGHT_CK_SQL), PANEL_DOUBLES)
+def q_j3(spark, sf_dir):
+    """J3 with checkpoint keys on both sides: drought features cut at each
+    checkpoint (the leak-free option, N11) joined without fan-out."""
+    d = WK.weekly_features_by_checkpoint(A.weekly(spark, sf_dir))
+    return P.build_panel(targets_df(spark, sf_dir), weather_df(spark, sf_dir), d)
+
+
 @register("f8_explorer_filter", O.with_ctes(["reg_preds"], """
 SELECT * FROM reg_preds WHERE crop = 'BUILDING' AND state = 'EUROPE' AND year = 2001"""), ["y_true", "y_pred"])
 def q_f8(spark, sf_dir):
