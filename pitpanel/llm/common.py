@@ -63,6 +63,12 @@ def write_stage(df: DataFrame, name: str, bucket_by: str | None = None) -> DataF
     return spark.table(tag)
 
 
+def drop_stage(stage: DataFrame) -> None:
+    """Remove a stage that nothing reads any more."""
+    for path in {f.rsplit("/", 1)[0] for f in stage.inputFiles()}:
+        _drop_folder(stage.sparkSession, path)
+
+
 def text_digest(text: Column | str) -> Column:
     """128 bits of SHA-256 over the UTF-8 text, as 16 bytes; null for null."""
     return F.unhex(F.substring(F.sha2(F.col(text) if isinstance(text, str) else text, 256), 1, 32))
@@ -122,10 +128,11 @@ def window_hashes(h: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
 
 
 def spread(starts: np.ndarray, length: int, n: int) -> np.ndarray:
-    """Mask of the ``n`` positions covered by windows of ``length`` at ``starts``."""
-    edge = np.zeros(n + 1, np.int64)
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, np.minimum(starts + length, n), -1)
+    """Mask of the ``n`` positions covered by windows of ``length`` at the
+    distinct ``starts``."""
+    edge = np.zeros(n + 1, np.int32)
+    edge[starts] += 1
+    edge[np.minimum(starts + length, n)] -= 1
     return np.cumsum(edge[:-1]) > 0
 
 
