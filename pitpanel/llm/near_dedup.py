@@ -9,10 +9,12 @@ agree; at similarity s they never meet with probability below
 
 A table key can only be shared if both its parts are, so parts that occur
 once are dropped before the pairs are formed.  Inside a table every document
-is compared with the table's first one (a star, never all pairs); tables whose
-members then lie in several components are compared again, by stars from one
-member of each component and at last across the remaining components, so that
-a link is lost only if the two documents never met.  Links are confirmed on
+is compared with the table's first one (a star, never all pairs).  Documents
+of tables whose members then lie in several components are regrouped by the
+rarest fifth of their shingles, of which two documents over the similarity
+must share one; these groups are compared by stars from one member of the
+lowest and highest component, and at last across the components that remain.
+So a link is lost only if the two documents never met.  Links are confirmed on
 the full shingle sets.
 
 Documents with equal shingle sets are folded before all this; they meet in a
@@ -44,7 +46,7 @@ SIDE = 12
 ROWS = 2
 #: Shingles hashed at once inside a task.
 CHUNK = 1 << 18
-#: Star rounds before the remaining components of a table are compared.
+#: Star rounds before the remaining components of a group are compared.
 STAR_ROUNDS = 3
 
 
@@ -162,31 +164,62 @@ def near_links(docs: DataFrame, nodes: DataFrame, length: int, percent: int, sid
         .select("node", "text").dropDuplicates(["node"]).mapInArrow(_sets(length), "node long, shingles array<long>"),
         "sets")
     results = write_stage(_confirmed(tested, sets, percent), "links")
+    labels = components(results.where("linked").select("a", "b"))
+    unsettled = _mixed(members, labels).select("node").distinct()
+    tokens = write_stage(_prefix_tokens(unsettled.join(sets, "node"), percent), "tokens")
     for round_ in range(STAR_ROUNDS + 1):
-        labels = components(results.where("linked").select("a", "b"))
-        named = members.join(labels, "node", "left").select(
-            "table", "node", F.coalesce("comp", "node").alias("comp"))
-        mixed = named.groupBy("table").agg(F.min("comp").alias("low"), F.max("comp").alias("high")) \
-            .where("low < high")
-        open_ = write_stage(named.join(mixed, "table"), "open")
-        if round_ < STAR_ROUNDS:  # from one member of the lowest and of the highest component
-            leads = open_.groupBy("table").agg(
-                F.max(F.when(F.col("comp") == F.col("low"), F.col("node"))).alias("l"),
-                F.min(F.when(F.col("comp") == F.col("high"), F.col("node"))).alias("h"))
-            stars = open_.join(leads, "table")
-            new = stars.where("comp <> low").select(F.least("l", "node").alias("a"), F.greatest("l", "node").alias("b")) \
-                .union(stars.where("comp <> high").select(F.least("h", "node"), F.greatest("h", "node")))
-        else:
-            other = open_.select("table", F.col("node").alias("o"), F.col("comp").alias("oc"))
-            new = open_.join(other, "table").where("comp < oc") \
-                .select(F.least("node", "o").alias("a"), F.greatest("node", "o").alias("b"))
+        open_ = write_stage(_mixed(tokens, labels), "open")
+        new = _stars(open_) if round_ < STAR_ROUNDS else _rest(open_, percent)
         new = write_stage(new.distinct().join(results.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        if new.isEmpty():
-            if round_ < STAR_ROUNDS:
-                continue
-            return labels
-        results = write_stage(results.unionByName(_confirmed(new, sets, percent)), "links")
-    return components(results.where("linked").select("a", "b"))
+        if not new.isEmpty():
+            results = write_stage(results.unionByName(_confirmed(new, sets, percent)), "links")
+            labels = components(results.where("linked").select("a", "b"))
+    return labels
+
+
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (table, node, ...) of tables with more than one component, with
+    ``comp`` and the table's lowest and highest component."""
+    named = members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    mixed = named.groupBy("table").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
+    return named.join(mixed, "table")
+
+
+def _prefix_tokens(sets: DataFrame, percent: int) -> DataFrame:
+    """(table, node, after, n) of the rarest shingles of every set, as many as
+    two sets that reach the similarity cannot both miss; ``after`` counts the
+    set's shingles from this one on, of ``n``.  Shingles that occur once are
+    left out at the end."""
+    rows = sets.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("table"))
+    counts = rows.groupBy("table").agg(F.count("*").alias("df"))
+    size = F.size("all")
+    prefix = F.slice(F.array_sort("all"), 1, (size - F.ceil(size * percent / 100) + 1).cast("int"))
+    return rows.join(counts, "table").groupBy("node", "n") \
+        .agg(F.collect_list(F.struct("df", "table")).alias("all")) \
+        .select("node", "n", F.posexplode_outer(prefix).alias("at", "p")).where("p.df > 1") \
+        .select(F.col("p.table").alias("table"), "node", (F.col("n") - F.col("at")).alias("after"), "n")
+
+
+def _stars(open_: DataFrame) -> DataFrame:
+    """Pairs of a member of the lowest and one of the highest component of
+    each table with the members of its other components."""
+    leads = open_.groupBy("table").agg(
+        F.max(F.when(F.col("comp") == F.col("low"), F.col("node"))).alias("l"),
+        F.min(F.when(F.col("comp") == F.col("high"), F.col("node"))).alias("h"))
+    stars = open_.join(leads, "table")
+    return stars.where("comp <> low").select(F.least("l", "node").alias("a"), F.greatest("l", "node").alias("b")) \
+        .union(stars.where("comp <> high").select(F.least("h", "node"), F.greatest("h", "node")))
+
+
+def _rest(open_: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a group's members in different components that may still reach
+    the similarity: from the first shared shingle on, the rarest, both sets
+    must have enough shingles left."""
+    other = open_.select("table", F.col("node").alias("o"), F.col("comp").alias("oc"), F.col("after").alias("oa"),
+                         F.col("n").alias("on"))
+    return open_.join(other, "table").where("comp < oc") \
+        .where((100 + percent) * F.least("after", "oa") >= percent * (F.col("n") + F.col("on"))) \
+        .select(F.least("node", "o").alias("a"), F.greatest("node", "o").alias("b"))
 
 
 def near_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, side: int = SIDE,
