@@ -12,7 +12,7 @@ from pitpanel.llm.common import read
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.substring_dedup(read(spark, sf_dir, "documents"))
+    return substring_dedup.substring_dedup(read(spark, sf_dir, "documents")).drop("longest_level")
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,4 +58,75 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                             op8_mixing, op9_language_id, op10_toxicity)}
 
 
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = r"[x for x in regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> '']"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP1_SQL = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents),
+win AS (SELECT r, p, array_to_string(w[p:p + 34], ' ') AS t
+        FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35)),
+rep AS (SELECT r, p FROM win WHERE t IN (SELECT t FROM win GROUP BY t HAVING count(*) > 1)),
+gone AS (SELECT DISTINCT r, unnest(range(p, p + 35)) AS i FROM rep),
+word AS (SELECT r, i, w[i] AS x FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY i) AS t FROM word ANTI JOIN gone USING (r, i) GROUP BY r),
+n AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN n USING (r) LEFT JOIN kept USING (r)"""
+
+OP4_SQL = f"""
+WITH d AS (SELECT doc_id, {_LOWER} AS t FROM documents),
+g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+SELECT doc_id, keep_id, group_size::BIGINT AS group_size,
+       doc_id = keep_id AND row_number() OVER (PARTITION BY t, doc_id) = 1 AS kept, sha256(t) AS text_sha256
+FROM d JOIN g USING (t)"""
+
+OP7_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.replace("coalesce(text, '')", _LOWER)} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 3], ' ') AS x
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b USING (x)
+          JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+          WHERE a.doc_id <> b.doc_id AND (na.n >= 4 OR nb.n >= 4 OR na.n = nb.n)
+          GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 80 * (na.n + nb.n - count(*))),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+low AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(low.b, d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(low.b, d.doc_id)) AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN low ON low.a = d.doc_id"""
+
+#: Schedules and cap as in mixing.py; exact integers up to one division.
+OP8_SQL = f"""
+WITH d AS (SELECT doc_id, source, text, len({_WORDS})::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '')) AS h
+           FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM s),
+c AS (SELECT *, sum(source_size) OVER () AS total,
+             3 * coalesce(sum(source_size) OVER (ORDER BY source_size * (6 // weight), source NULLS LAST
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used,
+             sum(weight) OVER (ORDER BY source_size * (6 // weight), source NULLS LAST
+                 ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS remaining FROM w),
+f AS (SELECT *, (total - used) * weight > 3 * source_size * remaining AS capped FROM c),
+g AS (SELECT *, total - coalesce(sum(3 * source_size) FILTER (capped) OVER (), 0) AS rest,
+             sum(weight) FILTER (NOT capped) OVER () AS open FROM f),
+t AS (SELECT source, source_size, weight, (CASE WHEN capped THEN 3 * source_size ELSE weight * rest END)::BIGINT AS num,
+             (CASE WHEN capped THEN 1 ELSE open END)::BIGINT AS den FROM g),
+l AS (SELECT d.doc_id, d.size, t.source_size, t.weight, num::DOUBLE / den::DOUBLE AS target,
+             (2 * num + den) // (2 * den) AS whole,
+             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+u AS (SELECT *, (greatest(least(whole - start, size), 0) + greatest(least(whole - start - source_size, size), 0)
+                 + greatest(least(whole - start - 2 * source_size, size), 0))::BIGINT AS taken,
+             CASE WHEN whole > 0 THEN start::DOUBLE / whole::DOUBLE END AS x FROM l)
+SELECT doc_id, size, source_size, target, taken,
+       CASE WHEN taken = 0 THEN NULL
+            WHEN weight = 1 THEN 2.0 * x / (1.5 + sqrt(greatest(2.25 - 2.0 * x, 0.0)))
+            WHEN weight = 2 THEN 2.0 * x / (1.0 + sqrt(1.0))
+            WHEN x <= 0.3125 THEN 2.0 * x / (0.5 + sqrt(0.25 + x))
+            ELSE 0.5 + 2.0 * (x - 0.3125) / (0.75 + sqrt(0.5625 + 5.0 * (x - 0.3125))) END AS position
+FROM u"""
+
+ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op4_exact_dedup": OP4_SQL,
+                              "op7_near_dedup": OP7_SQL, "op8_mixing": OP8_SQL}

@@ -136,8 +136,30 @@ def spread(starts: np.ndarray, length: int, n: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
+#: Bytes of text that are handled at once inside a task.
+SLICE = 1 << 21
+
+
 def text_batches(batches, column: str = "text"):
-    """Arrow batches with their texts as lists of UTF-8 bytes (null stays None)."""
+    """Slices of the Arrow batches with their texts as lists of UTF-8 bytes
+    (null stays None): about ``SLICE`` bytes each, one text at least, so a
+    task's memory does not grow with the length of a batch."""
     import pyarrow as pa
+    import pyarrow.compute as pc
     for batch in batches:
-        yield batch, batch.column(column).cast(pa.large_binary()).to_pylist()
+        texts = batch.column(column).cast(pa.large_binary())
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(texts):
+            before = ends[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, before + SLICE, "right")))
+            yield batch.slice(at, end - at), texts.slice(at, end - at).to_pylist()
+            at = end
+
+
+def numbered(df: DataFrame, leave_out: set[str] = frozenset()) -> tuple[list[Column], list[Column]]:
+    """Expressions that give the columns of ``df`` names that no operator uses,
+    and expressions that give them their own names back."""
+    kept = [c for c in df.columns if c.lower() not in leave_out]
+    return ([F.col(f"`{c}`").alias(f"_column_{i}") for i, c in enumerate(kept)],
+            [F.col(f"_column_{i}").alias(c) for i, c in enumerate(kept)])

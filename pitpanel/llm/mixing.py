@@ -33,11 +33,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitpanel.llm.common import text_digest, word_count
+from pitpanel.llm.common import numbered, text_digest, word_count
 
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 CELL_ROWS = 8192
+#: Column that breaks ties of the order: a hash of doc_id.
+ORDER = "_curriculum_order"
 #: Knots (training time, relative weight), one schedule per weight in turn:
 #: sources of the first weight fade out, of the last weight fade in.
 SCHEDULES = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (0.5, 0.75), (1.0, 2.0)))
@@ -96,8 +98,8 @@ def curriculum(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = MAX
     time the document is used; null if never) and epochs: an array of
     (position, words) for each time it is used.  Not sorted."""
     mine = {"size", "source_size", "target", "taken", "position", "epochs"}
-    kept = [c for c in docs.columns if c.lower() not in mine]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], word_count("text").alias("size"),
+    carried, restored = numbered(docs, mine)
+    rows = docs.select(*carried, "source", word_count("text").alias("size"),
                        F.struct(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("h"),
                                 F.col("doc_id").alias("id"), text_digest("text").alias("digest")).alias("_o"))
     # the digest only breaks ties between rows of one id
@@ -122,7 +124,8 @@ def curriculum(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = MAX
         return F.greatest(F.least(F.col("_whole") - start, F.col("size")), F.lit(0).cast("long"))
 
     def position(epoch: int) -> Column:
-        share = (F.col("_start") + F.col("source_size") * epoch).cast("double") / F.col("_whole").cast("double")
+        share = (F.col("_start") + F.col("source_size") * epoch).cast("double") \
+            / F.nullif(F.col("_whole"), F.lit(0).cast("long")).cast("double")
         out = F.when(F.col("_class") == 0, inverse_demand(share, schedules[0]))
         for k in range(1, len(weights)):
             out = out.when(F.col("_class") == k, inverse_demand(share, schedules[k % len(schedules)]))
@@ -131,22 +134,23 @@ def curriculum(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = MAX
     uses = F.array(*[F.struct(F.when(words(e) > 0, position(e)).alias("position"), words(e).alias("words"))
                      for e in range(cap)])
     out = laid.withColumn("_uses", F.filter(uses, lambda u: u["words"] > 0))
-    return out.select(*[F.col(f"`{c}`") for c in kept], "size", "source_size", "target",
+    return out.select(*restored, "size", "source_size", "target",
                       F.aggregate("_uses", F.lit(0).cast("long"), lambda a, u: a + u["words"]).alias("taken"),
                       F.try_element_at("_uses", F.lit(1))["position"].alias("position"),
-                      F.col("_uses").alias("epochs"), F.col("_o.h").alias("_h"))
+                      F.col("_uses").alias("epochs"), F.col("_o.h").alias(ORDER))
 
 
 def mixed_order(docs: DataFrame, **options) -> DataFrame:
     """The curriculum of ``docs`` range-sorted by first position (never used
     documents last); ties by hash, so no value of the position is hot."""
-    return curriculum(docs, **options).orderBy(F.col("position").asc_nulls_last(), "_h").drop("_h")
+    return curriculum(docs, **options).orderBy(F.col("position").asc_nulls_last(), ORDER).drop(ORDER)
 
 
 def training_documents(docs: DataFrame, **options) -> DataFrame:
     """Rows of ``docs`` as the training run reads them: one row for each use,
     range-sorted by position, with the columns of ``docs``.  A use of less
     than half of a document's words is left out, others are whole texts."""
-    used = curriculum(docs, **options).withColumn("_use", F.explode("epochs")) \
-        .where(F.col("_use.words") * 2 >= F.col("size"))
-    return used.orderBy("_use.position", "_h").select(*[F.col(f"`{c}`") for c in docs.columns])
+    carried, restored = numbered(docs)
+    used = curriculum(docs.select(*carried, "doc_id", "source", "text"), **options) \
+        .withColumn("_use", F.explode("epochs")).where(F.col("_use.words") * 2 >= F.col("size"))
+    return used.orderBy("_use.position", ORDER).select(*restored)

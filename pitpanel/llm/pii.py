@@ -183,8 +183,8 @@ def find_pii(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     stage = write_stage(spans.select("doc_id", "digest", base.alias("base")), "pii_base")
     found = write_stage(candidates(spans), "pii_candidates")
     order = F.create_map(*[x for i, k in enumerate(KINDS, 1) for x in (F.lit(k), F.lit(i))])
-    extra = bootstrap(found, rounds).groupBy("digest").agg(F.collect_list(
-        F.struct(order[F.col("kind")].alias("k"), "s", "e")).alias("more"))
+    extra = write_stage(bootstrap(found, rounds).groupBy("digest").agg(F.collect_list(
+        F.struct(order[F.col("kind")].alias("k"), "s", "e")).alias("more")), "pii_more")
     out = stage.join(extra, "digest", "left").withColumn("more", F.coalesce("more", F.filter("base", lambda x: F.lit(False))))
     counts = [F.expr(f"cast(size(filter(base, x -> x.k = {i})) as long)").alias(f"n_{k}")
               for i, k in enumerate(KINDS, 1)]

@@ -25,7 +25,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitpanel.llm.common import text_digest
+from pitpanel.llm.common import numbered, text_digest
 
 RING_BITS = 12
 RING_SLOTS = 1 << RING_BITS
@@ -91,12 +91,12 @@ def shard_documents(docs: DataFrame, shards: int = 16, vnodes: int = 32) -> Data
         raise ValueError(f"shards * vnodes must be between 1 and {RING_SLOTS}")
     spark = docs.sparkSession
     mine = {"size", "text_crc32", "law", "shard", "slot", "grown_shard"}
-    kept = [c for c in docs.columns if c.lower() not in mine]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept],
+    carried, restored = numbered(docs, mine)
+    rows = docs.select(*carried,
                        F.struct(ring_position(F.col("doc_id"), text_digest("text")).alias("pos"),
-                                F.col("doc_id").alias("id"), text_digest("text").alias("digest"),
-                                (F.octet_length(F.coalesce("text", F.lit(""))).cast("long") + 1).alias("size"),
-                                F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("crc")).alias("_r"))
+                                F.col("doc_id").alias("id"), text_digest("text").alias("digest")).alias("_r"),
+                       (F.octet_length(F.coalesce("text", F.lit(""))).cast("long") + 1).alias("size"),
+                       F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("crc"))
     per_slot = {r["s"]: r["n"] for r in rows
                 .groupBy(F.shiftright("_r.pos", 32 - RING_BITS).cast("int").alias("s"))
                 .agg(F.count("*").alias("n")).collect()}
@@ -115,7 +115,6 @@ def shard_documents(docs: DataFrame, shards: int = 16, vnodes: int = 32) -> Data
         .join(cells, "_cell").withColumn("_rank", F.col("_rank") + F.col("_before"))
     placed = ranked.join(F.broadcast(intervals), "_slot") \
         .where((F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
-    return placed.select(*[F.col(f"`{c}`") for c in kept], F.col("_r.size").alias("size"),
-                         F.col("_r.crc").alias("text_crc32"), F.lit("rows").alias("law"), "shard",
+    return placed.select(*restored, "size", F.col("crc").alias("text_crc32"), F.lit("rows").alias("law"), "shard",
                          (F.col("_first") + F.col("_rank") - F.col("_from")).alias("slot"),
                          F.lit(None).cast("int").alias("grown_shard"))

@@ -36,8 +36,6 @@ from pitpanel.llm.common import (
     drop_stage, fresh, mix64, spread, text_batches, text_digest, window_hashes, word_hashes, write_stage)
 
 MIN_WORDS = 35
-#: Bytes of text that are hashed side by side inside a task.
-CHUNK = 1 << 21
 _NEVER = np.uint64(2**64 - 1)
 
 
@@ -51,21 +49,13 @@ def sliding(x: np.ndarray, span: int, of=np.minimum) -> np.ndarray:
 
 
 def side_by_side(batches):
-    """Texts of the batches in chunks: (rows of the batch, word lists, first
-    position of every text in the chunk and the end of the last, words left
-    in its text from every position on)."""
+    """Slices of the batches: (batch, word lists, first position of every text
+    in the slice and the end of the last, words left in its text from every
+    position on)."""
     for batch, texts in text_batches(batches):
-        at = 0
-        while at < len(texts):
-            end, n = at, 0
-            while end < len(texts) and (end == at or n + len(texts[end] or b"") <= CHUNK):
-                n += len(texts[end] or b"")
-                end += 1
-            words = [(t or b"").split() for t in texts[at:end]]
-            first = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
-            left = np.repeat(first[1:], np.diff(first)) - np.arange(first[-1])
-            yield batch.slice(at, end - at), words, first, left
-            at = end
+        words = [(t or b"").split() for t in texts]
+        first = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
+        yield batch, words, first, np.repeat(first[1:], np.diff(first)) - np.arange(first[-1])
 
 
 def anchors(h: np.ndarray, left: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -245,9 +235,10 @@ def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS, max_words: int
     longest_level (see :func:`repeated_passages`)."""
     docs = docs.select("doc_id", "text")
     nothing = F.lit(hashlib.sha256(b"").hexdigest())
-    found = repeated_passages(fold_texts(docs), min_words, max_words).select(
+    found = write_stage(repeated_passages(fold_texts(docs), min_words, max_words).select(
         "digest", "n_words", "n_removed", "longest_level",
-        F.when(F.col("gone"), nothing).otherwise(F.coalesce(F.sha2("clean_text", 256), "whole")).alias("kept_sha256"))
+        F.when(F.col("gone"), nothing).otherwise(F.coalesce(F.sha2("clean_text", 256), "whole")).alias("kept_sha256")),
+        "passages")
     return docs.select("doc_id", text_digest("text").alias("digest")).join(found, "digest", "left") \
         .select("doc_id", F.coalesce("n_words", F.lit(0).cast("long")).alias("n_words"),
                 F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitpanel.llm.common import word_hashes
+from pitpanel.llm.common import fresh, word_hashes
 from pitpanel.llm.language_id import fold
 
 BUCKETS = 1 << 17
@@ -171,6 +171,6 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without those predicted to be toxic."""
-    flag = "_toxicity"
+    flag = fresh(docs, "_toxicity")
     model = train(docs, labels.where(~fold(5, 0)))
     return score(docs, model, flag).where(F.col(flag) < 0.5).drop(flag)
