@@ -48,6 +48,8 @@ SMOOTHING = 2.0
 CONFIDENT = 0.8
 #: Characters of context kept on either side.
 CONTEXT = 64
+#: Matches whose lengths are summed together.
+BLOCK = 256
 
 _SPAN = "array<struct<s:int,e:int,m:string>>"
 
@@ -67,18 +69,32 @@ def _valid(kind: str, m: str) -> str:
     return f"if(length({d}) between 16 and 19, {luhn} % 10 = 0, false)"
 
 
+def _let(name: str, value: str, body: str) -> str:
+    """SQL of ``body`` with ``name`` bound to a value that is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _with_offsets(fields: str) -> str:
+    """SQL: for the matches ``m`` of a text, given the pieces ``p`` between
+    them, an array of structs with the start ``s``, the match ``m`` and
+    ``fields`` (of ``z``, all pieces and matches, at ``i``).  Lengths are
+    summed by blocks, so a text may have very many matches."""
+    start = f"cast(o[i div {BLOCK}] + aggregate(slice(n, cast(i - i % {BLOCK} + 1 as int), i % {BLOCK}), 0, " \
+            f"(t, v) -> t + v) + length(x.p) as int)"
+    made = f"filter(transform(z, (x, i) -> named_struct('s', {start}, 'm', x.m{fields})), x -> x.m is not null)"
+    sums = f"transform(sequence(0, cast(size(n) div {BLOCK} as int)), " \
+           f"c -> aggregate(slice(n, c * {BLOCK} + 1, {BLOCK}), 0, (t, v) -> t + v))"
+    before = "transform(b, (v, c) -> aggregate(slice(b, 1, c), 0, (t, u) -> t + u))"
+    return _let("z", "arrays_zip(p, m)",
+                _let("n", "transform(z, x -> length(x.p) + coalesce(length(x.m), 0))",
+                     _let("b", sums, _let("o", before, made))))
+
+
 def _located(keep: str) -> Column:
-    """Matches ``m`` with offsets, from the pieces ``p`` between them: one pass."""
-    return F.expr(f"""
-        aggregate(arrays_zip(p, m),
-            named_struct('at', 0, 'out', cast(array() as {_SPAN})),
-            (a, x) -> named_struct(
-                'at', a.at + length(x.p) + coalesce(length(x.m), 0),
-                'out', if(x.m is not null and {keep},
-                          concat(a.out, array(named_struct('s', a.at + length(x.p),
-                                                           'e', a.at + length(x.p) + length(x.m), 'm', x.m))),
-                          a.out)),
-            a -> a.out)""")
+    """Matches (s, e, m) for which the condition ``keep`` on ``x.m`` holds."""
+    return F.expr(f"""case when size(m) = 0 then cast(array() as {_SPAN}) else
+        transform(filter({_with_offsets('')}, x -> {keep}),
+                  x -> named_struct('s', x.s, 'e', x.s + length(x.m), 'm', x.m)) end""")
 
 
 def with_base_spans(docs: DataFrame) -> DataFrame:
@@ -113,18 +129,9 @@ def candidates(spans: DataFrame) -> DataFrame:
     found = spans.where(F.col("text").rlike("[0-9@]")).select(
         "digest", flat.alias("base"), F.split("text", _CANDIDATE, -1).alias("p"),
         F.regexp_extract_all("text", F.lit(_CANDIDATE), F.lit(0)).alias("m"))
-    # offsets once more, with the words on both sides
-    zipped = F.expr(f"""
-        aggregate(transform(arrays_zip(p, m), (x, i) -> named_struct('p', x.p, 'm', x.m, 'next', get(p, i + 1),
-                                                                      'last', get(m, i - 1))),
-            named_struct('at', 0, 'out', cast(array() as array<struct<s:int,m:string,l:string,r:string>>)),
-            (a, x) -> named_struct(
-                'at', a.at + length(x.p) + coalesce(length(x.m), 0),
-                'out', if(x.m is null, a.out, concat(a.out, array(named_struct(
-                    's', a.at + length(x.p), 'm', x.m,
-                    'l', concat(coalesce(right(x.last, {CONTEXT}), ''), right(x.p, {CONTEXT})),
-                    'r', left(coalesce(x.next, ''), {CONTEXT})))))),
-            a -> a.out)""")
+    zipped = F.expr(_with_offsets(
+        f", 'l', concat(right(coalesce(get(z, i - 1).m, ''), {CONTEXT}), right(x.p, {CONTEXT}))"
+        f", 'r', left(coalesce(get(z, i + 1).p, ''), {CONTEXT})"))
     rows = found.select("digest", "base", F.explode_outer(zipped).alias("c")).where("c is not null")
     lead = F.length(F.regexp_extract(F.col("c.m"), r"^[^\p{L}\p{N}+]*", 0))
     core = F.regexp_replace(F.regexp_replace(F.col("c.m"), r"^[^\p{L}\p{N}+]+", ""), r"[^\p{L}\p{N}]+$", "")
