@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitpanel.session import cut_lineage
+
 
 def global_prefix_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
                        num_partitions: int | None = None, inclusive: bool = True) -> DataFrame:
@@ -23,7 +25,9 @@ def global_prefix_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Seque
     (rows with equal keys must be pre-aggregated by the caller)."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    part = df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id())
+    # The ranges are sampled, so the partitioned rows are written once: both
+    # branches below must see the same range ids whatever the optimiser reuses.
+    part = cut_lineage(df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id()))
     # Offsets: sum over all earlier partitions.  One row per partition.
     totals = part.groupBy("_pid").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
     wo = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -12,7 +12,7 @@ from pitpanel.operators import metrics as M
 from pitpanel.operators.features import available_groups, feature_set
 from concurrent.futures import ThreadPoolExecutor
 
-from pitpanel.operators.ml import N_TREES, fit_model, predict, preprocessing_stats, right_size
+from pitpanel.operators.ml import N_TREES, fit_model, predict, preprocessing_stats, spread_by_key
 from pitpanel.operators.splits import temporal_split
 from pitpanel.operators.targets import assign_risk_labels
 
@@ -48,9 +48,9 @@ def run_ablation(panel: DataFrame, modes: dict[str, str | None], n_test_years: i
         sub = crop_mode(panel, crop)
         train, test = temporal_split(sub, n_test_years)
         train, test = assign_risk_labels(train, test)
-        train = right_size(train.filter(F.col(regression_target).isNotNull())).persist()
+        train = spread_by_key(train.filter(F.col(regression_target).isNotNull())).persist()
         test = test.persist()
-        tr_c = right_size(train.filter(F.col(classification_target).isNotNull())).persist()
+        tr_c = spread_by_key(train.filter(F.col(classification_target).isNotNull())).persist()
         te_c = test.filter(F.col(classification_target).isNotNull())
         all_num = list(dict.fromkeys(c for g in groups for c in feature_set(panel, g)[0]))
         cats = feature_set(panel, "all_features")[1]

@@ -143,11 +143,10 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str,
     base = df.filter(F.col(value).isNotNull()).dropna(subset=by) \
         .groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
     ranked = global_prefix_sums(base, [*by, value], ["_c"], num_partitions)
-    n_by = base.groupBy(*by).agg(F.sum("_c").alias("_n"))
-    grp_off = global_prefix_sums(n_by, by, ["_n"], 1, inclusive=False)
-    j = ranked.join(grp_off, by)
-    r = j.select(*by, value, (F.col("_c_cum") - F.col("_n_cum") - F.col("_c")).alias("_lo"),
-                 (F.col("_c_cum") - F.col("_n_cum")).alias("_hi"), "_n")
+    # a group's ranks start where its first value's do: no prefix over groups
+    groups = ranked.groupBy(*by).agg(F.min(F.col("_c_cum") - F.col("_c")).alias("_start"), F.sum("_c").alias("_n"))
+    r = ranked.join(groups, by).select(*by, value, (F.col("_c_cum") - F.col("_start") - F.col("_c")).alias("_lo"),
+                                       (F.col("_c_cum") - F.col("_start")).alias("_hi"), "_n")
     items = []
     for name, q in qs.items():
         h = F.lit(float(q)) * (F.col("_n") - 1)
@@ -181,10 +180,10 @@ def auroc(df: DataFrame, score: str = "y_score", label: str = "y_true", by: Sequ
     c = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(*by, score).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) != 1).alias("_neg"))
     cum = global_prefix_sums(c, [*by, score], ["_neg"], num_partitions, inclusive=False)
-    tot = c.groupBy(*by).agg(F.sum("_neg").alias("_N"), F.sum("_pos").alias("_P"))
-    start = global_prefix_sums(tot, by, ["_N"], 1, inclusive=False)
-    j = cum.join(start, by)
-    below = F.col("_neg_cum") - F.col("_N_cum")
+    groups = cum.groupBy(*by).agg(F.min("_neg_cum").alias("_start"), F.sum("_neg").alias("_N"),
+                                  F.sum("_pos").alias("_P"))
+    j = cum.join(groups, by)
+    below = F.col("_neg_cum") - F.col("_start")
     out = j.groupBy(*by).agg(
         F.try_divide(F.sum(F.col("_pos") * (below + 0.5 * F.col("_neg"))),
                      F.first("_P") * F.first("_N")).alias("auroc"),

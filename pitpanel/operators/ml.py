@@ -141,7 +141,7 @@ def make_estimator(name: str, train: DataFrame, label: str, n_trees: int = N_TRE
                                 solver="normal")
     if name == "random_forest_reg":
         return RandomForestRegressor(featuresCol="features", labelCol=label, predictionCol="y_pred",
-                                     numTrees=n_trees, featureSubsetStrategy="all", maxDepth=20,
+                                     numTrees=n_trees, featureSubsetStrategy="all", maxDepth=FOREST_DEPTH, maxBins=FOREST_BINS,
                                      maxMemoryInMB=1024, cacheNodeIds=True, seed=RANDOM_STATE)
     if name == "hist_gradient_boosting_reg":
         return GBTRegressor(featuresCol="features", labelCol=label, predictionCol="y_pred", maxIter=100,
@@ -156,7 +156,8 @@ def make_estimator(name: str, train: DataFrame, label: str, n_trees: int = N_TRE
     if name == "random_forest_clf":
         return RandomForestClassifier(featuresCol="features", labelCol=label, predictionCol="y_pred",
                                       probabilityCol="prob", weightCol="__w", numTrees=n_trees,
-                                      featureSubsetStrategy="sqrt", maxDepth=20, maxMemoryInMB=1024,
+                                      featureSubsetStrategy="sqrt", maxDepth=FOREST_DEPTH, maxBins=FOREST_BINS,
+                                      maxMemoryInMB=1024,
                                       cacheNodeIds=True, seed=RANDOM_STATE)
     raise ValueError(f"Unknown model {name!r}")
 
@@ -170,17 +171,20 @@ def add_balanced_weights(df: DataFrame, label: str, counts: dict | None = None)
     return df.withColumn("__w", m[F.col(label)])
 
 
-ROWS_PER_TRAINING_PARTITION = 200_000
+#: The deepest trees that Spark grows, and the split candidates of a feature.
+FOREST_DEPTH = 30
+FOREST_BINS = 255
 
+PANEL_KEYS = ("county_fips", "crop", "year", "checkpoint")
 
-def right_size(df: DataFrame, rows_per_partition: int = ROWS_PER_TRAINING_PARTITION) -> DataFrame:
-    """Partition count proportional to the rows: a small training set runs
-    as one task per iteration (so many fits can run side by side), a large
-    one keeps ~``rows_per_partition`` rows per task."""
-    import math
-    n = df.count()
-    k = max(1, math.ceil(n / rows_per_partition))
-    return df.coalesce(k) if k < df.rdd.getNumPartitions() else df.repartition(k)
+
+def spread_by_key(df: DataFrame) -> DataFrame:
+    """Training rows over the session's configured partitions by a hash of the
+    panel keys (of all columns, where there is none): what a fit sees depends
+    on data, seed and configuration, never on a row count."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [c for c in PANEL_KEYS if c in df.columns] or df.columns
+    return df.repartition(n, *keys)
 
 
 def fit_model(train: DataFrame, name: str, numeric: Sequence[str], categorical: Sequence[str], label: str,
@@ -194,7 +198,7 @@ def fit_model(train: DataFrame, name: str, numeric: Sequence[str], categorical:
                                     label if name in CLASSIFICATION_MODELS else None)
     sqlt, kept, cats = preprocessing_transformer(stats, numeric, categorical)
     if not sized:
-        tr = right_size(tr)
+        tr = spread_by_key(tr)
     tr = tr.withColumn(label, F.col(label).cast("double"))
     if name in CLASSIFICATION_MODELS:
         counts = {float(k): v for k, v in (stats.class_counts or {}).items()} or None
@@ -222,12 +226,12 @@ def train_and_predict(train: DataFrame, test: DataFrame, numeric: Sequence[str],
     Fits are independent Spark jobs and run concurrently from a small
     driver thread pool (job-level parallelism for many small fits)."""
     meta = [c for c in meta if c in test.columns]
-    tr_r = right_size(train.filter(F.col(regression_target).isNotNull()))
+    tr_r = spread_by_key(train.filter(F.col(regression_target).isNotNull()))
     st_r = preprocessing_stats(tr_r, numeric, categorical)
     jobs = [(n, "regression", regression_target) for n in reg_models]
     tr_c = te_c = st_c = None
     if classification_target in train.columns and clf_models:
-        tr_c = right_size(train.filter(F.col(classification_target).isNotNull()))
+        tr_c = spread_by_key(train.filter(F.col(classification_target).isNotNull()))
         te_c = test.filter(F.col(classification_target).isNotNull())
         st_c = preprocessing_stats(tr_c, numeric, categorical, classification_target)
         if len(st_c.class_counts or {}) >= 2 and te_c.limit(1).count():

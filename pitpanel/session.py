@@ -43,6 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not (conf_dir or fallback) and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     target = conf_dir or fallback or tempfile.mkdtemp(prefix="pitpanel-ckpt-")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target

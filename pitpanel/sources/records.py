@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 from pyspark.sql.types import StringType, StructField, StructType
 
 from pitpanel.functions.ids import (
@@ -109,11 +110,11 @@ def validate_yield_records(df: DataFrame) -> None:
     missing = [c for c in CLEAN_COLUMNS if c not in df.columns]
     if missing:
         raise ValueError(f"yield records are missing required columns: {missing}")
-    if dict(df.dtypes)["value"] not in ("double", "float", "int", "bigint", "decimal"):
-        raise ValueError("Column 'value' must be numeric after cleaning.")
+    if not isinstance(df.schema["value"].dataType, NumericType):
+        raise ValueError("yield records need a numeric value column")
     row = df.agg(F.count(F.lit(1)).alias("n"), F.count("value").alias("nv")).first()
     if row["nv"] == 0:
-        raise ValueError("All values in 'value' column are missing - cleaning may have failed.")
+        raise ValueError("no yield record has a value")
 
 
 def load_panel(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -89,3 +89,26 @@ def test_correlations(spark):
     df = spark.createDataFrame([(1.0, 2.0, 5.0), (2.0, 4.0, 3.0), (3.0, 6.5, 1.0)], "a double, b double, c double")
     got = {(r["feature_a"], r["feature_b"]): r["corr"] for r in M.correlation_long(df, ["a", "b", "c"]).collect()}
     assert got[("a", "c")] == pytest.approx(-1.0) and len(got) == 3
+
+
+def test_auroc_and_quantiles_do_not_depend_on_exchange_reuse(spark):
+    """Many distinct scores, many groups, one hot group, reuse switched off."""
+    import numpy as np
+    from pyspark.sql import functions as F
+    from pitpanel.operators.metrics import auroc, exact_quantiles
+    df = spark.range(120_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), (F.col("id") % 50).cast("string"))).alias("model"),
+        (F.pmod(F.xxhash64("id"), F.lit(10_000_019)) / 7).alias("y_score"),
+        F.when(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(10)) < 3, 1).otherwise(0).alias("y_true"))
+    pdf = df.toPandas()
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = {r.model: r.auroc for r in auroc(df, num_partitions=16).collect()}
+        med = {r.model: r.m for r in exact_quantiles(df, ["model"], "y_score", {"m": 0.5}, 16).collect()}
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    for model, g in pdf.groupby("model"):
+        rank, pos = g.y_score.rank(), g.y_true == 1
+        want = (rank[pos].sum() - pos.sum() * (pos.sum() + 1) / 2) / (pos.sum() * (~pos).sum())
+        assert abs(got[model] - want) < 1e-9
+        assert abs(med[model] - np.median(g.y_score)) < 1e-6
