@@ -13,8 +13,9 @@ is compared with the table's first one (a star, never all pairs).  Documents
 of tables whose members then lie in several components are regrouped by the
 rarest fifth of their shingles, of which two documents over the similarity
 must share one; these groups are compared by stars from one member of the
-lowest and highest component, and at last across the components that remain.
-So a link is lost only if the two documents never met.  Links are confirmed on
+lowest and highest component, and at last across the components that remain,
+where a parity sketch of each set bounds the difference of a pair from below:
+only pairs that it leaves open are compared.  So a link is lost only if the two documents never met.  Links are confirmed on
 the full shingle sets.
 
 Documents with equal shingle sets are folded before all this; they meet in a
@@ -46,6 +47,8 @@ SIDE = 12
 ROWS = 2
 #: Shingles hashed at once inside a task.
 CHUNK = 1 << 18
+#: Bits of the parity sketch of a set, in 64-bit words.
+PARITY_WORDS = 16
 #: Star rounds before the remaining components of a group are compared.
 STAR_ROUNDS = 3
 
@@ -102,12 +105,22 @@ def _sketches(length: int, side: int, rows: int):
     return run
 
 
+def parity_sketch(shingles: np.ndarray) -> np.ndarray:
+    """For each of ``64 * PARITY_WORDS`` hash cells, whether an odd number of
+    shingles falls into it.  Shared shingles cancel out in the XOR of two
+    sketches, so its ones never outnumber the shingles that only one set has."""
+    bits = 64 * PARITY_WORDS
+    cells = (mix64(shingles ^ np.uint64(0xA0761D6478BD642F)) % np.uint64(bits)).astype(np.int64)
+    return np.packbits((np.bincount(cells, minlength=bits) & 1).astype(np.uint8)).view(np.int64)
+
+
 def _sets(length: int):
     def run(batches):
         for batch, texts in text_batches(batches):
+            sets = [shingle_set(t, length) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array([shingle_set(t, length).view(np.int64) for t in texts],
-                                                pa.list_(pa.int64()))], ["node", "shingles"])
+                [batch.column("node"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                 pa.array([parity_sketch(s) for s in sets], pa.list_(pa.int64()))], ["node", "shingles", "parity"])
     return run
 
 
@@ -161,7 +174,7 @@ def near_links(docs: DataFrame, nodes: DataFrame, length: int, percent: int, sid
     sets = write_stage(
         texts.join(chosen, F.col("_digest").eqNullSafe(F.col("digest"))
                    & texts["text_of"].eqNullSafe(chosen["text_of"]))
-        .select("node", "text").dropDuplicates(["node"]).mapInArrow(_sets(length), "node long, shingles array<long>"),
+        .select("node", "text").dropDuplicates(["node"]).mapInArrow(_sets(length), "node long, shingles array<long>, parity array<long>"),
         "sets")
     results = write_stage(_confirmed(tested, sets, percent), "links")
     labels = components(results.where("linked").select("a", "b"))
@@ -169,7 +182,8 @@ def near_links(docs: DataFrame, nodes: DataFrame, length: int, percent: int, sid
     tokens = write_stage(_prefix_tokens(unsettled.join(sets, "node"), percent), "tokens")
     for round_ in range(STAR_ROUNDS + 1):
         open_ = write_stage(_mixed(tokens, labels), "open")
-        new = _stars(open_) if round_ < STAR_ROUNDS else _rest(open_, percent)
+        new = _stars(open_) if round_ < STAR_ROUNDS \
+            else _rest(open_.join(sets.select("node", "parity"), "node"), percent)
         new = write_stage(new.distinct().join(results.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
         if not new.isEmpty():
             results = write_stage(results.unionByName(_confirmed(new, sets, percent)), "links")
@@ -214,11 +228,14 @@ def _stars(open_: DataFrame) -> DataFrame:
 def _rest(open_: DataFrame, percent: int) -> DataFrame:
     """Pairs of a group's members in different components that may still reach
     the similarity: from the first shared shingle on, the rarest, both sets
-    must have enough shingles left."""
+    must have enough shingles left, and the difference that the parity sketches
+    prove must not be too large."""
     other = open_.select("table", F.col("node").alias("o"), F.col("comp").alias("oc"), F.col("after").alias("oa"),
-                         F.col("n").alias("on"))
+                         F.col("n").alias("on"), F.col("parity").alias("op"))
+    apart = sum((F.bit_count(F.col("parity")[i].bitwiseXOR(F.col("op")[i])) for i in range(PARITY_WORDS)), F.lit(0))
     return open_.join(other, "table").where("comp < oc") \
         .where((100 + percent) * F.least("after", "oa") >= percent * (F.col("n") + F.col("on"))) \
+        .where((100 + percent) * apart <= (100 - percent) * (F.col("n") + F.col("on"))) \
         .select(F.least("node", "o").alias("a"), F.greatest("node", "o").alias("b"))
 
 

@@ -82,6 +82,16 @@ def test_near_copies_in_one_crowded_table(spark):
     assert {r.doc_id: r.component_id for r in got} == {k: find(k) for k in sets}
 
 
+def test_parity_sketches_never_overstate_a_difference():
+    rng = np.random.default_rng(3)
+    for n, m, shared in [(0, 5, 0), (30, 30, 30), (200, 190, 150), (3000, 2500, 2000)]:
+        x = rng.integers(0, 2**63, n + m - shared, dtype=np.uint64)
+        a, b = x[:n], x[n - shared:]
+        ones = sum(int(i).bit_count() for i in (near_dedup.parity_sketch(a) ^ near_dedup.parity_sketch(b)).view(np.uint64))
+        assert ones <= n + m - 2 * shared
+        assert (ones == 0) == (n + m == 2 * shared)
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r.node: r.comp for r in near_dedup.components(edges).collect()}
