@@ -21,14 +21,14 @@ ABLATION_CLF_MODELS = ["logistic_regression", "random_forest_clf"]
 
 
 def crop_mode(panel: DataFrame, crop: str | None, crop_col: str = "crop") -> DataFrame:
-    """single-crop subset with a purity check, or the pooled panel."""
-    if crop is None:
-        return panel
-    sub = panel.filter(F.col(crop_col) == crop)
-    seen = {r[0] for r in sub.select(crop_col).distinct().limit(2).collect()}
-    if seen and seen != {crop}:
-        raise AssertionError(f"{crop}_only leaked {seen - {crop}}")
-    return sub
+    """the rows of one crop, or the pooled panel."""
+    return panel if crop is None else panel.filter(F.col(crop_col) == crop)
+
+
+def crop_modes(panel: DataFrame, crop_col: str = "crop") -> dict[str, str | None]:
+    """The pooled mode and one mode for each crop of the panel."""
+    crops = sorted(r[0] for r in panel.select(crop_col).where(F.col(crop_col).isNotNull()).distinct().collect())
+    return {"pooled": None} | {f"{c.lower()}_only": c for c in crops}
 
 
 def run_ablation(panel: DataFrame, modes: dict[str, str | None], n_test_years: int = 3,

@@ -568,6 +568,16 @@ def q_a17(spark, sf_dir):
     return M.residual_box_stats(M.add_residuals(reg_preds(spark, sf_dir)), ["model", "year"])
 
 
+@register("a17_residual_box_by_state", O.with_ctes(["reg_preds"], """
+SELECT model, state, quantile_cont(r, 0.0) AS q0, quantile_cont(r, 0.25) AS q1, quantile_cont(r, 0.5) AS median,
+  quantile_cont(r, 0.75) AS q3, quantile_cont(r, 1.0) AS q100
+FROM (SELECT *, y_true - y_pred AS r FROM reg_preds) WHERE r IS NOT NULL GROUP BY model, state"""),
+          ["q0", "q1", "median", "q3", "q100"])
+def q_a17_state(spark, sf_dir):
+    """Exact residual box statistics by model and state."""
+    return M.residual_box_stats(M.add_residuals(reg_preds(spark, sf_dir)), ["model", "state"])
+
+
 @register("o3_worst_predictions", O.with_ctes(["reg_preds"], """
 SELECT *, y_true - y_pred AS residual, abs(y_true - y_pred) AS abs_residual FROM reg_preds
 ORDER BY abs(y_true - y_pred) DESC NULLS LAST, model, county_fips, crop, year, checkpoint LIMIT 20"""),
@@ -780,23 +790,29 @@ def q_s5(spark, sf_dir):
     return out.withColumn("year", F.col("year").cast("int")).withColumn("month", F.col("month").cast("int"))
 
 
-PAYLOAD_PAGES = 16
+def record_payloads(spark, sf_dir):
+    """One payload per (county, crop, year); those of 2001 carry an error."""
+    d = A.dirty(spark, sf_dir).drop("county_fips")
+    recs = F.collect_list(F.struct(*[F.col(c) for c in PL.RECORD_FIELDS]))
+    g = d.groupBy("state_name", "county_name", "county_ansi", "commodity_desc", "year").agg(recs.alias("data"))
+    error = F.to_json(F.struct(F.array(F.lit("record limit exceeded"), F.col("county_name")).alias("error")))
+    return g.select(F.when(F.col("year") == "2001", error)
+                    .otherwise(F.to_json(F.struct(F.col("data").alias("data")))).alias("payload"))
 
 
 @register("s6_records_payload", O.with_ctes(["dirty"], "SELECT * EXCLUDE (county_fips) FROM dirty WHERE year <> '2001'"))
 def q_s6(spark, sf_dir):
-    """Record payloads {"data": [...]} per (state, crop, year) unnested;
-    payloads carrying {"error": [...]} (here: year 2001) are quarantined."""
-    d = A.dirty(spark, sf_dir).drop("county_fips")
-    recs = F.collect_list(F.struct(*[F.col(c) for c in PL.RECORD_FIELDS]))
-    # payload pages: records of one (state, crop, year) are spread over hashed
-    # pages, so no single payload (or task) holds an unbounded group
-    page = F.pmod(F.xxhash64("county_name", "county_ansi"), F.lit(PAYLOAD_PAGES))
-    g = d.groupBy("state_name", "commodity_desc", "year", page.alias("page")).agg(recs.alias("data"))
-    payload = F.when(F.col("year") == "2001", F.to_json(F.struct(F.array(F.lit("record limit exceeded")).alias("error")))) \
-        .otherwise(F.to_json(F.struct(F.col("data").alias("data"))))
-    rows, _errors = PL.unnest_records(g.select(payload.alias("payload")))
-    return rows
+    """Record payloads {"data": [...]} unnested; payloads carrying
+    {"error": [...]} (here: year 2001) are quarantined."""
+    return PL.unnest_records(record_payloads(spark, sf_dir))[0]
+
+
+@register("s6_quarantined_payloads", O.with_ctes(["dirty"], """
+SELECT 'record limit exceeded; ' || county_name AS error, count(*) AS n
+FROM (SELECT DISTINCT county_name, commodity_desc FROM dirty WHERE year = '2001') GROUP BY county_name"""))
+def q_s6_errors(spark, sf_dir):
+    """The quarantined payloads, counted by error."""
+    return PL.unnest_records(record_payloads(spark, sf_dir))[1].groupBy("error").agg(F.count("*").alias("n"))
 
 
 @register("u_year_set_ops", O.with_ctes(["annual", "daily"], """
@@ -859,10 +875,10 @@ def q_c16(spark, sf_dir):
 
 
 @register("s16_load_saved_panel", O.with_ctes(["panel"], """
-SELECT county_fips, crop, year, checkpoint, yield_anomaly FROM panel"""), ["yield_anomaly"])
+SELECT * FROM panel"""), PANEL_DOUBLES)
 def q_s16(spark, sf_dir):
     """S11 + S16: the panel saved as CSV in the shared folder, loaded back
-    (ids normalised, year coerced, label columns dropped)."""
+    (ids normalised, declared types, label columns dropped): the whole panel."""
     import uuid
     from pitpanel.session import ensure_checkpoint_dir
     from pitpanel.sources.sinks import write_table
@@ -870,10 +886,7 @@ def q_s16(spark, sf_dir):
     lab = labelled_panel(spark, sf_dir).drop("split")
     write_table(stored_panel(spark, sf_dir).join(lab.select("county_fips", "crop", "year", "checkpoint", "severe_risk"),
                                                  ["county_fips", "crop", "year", "checkpoint"], "left"), path, fmt="csv")
-    p = R.load_panel(spark, path, fmt="csv")
-    assert "severe_risk" not in p.columns
-    return p.select("county_fips", "crop", "year", "checkpoint",
-                    F.col("yield_anomaly").try_cast("double").alias("yield_anomaly"))
+    return R.load_panel(spark, path, fmt="csv")
 
 
 DROUGHT_CK_SQL = """dck AS (
@@ -920,9 +933,6 @@ from pitpanel.operators import ablation as AB  # noqa: E402
 from pitpanel.operators import features as FS  # noqa: E402
 from pitpanel.operators import ml as ML  # noqa: E402
 
-ABLATION_MODES = {"pooled": None, "automobile_only": "AUTOMOBILE", "building_only": "BUILDING"}
-
-
 _MODELS: dict[tuple[int, str], tuple[object, dict]] = {}
 
 
@@ -947,8 +957,48 @@ def model_metrics(spark, sf_dir):
 
 
 def ablation_metrics(spark, sf_dir):
-    return stored(spark, sf_dir, "ablation", lambda: AB.run_ablation(stored_panel(spark, sf_dir), ABLATION_MODES,
-                                                                     n_test_years=2))
+    return stored(spark, sf_dir, "ablation", lambda: AB.run_ablation(
+        stored_panel(spark, sf_dir), AB.crop_modes(stored_panel(spark, sf_dir)), n_test_years=2))
+
+
+M5_NUMERIC = [c for c, t in PANEL_LAYOUT if t in ("int64", "float64")
+              and c not in FS.LEAKAGE_COLUMNS | FS.IDENTIFIER_COLUMNS | {FS.YEAR_INDEX_FEATURE}]
+M5_SQL = O.with_ctes(["lab"], "\nUNION ALL\n".join(
+    f"SELECT county_fips, crop, year, checkpoint, state, '{c}' AS feature, "
+    f"round((coalesce(cast({c} AS double), m) - a) / CASE WHEN s > 1e-12 THEN s ELSE 1.0 END, 6) + 0.0 AS value "
+    f"FROM test, (SELECT m, avg(coalesce(cast({c} AS double), m)) AS a, stddev_pop(coalesce(cast({c} AS double), m)) AS s "
+    f"FROM train, (SELECT median(cast({c} AS double)) AS m FROM train WHERE yield_anomaly IS NOT NULL) "
+    f"WHERE yield_anomaly IS NOT NULL GROUP BY m) WHERE m IS NOT NULL" for c in M5_NUMERIC))
+
+
+@register("m5_preprocessed_features", M5_SQL)
+def q_m5(spark, sf_dir):
+    """M1 + M5: the selected features of the test split, imputed and scaled by
+    statistics of the training split (rounded to 6 decimals), one row each."""
+    train, test = labelled_split(spark, sf_dir)
+    numeric, categorical = FS.select_feature_columns(stored_panel(spark, sf_dir))
+    fitted, kept, _ = ML.fit_preprocessing(train.filter(F.col("yield_anomaly").isNotNull()), numeric, categorical)
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), (F.round(f"__n_{c}", 6) + 0.0).alias("value"))
+                                for c in kept])).alias("cell")
+    return fitted.transform(test).select("county_fips", F.col("__c_crop").alias("crop"), "year",
+                                         F.col("__c_checkpoint").alias("checkpoint"),
+                                         F.col("__c_state").alias("state"), cells) \
+        .select("county_fips", "crop", "year", "checkpoint", "state", "cell.*")
+
+
+@register("m15_baseline_checkpoint_trend", O.with_ctes(["reg_preds"], """
+SELECT model, arg_min(checkpoint, place) AS first_checkpoint, arg_min(rmse, place) AS first_rmse,
+  arg_max(checkpoint, place) AS last_checkpoint, arg_max(rmse, place) AS last_rmse,
+  round(arg_max(rmse, place) - arg_min(rmse, place), 6) + 0.0 AS rmse_change
+FROM (SELECT *, 2 * end_key + CASE WHEN checkpoint = 'full_season' THEN 1 ELSE 0 END AS place
+      FROM (SELECT model, checkpoint, sqrt(avg((y_pred - y_true) * (y_pred - y_true))) AS rmse FROM reg_preds
+            WHERE y_true IS NOT NULL AND y_pred IS NOT NULL GROUP BY model, checkpoint) JOIN ck USING (checkpoint))
+GROUP BY model"""), ["first_rmse", "last_rmse", "rmse_change"])
+def q_m15_baselines(spark, sf_dir):
+    """M15 over the baseline predictions: first against last checkpoint (the
+    change, a difference of nearly equal numbers, to 6 decimals)."""
+    trend = AB.checkpoint_trend(M.grouped_metrics(reg_preds(spark, sf_dir), "regression", crop_checkpoint=True))
+    return trend.withColumn("rmse_change", F.round("rmse_change", 6) + 0.0)
 
 
 @register("m11_model_predictions", None)

@@ -119,9 +119,14 @@ def validate_yield_records(df: DataFrame) -> None:
 
 def load_panel(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Read a saved panel, normalise id and year, derive a checkpoint
-    label when absent (C16) and drop any pre-existing label column."""
+    label when absent (C16) and drop any pre-existing label column.  CSV columns
+    get the declared panel types; a column without one is a measure (DOUBLE),
+    and text that does not fit its type is NULL."""
     from pitpanel.operators.panel import add_checkpoint_label
+    from pitpanel.schema import PANEL_TYPES
     df = read_csv_as_text(spark, path) if fmt == "csv" else spark.read.parquet(path)
+    if fmt == "csv":
+        df = df.select(*[F.col(f"`{c}`").try_cast(PANEL_TYPES.get(c, "double")).alias(c) for c in df.columns])
     df = df.withColumn("county_fips", normalize_fips("county_fips")) \
         .withColumn("year", F.col("year").cast("string").try_cast("int"))
     df = add_checkpoint_label(df)

@@ -48,6 +48,16 @@ def test_csv_text_round_trip(spark):
     assert sorted(r["county_fips"] for r in back.collect()) == ["01001", "17001"]
 
 
+def test_saved_csv_panel_keeps_its_types(spark, tmp_path):
+    rows = [("01001", 2001, "CORN", "june_30", 3, 0.1 + 0.2, True, None), ("01003", 2002, "CORN", None, None, None, None, 1.5)]
+    panel = spark.createDataFrame(rows, "county_fips string, year int, crop string, checkpoint string, dry_days bigint, "
+                                        "cumulative_precip double, is_partial_year boolean, my_measure double")
+    panel.write.option("header", True).csv(str(tmp_path / "p"))
+    back = R.load_panel(spark, str(tmp_path / "p"), fmt="csv")
+    assert dict(back.dtypes) == dict(panel.dtypes)
+    assert sorted(back.select(*panel.columns).collect(), key=str) == sorted(panel.collect(), key=str)
+
+
 def test_load_panel_drops_labels(spark):
     path = tempfile.mkdtemp(prefix="pitpanel-panel-") + "/p"
     spark.createDataFrame([("1001.0", "2020", True, 1, 0)], "county_fips string, year string, is_partial_year boolean, severe_risk int, severe_risk_descriptive int") \
