@@ -192,13 +192,25 @@ def auroc(df: DataFrame, score: str = "y_score", label: str = "y_true", by: Sequ
 
 
 def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pairwise Pearson correlations in one aggregate pass, long form."""
+    """Pairwise Pearson correlations, long form, over the rows where both
+    values are present; null where fewer than two rows or a constant side leave
+    it undefined.  One aggregate by pair, combined on the map side, whatever
+    the number of columns."""
     cols = list(cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    agg = df.agg(*[F.corr(a, b).alias(f"_c{k}") for k, (a, b) in enumerate(pairs)])
-    items = [F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"_c{k}").alias("corr"))
-             for k, (a, b) in enumerate(pairs)]
-    return agg.select(F.explode(F.array(*items)).alias("s")).select("s.*")
+    names = F.array(*[F.lit(c) for c in cols])
+    left = df.select(F.array(*[F.col(f"`{c}`").cast("double") for c in cols]).alias("v")) \
+        .select("v", F.posexplode("v").alias("i", "x"))
+    pairs = left.select("i", "x", F.expr("posexplode(slice(v, i + 2, size(v)))").alias("step", "y")) \
+        .select("i", (F.col("i") + F.col("step") + 1).alias("j"),
+                F.when(F.col("y").isNotNull(), F.col("x")).alias("x"),
+                F.when(F.col("x").isNotNull(), F.col("y")).alias("y"))
+    # covariance and deviations as separate aggregates: a constant side then divides nothing
+    moments = pairs.groupBy("i", "j").agg(F.covar_pop("x", "y").alias("cov"), F.stddev_pop("x").alias("sx"),
+                                          F.stddev_pop("y").alias("sy"), F.min("x").alias("lx"), F.max("x").alias("hx"),
+                                          F.min("y").alias("ly"), F.max("y").alias("hy"))
+    varied = (F.col("lx") < F.col("hx")) & (F.col("ly") < F.col("hy"))
+    return moments.select(names[F.col("i")].alias("feature_a"), names[F.col("j")].alias("feature_b"),
+                          F.when(varied, F.col("cov") / (F.col("sx") * F.col("sy"))).alias("corr"))
 
 
 def explore(preds: DataFrame, crop: str | None = None, state: str | None = None,

@@ -350,6 +350,21 @@ def q_a4(spark, sf_dir):
     return WK.weekly_features(A.weekly(spark, sf_dir), with_max_pct=True)
 
 
+@register("f4_weekly_cutoff", O.with_ctes(["weekly"], """
+SELECT county_fips, cast(year(date) AS int) AS year, count_if(D0 > 0) AS weeks_d0, count_if(D1 > 0) AS weeks_d1,
+  count_if(D2 > 0) AS weeks_d2, count_if(D3 > 0) AS weeks_d3, count_if(D4 > 0) AS weeks_d4,
+  count_if(D2 + D3 + D4 > 0) AS weeks_d2_plus,
+  max(CASE WHEN D4 > 0 THEN 4 WHEN D3 > 0 THEN 3 WHEN D2 > 0 THEN 2 WHEN D1 > 0 THEN 1 ELSE 0 END) AS max_drought_category,
+  avg(CASE WHEN D4 > 0 THEN 4 WHEN D3 > 0 THEN 3 WHEN D2 > 0 THEN 2 WHEN D1 > 0 THEN 1 ELSE 0 END) AS mean_drought_severity,
+  '1996-07-01' AS checkpoint
+FROM weekly WHERE month(date) BETWEEN 4 AND 8 AND date <= DATE '1996-07-01' GROUP BY county_fips, year(date)"""),
+          ["mean_drought_severity"])
+def q_f4(spark, sf_dir):
+    """weekly severity features up to a cutoff date (a Monday, so its own
+    week counts)."""
+    return WK.weekly_features(A.weekly(spark, sf_dir), cutoff_date="1996-07-01")
+
+
 @register("a4_drought_by_checkpoint", O.with_ctes(["weekly", "ck"], """
 SELECT county_fips, year, checkpoint, count_if(D0 > 0) AS weeks_d0, count_if(D1 > 0) AS weeks_d1,
   count_if(D2 > 0) AS weeks_d2, count_if(D3 > 0) AS weeks_d3, count_if(D4 > 0) AS weeks_d4,
@@ -626,19 +641,6 @@ def q_a19(spark, sf_dir):
     return M.auroc(s1.unionByName(s2))
 
 
-CORR_FEATURES = ["cumulative_precip", "mean_temp", "growing_degree_days", "extreme_heat_days", "dry_days",
-                 "yield_anomaly"]
-_pairs = [(a, b) for i, a in enumerate(CORR_FEATURES) for b in CORR_FEATURES[i + 1:]]
-
-
-@register("a20_correlations", O.with_ctes(["panel"], "\nUNION ALL\n".join(
-    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, corr({a}, {b}) AS corr FROM panel" for a, b in _pairs)),
-          ["corr"])
-def q_a20(spark, sf_dir):
-    """Feature correlation matrix (long form, one aggregate pass)."""
-    return M.correlation_long(stored_panel(spark, sf_dir), CORR_FEATURES)
-
-
 # ------------------------------------------------------------------ ingest
 from pitpanel.sources import landing as L  # noqa: E402
 from pitpanel.sources import payloads as PL  # noqa: E402
@@ -986,6 +988,88 @@ def q_m5(spark, sf_dir):
         .select("county_fips", "crop", "year", "checkpoint", "state", "cell.*")
 
 
+CORR_FEATURES = [*M5_NUMERIC, "yield_anomaly"]
+
+
+@register("a20_correlations", O.with_ctes(["panel"], """
+SELECT a.feature AS feature_a, b.feature AS feature_b,
+  CASE WHEN min(a.value) < max(a.value) AND min(b.value) < max(b.value)
+       THEN round(corr(a.value, b.value), 6) + 0.0 END AS corr
+FROM cells a JOIN cells b ON a.id = b.id AND a.place < b.place AND (a.value IS NULL) = (b.value IS NULL)
+GROUP BY a.feature, b.feature
+UNION ALL
+SELECT a.feature, b.feature, NULL FROM names a JOIN names b ON a.place < b.place
+WHERE NOT EXISTS (SELECT 1 FROM panel)""", extra="""names AS (
+  SELECT unnest([""" + ", ".join(f"'{c}'" for c in CORR_FEATURES) + f"""]) AS feature,
+         unnest(range({len(CORR_FEATURES)})) AS place),
+numbered AS (SELECT row_number() OVER () AS id, * FROM panel),
+cells AS (
+  SELECT id, unnest([""" + ", ".join(f"'{c}'" for c in CORR_FEATURES) + f"""]) AS feature,
+         unnest(range({len(CORR_FEATURES)})) AS place,
+         unnest([""" + ", ".join(f"cast({c} AS double)" for c in CORR_FEATURES) + """]) AS value FROM numbered)"""))
+def q_a20(spark, sf_dir):
+    """Correlations of all numeric features and the target (6 decimals)."""
+    return M.correlation_long(stored_panel(spark, sf_dir), CORR_FEATURES) \
+        .withColumn("corr", F.round("corr", 6) + 0.0)
+
+
+RIDGE_FEATURES = ["cumulative_precip", "mean_temp"]
+
+
+@register("m6_ridge_coefficients", O.with_ctes(["lab"], """
+SELECT unnest(['cumulative_precip', 'mean_temp', 'intercept']) AS term,
+  unnest([round(((n + 1.0) * n * c1 - n * r * n * c2) / ((n + 1.0) * (n + 1.0) - n * r * n * r), 4) + 0.0,
+          round(((n + 1.0) * n * c2 - n * r * n * c1) / ((n + 1.0) * (n + 1.0) - n * r * n * r), 4) + 0.0,
+          round(m, 4) + 0.0]) AS value
+FROM (SELECT cast(count(*) AS double) AS n, covar_pop(x1, y) / stddev_pop(x1) AS c1,
+        covar_pop(x2, y) / stddev_pop(x2) AS c2, covar_pop(x1, x2) / (stddev_pop(x1) * stddev_pop(x2)) AS r, avg(y) AS m
+      FROM filled)""", extra="""med AS (
+  SELECT median(cumulative_precip) AS m1, median(mean_temp) AS m2 FROM train WHERE yield_anomaly IS NOT NULL),
+filled AS (
+  SELECT coalesce(cumulative_precip, m1) AS x1, coalesce(mean_temp, m2) AS x2, yield_anomaly AS y
+  FROM train, med WHERE yield_anomaly IS NOT NULL)"""))
+def q_m6(spark, sf_dir):
+    """M5 + M6: the fitted ridge model on two imputed and scaled features (4
+    decimals); the oracle solves the normal equations (alpha = 1)."""
+    train, _ = labelled_split(spark, sf_dir)
+    fitted = ML.fit_model(train, "ridge", RIDGE_FEATURES, [], "yield_anomaly").stages[-1]
+    terms = [*zip(RIDGE_FEATURES, map(float, fitted.coefficients)), ("intercept", float(fitted.intercept))]
+    return spark.createDataFrame(terms, "term string, value double") \
+        .withColumn("value", F.round("value", 4) + 0.0)
+
+
+def baseline_mode_metrics(spark, sf_dir):
+    """Baseline metrics with the crop as mode and the checkpoint as feature group."""
+    tagged = reg_preds(spark, sf_dir).withColumn("mode", F.col("crop")).withColumn("feature_group", F.col("checkpoint"))
+    return M.grouped_metrics(tagged, "regression", group_cols=(), crop_checkpoint=False,
+                             model_cols=("mode", "feature_group", "model"))
+
+
+MODE_RMSE = """m AS (
+  SELECT crop AS mode, checkpoint AS feature_group, model, sqrt(avg((y_pred - y_true) * (y_pred - y_true))) AS rmse,
+    count(*) AS n
+  FROM reg_preds WHERE y_true IS NOT NULL AND y_pred IS NOT NULL GROUP BY crop, checkpoint, model)"""
+
+
+@register("m13_baseline_best_per_group", O.with_ctes(["reg_preds"], """
+SELECT mode, feature_group, model, rmse FROM m
+QUALIFY row_number() OVER (PARTITION BY mode, feature_group ORDER BY rmse, model) = 1""", extra=MODE_RMSE), ["rmse"])
+def q_m13_baselines(spark, sf_dir):
+    """M13 over the baseline metrics: the lowest RMSE of each mode and group."""
+    return AB.best_per_group(baseline_mode_metrics(spark, sf_dir)).select("mode", "feature_group", "model", "rmse")
+
+
+MODE_NAMES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+@register("m14_baseline_pivot", O.with_ctes(["reg_preds"], "SELECT feature_group, " + ", ".join(
+    f'min(rmse) FILTER (WHERE mode = \'{c}\') AS "{c}"' for c in MODE_NAMES) + " FROM m GROUP BY feature_group",
+    extra=MODE_RMSE), MODE_NAMES)
+def q_m14_baselines(spark, sf_dir):
+    """M14 over the baseline metrics: the group x mode table of the lowest RMSE."""
+    return AB.ablation_pivot(baseline_mode_metrics(spark, sf_dir))
+
+
 @register("m15_baseline_checkpoint_trend", O.with_ctes(["reg_preds"], """
 SELECT model, arg_min(checkpoint, place) AS first_checkpoint, arg_min(rmse, place) AS first_rmse,
   arg_max(checkpoint, place) AS last_checkpoint, arg_max(rmse, place) AS last_rmse,
