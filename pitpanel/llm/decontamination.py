@@ -5,9 +5,11 @@ sentence) and units after a number become typed placeholders, everything else
 is lower-cased words.  Windows of five template tokens are hash-joined with
 the windows of the benchmark items; a document is a candidate for an item when
 it has at least 80 % of the item's distinct windows.  Candidates are then
-aligned: on each diagonal (document position minus item position) a value of
-an item's slot has to stand for one value of the document.  A re-parameterised
-question replaces its values consistently; an accidental match does not.
+aligned: on the best diagonal (document position minus item position) a value
+of an item's slot has to stand for one value of the document.  A
+re-parameterised question replaces its values consistently; an accidental match
+does not.  Other diagonals, on which an item with a run of numbers also matches
+itself, do not count against it.
 
 The windows of the documents are not shuffled while the benchmark's windows
 are few enough to broadcast (counted first, ``BROADCAST_WINDOWS``); beyond
@@ -110,21 +112,20 @@ def _slots(texts: DataFrame, key: str) -> DataFrame:
         .select(key, "at", F.col("x.w").alias("window"), _values_at("t", "at").alias("slots"))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, contained: float = CONTAINED,
-                  consistent: float = CONSISTENT) -> DataFrame:
-    """One row per document and item that it contains: doc_id, item_id,
-    containment, n_slots (aligned slot values), consistency (their share that
-    follows the item's values one to one) and changed_slots (aligned values
-    that differ: a re-parameterised copy has some)."""
-    docs = docs.select("doc_id", "text")
+def _hits(docs: DataFrame, benchmark: DataFrame, contained: float, consistent: float) -> DataFrame:
+    """(digest, item, item_id, containment, most, n, changed, consistency) of
+    the texts that contain an item.  Slots are judged on one diagonal, the best:
+    one that is whole and consistent if there is any, else the one with most
+    values that agree.  A text that has the item's windows with the item's own
+    values always contains it."""
     found = write_stage(_candidates(docs, item_windows(benchmark), contained), "template_matches")
     texts = docs.select(text_digest("text").alias("digest"), "text")
     doc_slots = _slots(texts.join(found.select("digest").distinct(), "digest", "left_semi")
                        .dropDuplicates(["digest"]), "digest")
     items = benchmark.select(F.xxhash64("item_id", text_digest("text")).alias("item"), "text").dropDuplicates(["item"])
     item_slots = _slots(items, "item").withColumnRenamed("at", "item_at").withColumnRenamed("slots", "item_slots")
-    pairs = found.select("digest", "item").join(item_slots.where(F.size("item_slots") > 0), "item") \
-        .join(doc_slots, ["digest", "window"])
+    asked = item_slots.where(F.size("item_slots") > 0).withColumn("asked_windows", F.expr("count(*) over (partition by item)"))
+    pairs = found.select("digest", "item").join(asked, "item").join(doc_slots, ["digest", "window"])
     values = pairs.select("digest", "item", (F.col("at") - F.col("item_at")).alias("diagonal"),
                           F.explode(F.arrays_zip("item_slots", "slots")).alias("z"), "item_at") \
         .select("digest", "item", "diagonal", (F.col("item_at") + F.col("z.item_slots.k")).alias("slot"),
@@ -132,12 +133,32 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, contained: float = CONT
     one = values.groupBy("digest", "item", "diagonal", "asked", "given").agg(F.count("*").alias("n")) \
         .groupBy("digest", "item", "diagonal", "asked") \
         .agg(F.max("n").alias("most"), F.sum("n").alias("n"),
-             F.sum(F.when(F.col("asked") != F.col("given"), F.col("n")).otherwise(0)).alias("changed"))
-    checked = one.groupBy("digest", "item").agg(F.sum("most").alias("most"), F.sum("n").alias("n"),
-                                                F.sum("changed").alias("changed"))
-    hits = found.join(checked, ["digest", "item"], "left") \
+             F.sum(F.when(F.col("asked") != F.col("given"), F.col("n")).otherwise(0)).alias("changed")) \
+        .groupBy("digest", "item", "diagonal") \
+        .agg(F.sum("most").alias("most"), F.sum("n").alias("n"), F.sum("changed").alias("changed"))
+    aligned = pairs.groupBy("digest", "item", (F.col("at") - F.col("item_at")).alias("diagonal")) \
+        .agg((F.count("*") / F.max("asked_windows")).alias("aligned"))
+    verbatim = pairs.where("item_slots = slots").groupBy("digest", "item") \
+        .agg((F.count_distinct("item_at") / F.max("asked_windows")).alias("verbatim")).where(F.col("verbatim") >= contained)
+    checked = one.join(aligned, ["digest", "item", "diagonal"]).join(verbatim, ["digest", "item"], "left") \
+        .withColumn("whole", (F.col("aligned") >= contained) & (F.col("most") >= consistent * F.col("n"))) \
+        .groupBy("digest", "item").agg(F.max(F.struct(
+            F.coalesce(F.col("verbatim").isNotNull() & (F.col("changed") == 0), F.lit(False)).alias("same"), "whole", "most",
+            (-F.col("n")).alias("less"), "n", "changed", F.col("verbatim").isNotNull().alias("verbatim"))).alias("best")) \
+        .select("digest", "item", "best.most", "best.n", "best.changed", "best.verbatim")
+    return found.join(checked, ["digest", "item"], "left") \
         .withColumn("consistency", F.coalesce(F.col("most") / F.col("n"), F.lit(1.0))) \
-        .where(F.col("consistency") >= consistent)
+        .where((F.col("consistency") >= consistent) | F.col("verbatim"))
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, contained: float = CONTAINED,
+                  consistent: float = CONSISTENT) -> DataFrame:
+    """One row per document and item that it contains: doc_id, item_id,
+    containment, n_slots (slot values aligned on the best diagonal), consistency
+    (their share that follows the item's values one to one) and changed_slots
+    (aligned values that differ: a re-parameterised copy has some)."""
+    docs = docs.select("doc_id", "text")
+    hits = _hits(docs, benchmark, contained, consistent)
     rows = docs.select("doc_id", text_digest("text").alias("digest"))
     return rows.join(hits, "digest").select(
         "doc_id", "item_id", "containment", F.coalesce("n", F.lit(0).cast("long")).alias("n_slots"), "consistency",

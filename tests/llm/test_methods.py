@@ -145,6 +145,24 @@ def test_reparameterised_question(spark):
     assert got[1].changed_slots == 0 and got[2].changed_slots >= 4 and got[2].consistency == 1.0
 
 
+def test_shifted_diagonals_do_not_outvote_a_copy(spark):
+    """Runs of numbers align with themselves on shifted diagonals; a worksheet
+    holds an exact copy beside variants whose values are mixed up."""
+    items = ["find the mode of the list 3 7 3 5 7 3 9 3 7 and give its value",
+             "sort the list 4 4 1 2 1 2 2 1 in rising order",
+             "add 5 apples and 5 pears and 5 plums and 5 figs and 5 nuts to the 5 boxes"]
+    variants = [f"add {a} apples and {a + 1} pears and {a + 2} plums and {a + 3} figs and {a + 4} nuts to the {a + 5} boxes"
+                for a in range(10, 80, 10)]
+    docs = spark.createDataFrame(
+        [(0, items[0]), (1, "Task: " + items[1] + " please"), (2, ". ".join(variants[:4] + [items[2]] + variants[4:])),
+         (3, variants[0]), (4, items[1].replace("4", "8").replace("1", "6"))], "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontamination.decontaminate(docs, bench).collect()}
+    assert {(0, 0), (1, 1), (2, 2), (4, 1)} <= set(got) and (3, 2) not in got
+    assert all(got[k].consistency == 1.0 and got[k].changed_slots == 0 for k in ((0, 0), (1, 1), (2, 2)))
+    assert got[4, 1].changed_slots > 0
+
+
 @needs_data
 def test_decontamination_against_substrings(spark):
     def norm(t):
