@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitpanel.llm.common import text_digest, write_stage
+from pitpanel.llm.common import fresh, text_digest, write_stage
 
 WINDOW = 5
 CONTAINED = 0.8
@@ -165,7 +165,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, contained: float = CONT
         F.coalesce("changed", F.lit(0).cast("long")).alias("changed_slots"))
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that contain a benchmark item."""
-    hits = decontaminate(docs, benchmark, **options).select("doc_id").distinct()
-    return docs.join(hits, docs["doc_id"].eqNullSafe(hits["doc_id"]), "left_anti")
+def clean_documents(docs: DataFrame, benchmark: DataFrame, contained: float = CONTAINED,
+                    consistent: float = CONSISTENT) -> DataFrame:
+    """``docs`` without the rows whose text contains a benchmark item; ids play
+    no part, they may be null or repeated."""
+    hits = write_stage(_hits(docs.select("doc_id", "text"), benchmark, contained, consistent)
+                       .select("digest").distinct(), "template_hits")
+    key = fresh(docs, "_text_digest")
+    return docs.withColumn(key, text_digest("text")).join(hits.withColumnRenamed("digest", key), key, "left_anti").drop(key)

@@ -101,6 +101,15 @@ def test_decontamination(docs, empty, benchmark):
     assert decontamination.decontaminate(docs, benchmark.where("false")).count() == 0
 
 
+def test_clean_documents_go_by_text(spark, benchmark):
+    """A contaminated row takes no clean row of the same, or no, id along."""
+    rows = [(None, "x " + PASSAGE), (None, "clean without an id"), (None, None), (7, PASSAGE + " y"), (7, "clean seven"),
+            (8, PASSAGE + " y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {(r.doc_id, r.text) for r in decontamination.clean_documents(docs, benchmark).collect()}
+    assert left == {(None, "clean without an id"), (None, None), (7, "clean seven")}
+
+
 def test_exact_dedup(docs, empty):
     rows = exact_dedup.exact_dedup(docs).collect()
     assert len(rows) == len(ROWS)
