@@ -5,8 +5,8 @@ kind).  The patterns below match what the plain forms match, but start only
 where a match can start and never backtrack, so very long texts stay linear
 and need no deep stack.
 
-The base spans seed a bootstrap over identifier-like tokens (tokens with a
-digit, and base spans): a token's lexical patterns are the two words before it
+The base spans, at their own places, seed a bootstrap over identifier-like
+tokens (whole tokens with a digit, without a label as in ip=): a token's lexical patterns are the two words before it
 and the words around it, with digits shown as 0.  The graph of patterns and
 token values is scored in rounds: a pattern's confidence for a kind is the
 smoothed mean of its values' scores, a value's score the noisy-or of its
@@ -38,7 +38,11 @@ _PATTERNS = dict(zip(KINDS, (_EMAIL, _IP, _CARD, _PHONE)))
 #: A text without this character class has no span of the kind.
 _NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 _TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
-_CANDIDATE = rf"{_EMAIL}|{_PHONE}|{_CARD}|{_TOKEN}"
+_DIGITS = r"[0-9]++(?:-[0-9]++)*+(?=[.,;:!?)\]}>\"']*+(?:[\x20\x09-\x0D]|\z))"
+#: Whole tokens; numbers written in groups are one.
+_CANDIDATE = rf"{_EMAIL}|{_PHONE}|(?<![^\x20\x09-\x0D]){_DIGITS}(?:\x20{_DIGITS})*+|{_TOKEN}"
+#: What precedes the value of a token: punctuation and a label.
+_LEAD = r"^[^\p{L}\p{N}+]*+(?:[\p{L}_]++[=:][^\p{L}\p{N}+]*+)?+"
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
 
 ROUNDS = 3
@@ -51,7 +55,10 @@ CONTEXT = 64
 #: Matches whose lengths are summed together.
 BLOCK = 256
 
-_SPAN = "array<struct<s:int,e:int,m:string>>"
+_SPAN = "s:int,e:int,m:string"
+#: Context fields of a match, for _with_offsets.
+_AROUND = f", 'l', concat(right(coalesce(get(z, i - 1).m, ''), {CONTEXT}), right(x.p, {CONTEXT}))" \
+          f", 'r', left(coalesce(get(z, i + 1).p, ''), {CONTEXT})"
 
 
 def _valid(kind: str, m: str) -> str:
@@ -90,14 +97,16 @@ def _with_offsets(fields: str) -> str:
                      _let("b", sums, _let("o", before, made))))
 
 
-def _located(keep: str) -> Column:
-    """Matches (s, e, m) for which the condition ``keep`` on ``x.m`` holds."""
-    return F.expr(f"""case when size(m) = 0 then cast(array() as {_SPAN}) else
-        transform(filter({_with_offsets('')}, x -> {keep}),
-                  x -> named_struct('s', x.s, 'e', x.s + length(x.m), 'm', x.m)) end""")
+def _located(keep: str, context: bool) -> Column:
+    """Matches (s, e, m, with ``context`` also l and r) for which the condition
+    ``keep`` on ``x.m`` holds."""
+    kind, more = (f"{_SPAN},l:string,r:string", ", 'l', x.l, 'r', x.r") if context else (_SPAN, "")
+    return F.expr(f"""case when size(m) = 0 then cast(array() as array<struct<{kind}>>) else
+        transform(filter({_with_offsets(_AROUND if context else '')}, x -> {keep}),
+                  x -> named_struct('s', x.s, 'e', x.s + length(x.m), 'm', x.m{more})) end""")
 
 
-def with_base_spans(docs: DataFrame) -> DataFrame:
+def with_base_spans(docs: DataFrame, context: bool = False) -> DataFrame:
     """``docs`` (doc_id, text) with one span array per kind and ``digest``."""
     out = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     for kind in KINDS:
@@ -105,7 +114,7 @@ def with_base_spans(docs: DataFrame) -> DataFrame:
         out = out.withColumn("p", F.when(needs, F.split("text", _PATTERNS[kind], -1)).otherwise(F.array())) \
             .withColumn("m", F.when(needs, F.regexp_extract_all("text", F.lit(_PATTERNS[kind]), F.lit(0)))
                         .otherwise(F.array()))
-        out = out.withColumn(kind, _located(_valid(kind, "x.m"))).drop("p", "m")
+        out = out.withColumn(kind, _located(_valid(kind, "x.m"), context)).drop("p", "m")
     return out.withColumn("digest", text_digest("text"))
 
 
@@ -114,38 +123,44 @@ def _normal(words: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(words), "[0-9]+", "0"), r"[^\p{L}0@=+(): ]+", " "))
 
 
-def _tagged(tag) -> Column:
-    """All base spans as one array of (tag, s, e)."""
+def _tagged(tag, *fields: str) -> Column:
+    """All base spans as one array of (tag, s, e and ``fields``)."""
     def one(i: int, kind: str) -> Column:
-        return F.transform(kind, lambda x: F.struct(tag(i, kind), x["s"].alias("s"), x["e"].alias("e")))
+        return F.transform(kind, lambda x: F.struct(tag(i, kind), *[x[f].alias(f) for f in ("s", "e", *fields)]))
     return F.flatten(F.array(*[one(i, kind) for i, kind in enumerate(KINDS, 1)]))
 
 
 def candidates(spans: DataFrame) -> DataFrame:
-    """Identifier-like tokens of every text with their patterns: digest, s, e,
-    value, kind (of the base span that it is, or null), inside (it overlaps
-    one) and patterns."""
-    flat = _tagged(lambda i, kind: F.lit(kind).alias("kind"))
+    """Base spans (with context) and identifier-like tokens of every text with
+    their patterns: digest, s, e, value, kind (of a base span; null for a
+    token), inside (a token overlaps a base span) and patterns."""
+    flat = _tagged(lambda i, kind: F.lit(kind).alias("kind"), "m", "l", "r")
     found = spans.where(F.col("text").rlike("[0-9@]")).select(
         "digest", flat.alias("base"), F.split("text", _CANDIDATE, -1).alias("p"),
         F.regexp_extract_all("text", F.lit(_CANDIDATE), F.lit(0)).alias("m"))
-    zipped = F.expr(_with_offsets(
-        f", 'l', concat(right(coalesce(get(z, i - 1).m, ''), {CONTEXT}), right(x.p, {CONTEXT}))"
-        f", 'r', left(coalesce(get(z, i + 1).p, ''), {CONTEXT})"))
-    rows = found.select("digest", "base", F.explode_outer(zipped).alias("c")).where("c is not null")
-    lead = F.length(F.regexp_extract(F.col("c.m"), r"^[^\p{L}\p{N}+]*", 0))
-    core = F.regexp_replace(F.regexp_replace(F.col("c.m"), r"^[^\p{L}\p{N}+]+", ""), r"[^\p{L}\p{N}]+$", "")
-    rows = rows.select("digest", "base", (F.col("c.s") + lead).alias("s"), core.alias("value"),
-                       F.split(F.trim(_normal(F.col("c.l"))), " +").alias("l"),
-                       F.split(F.trim(_normal(F.col("c.r"))), " +").alias("r")) \
+    fields = "'s', x.s, 'm', x.m, 'l', x.l, 'r', x.r"
+    both = F.expr(f"""concat(
+        transform(base, x -> named_struct('kind', x.kind, {fields})),
+        transform({_with_offsets(_AROUND)}, x -> named_struct('kind', cast(null as string), {fields})))""")
+    base = F.expr("transform(base, x -> named_struct('s', x.s, 'e', x.e))").alias("base")
+    rows = found.select("digest", base, F.explode_outer(both).alias("c")).where("c is not null") \
+        .select("digest", "base", "c.*") \
+        .withColumn("lead", F.when(F.col("kind").isNull(), F.regexp_extract("m", _LEAD, 0)).otherwise("")) \
+        .withColumn("value", F.expr("substring(m, length(lead) + 1)")) \
+        .withColumn("value", F.when(F.col("kind").isNull(), F.regexp_replace(
+            "value", r"(?<=[\p{L}\p{N}])[^\p{L}\p{N}]++$", "")).otherwise(F.col("value")))
+    left = F.expr(f"right(concat(l, lead), {CONTEXT})")
+    right = F.expr(f"left(concat(substring(m, length(lead) + length(value) + 1), r), {CONTEXT})")
+    rows = rows.select("digest", "base", "kind", (F.col("s") + F.length("lead")).alias("s"), "value",
+                       F.split(F.trim(_normal(left)), " +").alias("l"),
+                       F.split(F.trim(_normal(right)), " +").alias("r")) \
         .withColumn("e", F.col("s") + F.length("value"))
     last, before = F.try_element_at("l", F.lit(-1)), F.try_element_at("l", F.lit(-2))
     patterns = F.array(F.concat_ws(" ", F.lit("before:"), before, last),
                        F.concat_ws(" ", F.lit("around:"), last, F.lit("_"), F.try_element_at("r", F.lit(1))))
     return rows.select(
-        "digest", "s", "e", "value",
-        F.expr("try_element_at(filter(base, b -> b.s = s and b.e = e), 1).kind").alias("kind"),
-        F.expr("exists(base, b -> b.s < e and s < b.e)").alias("inside"), patterns.alias("patterns"))
+        "digest", "s", "e", "value", "kind",
+        F.expr("kind is null and exists(base, b -> b.s < e and s < b.e)").alias("inside"), patterns.alias("patterns"))
 
 
 def bootstrap(found: DataFrame, rounds: int = ROUNDS, min_values: int = MIN_VALUES,
@@ -188,7 +203,7 @@ def find_pii(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     spans = with_base_spans(docs)
     base = _tagged(lambda i, kind: F.lit(i).alias("k"))
     stage = write_stage(spans.select("doc_id", "digest", base.alias("base")), "pii_base")
-    found = write_stage(candidates(spans), "pii_candidates")
+    found = write_stage(candidates(with_base_spans(docs, context=True)), "pii_candidates")
     order = F.create_map(*[x for i, k in enumerate(KINDS, 1) for x in (F.lit(k), F.lit(i))])
     extra = write_stage(bootstrap(found, rounds).groupBy("digest").agg(F.collect_list(
         F.struct(order[F.col("kind")].alias("k"), "s", "e")).alias("more")), "pii_more")

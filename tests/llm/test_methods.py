@@ -132,6 +132,21 @@ def test_bootstrap_finds_unseen_identifiers(spark):
     assert all(got[200 + i].spans == "" for i in range(10)) and got[0].n_phone == 1 and got[0].n_context == 0
 
 
+def test_bootstrap_takes_addresses_and_whole_tokens(spark):
+    """IP spans of any octets are seeds, also behind a label, and unseen
+    identifiers that begin with digits are found whole."""
+    rows = [(i, f"the server at host address 192.168.{i}.10 is up") for i in range(20)]
+    rows += [(50 + i, f"log line with ip=203.0.{i}.113 was seen") for i in range(20)]
+    rows += [(100, "the server at host address 203.0.113.300 is up"), (101, "log line with ip=10.0.0.999 was seen"),
+             (102, "the server at host address 12ab34 is up"), (103, "the server at host address 4111 1111 is up")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seeds = [r for r in pii.candidates(pii.with_base_spans(docs, context=True)).collect() if r.kind == "ip"]
+    assert sorted(r.value for r in seeds) == sorted([f"192.168.{i}.10" for i in range(20)] + [f"203.0.{i}.113" for i in range(20)])
+    got = {r.doc_id: r.spans for r in pii.find_pii(docs).collect()}
+    assert {k: got[k] for k in (100, 101, 102, 103)} == {100: "ip:27:40", 101: "ip:17:27", 102: "ip:27:33", 103: "ip:27:36"}
+    assert got[0] == "ip:27:39" and got[50] == "ip:17:28"
+
+
 def test_reparameterised_question(spark):
     item = ("A train leaves Paris at 9 and travels 120 km to reach the town of Lyon while another train "
             "leaves at 9 and needs 2 hours for the way back to the north")
