@@ -1,8 +1,8 @@
 """Toxicity by a factorization machine over hashed terms.
 
 The score of a text is the logistic of a linear part and of the pairwise
-interactions of its terms, each term having ``FACTORS`` latent factors; so a
-pair of terms can matter where neither does alone.  Terms are the distinct
+interactions of its terms, each term having ``FACTORS + PAIR_FACTORS`` latent
+factors; so a pair of terms can matter where neither does alone.  Terms are the distinct
 lower-cased words, hashed to ``BUCKETS`` places.
 
 The machine is fitted in one task on a bounded, documented sample of the
@@ -37,9 +37,14 @@ EPOCHS = 8
 MAX_TRAINING_ROWS = 20_000
 MIN_ROWS = 3
 PENALTY = 0.9
+#: Factors of every term, their own epochs and their L2 penalty for each row.
+PAIR_FACTORS = 4
+PAIR_EPOCHS = 12
+PAIR_PENALTY = 0.1
 _BATCH = 128
 _RATE = 0.3
 _FACTOR_RATE = 0.02
+_PAIR_RATE = 0.03
 _TERM = re.compile(r"[^\W\d_]+")
 
 
@@ -81,17 +86,25 @@ def fit(docs: list[np.ndarray], labels: np.ndarray, seed: int = 11) -> Machine:
     """Logistic loss in small batches, every row used in every epoch.  The
     linear part is follow-the-regularised-leader with an L1 penalty that grows
     as the root of the number of toxic rows (noise in a term's gradient does
-    too); latent factors learn, by Adagrad, for the terms it keeps.  Terms of
-    fewer than ``MIN_ROWS`` rows are left out."""
+    too).  ``FACTORS`` latent factors learn, by Adagrad, for the terms it keeps.
+    ``PAIR_FACTORS`` more then learn, in ``PAIR_EPOCHS`` more epochs, for every
+    term under an L2 penalty of their own, so that pairs of terms without a
+    linear weight count.  Terms of fewer than ``MIN_ROWS`` rows are left out."""
     rng = np.random.default_rng(seed)
     common = np.bincount(np.concatenate(docs), minlength=BUCKETS) >= MIN_ROWS
     docs = [d[common[d]] for d in docs]
     share = (labels.sum() + 0.5) / (len(labels) + 1.0)
-    model = Machine(float(np.log(share / (1 - share))), np.zeros(BUCKETS), rng.normal(0, 0.01, (BUCKETS, FACTORS)))
+    model = Machine(float(np.log(share / (1 - share))), np.zeros(BUCKETS),
+                    np.zeros((BUCKETS, FACTORS + PAIR_FACTORS)))
+    model.factors[:, :FACTORS] = rng.normal(0, 0.01, (BUCKETS, FACTORS))
+    pairs = rng.normal(0, 0.05, (BUCKETS, PAIR_FACTORS))
     l1 = PENALTY * np.sqrt(labels.sum())
-    z, n, sv = np.zeros(BUCKETS), np.zeros(BUCKETS), np.ones((BUCKETS, FACTORS))
+    z, n, sv = np.zeros(BUCKETS), np.zeros(BUCKETS), np.ones((BUCKETS, FACTORS + PAIR_FACTORS))
+    rates = np.repeat([_FACTOR_RATE, _PAIR_RATE], [FACTORS, PAIR_FACTORS])
     usable = np.array([i for i, d in enumerate(docs) if len(d)], np.int64)
-    for _ in range(EPOCHS):
+    for epoch in range(EPOCHS + PAIR_EPOCHS):
+        if epoch == EPOCHS:
+            model.factors[:, FACTORS:] = pairs
         order = rng.permutation(usable)
         for at in range(0, len(order), _BATCH):
             rows = order[at:at + _BATCH]
@@ -111,14 +124,19 @@ def fit(docs: list[np.ndarray], labels: np.ndarray, seed: int = 11) -> Machine:
             v = model.factors[flat]
             total = np.add.reduceat(v, np.concatenate([[0], np.cumsum(sizes)[:-1]]))
             pull = each[:, None] * (np.repeat(total, sizes, axis=0) - v)
-            kept = places[w != 0]
-            gv = np.stack([np.bincount(back, pull[:, f], len(places)) for f in range(FACTORS)], axis=1)[w != 0] \
-                + model.factors[kept]
-            sv[kept] += gv * gv
-            model.factors[kept] -= _FACTOR_RATE * gv / np.sqrt(sv[kept])
-            model.factors[places[w == 0]] *= 0.5
+            old = model.factors[places]
+            gv = np.stack([np.bincount(back, pull[:, f], len(places)) for f in range(pull.shape[1])], axis=1)
+            gv[:, :FACTORS] = np.where(w[:, None] != 0, gv[:, :FACTORS] + old[:, :FACTORS], 0.0)
+            gv[:, FACTORS:] += PAIR_PENALTY * np.bincount(back)[:, None] * old[:, FACTORS:]
+            if epoch < EPOCHS:
+                gv[:, FACTORS:] = 0.0
+            sv[places] += gv * gv
+            old -= rates * gv / np.sqrt(sv[places])
+            old[w == 0, :FACTORS] *= 0.5
+            model.factors[places] = old
             model.bias -= 0.02 * float(error.mean())
-    model.factors[model.weights == 0] = 0.0
+    model.factors[model.weights == 0, :FACTORS] = 0.0
+    model.factors[~common] = 0.0
     return model
 
 
@@ -143,9 +161,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS)
         .orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id", "toxic", "text").limit(max_rows).coalesce(1)
     found = rows.select("text", "toxic").mapInArrow(_fit_task, "bias double, weights binary, factors binary").first()
     if found is None:
-        return Machine(-0.01, np.zeros(BUCKETS, np.float32), np.zeros((BUCKETS, FACTORS), np.float32))
+        return Machine(-0.01, np.zeros(BUCKETS, np.float32), np.zeros((BUCKETS, FACTORS + PAIR_FACTORS), np.float32))
     return Machine(found["bias"], np.frombuffer(found["weights"], np.float32),
-                   np.frombuffer(found["factors"], np.float32).reshape(BUCKETS, FACTORS))
+                   np.frombuffer(found["factors"], np.float32).reshape(BUCKETS, FACTORS + PAIR_FACTORS))
 
 
 def score(docs: DataFrame, model: Machine, name: str = "score") -> DataFrame:

@@ -264,6 +264,22 @@ def test_machine_learns_a_pair():
     assert model.factors[[1, 2]].prod(axis=0).sum() > 0
 
 
+def test_machine_learns_a_pair_without_marginal_effect():
+    """Half the rows of either term are toxic, as half of all rows are: only
+    the pair tells."""
+    rng = np.random.default_rng(4)
+    docs, labels = [], []
+    for i in range(2000):
+        a, b = i % 2 == 0, i % 4 < 2
+        docs.append(np.array(sorted(set(rng.integers(100, 130, 4).tolist()) | ({1} if a else set()) | ({2} if b else set())),
+                             np.int32))
+        labels.append(float(a == b))
+    model = toxicity.fit(docs, np.array(labels))
+    pred = toxicity.logistic(model.margins(docs)) >= 0.5
+    assert (pred == np.array(labels)).mean() > 0.97
+    assert model.factors[[1, 2]].prod(axis=0).sum() > 0
+
+
 @needs_data
 def test_pipeline_stages(spark):
     import corpus_pipeline
