@@ -4,7 +4,8 @@ Texts are reduced to templates: numbers, names (capitalised words inside a
 sentence) and units after a number become typed placeholders, everything else
 is lower-cased words.  Windows of five template tokens are hash-joined with
 the windows of the benchmark items; a document is a candidate for an item when
-it has at least 80 % of the item's distinct windows.  Candidates are then
+it has at least 80 % of the item's distinct windows, with names as placeholders
+or with names as plain words (a copy in another case or layout).  Candidates are then
 aligned: on the best diagonal (document position minus item position) a value
 of an item's slot has to stand for one value of the document.  A
 re-parameterised question replaces its values consistently; an accidental match
@@ -45,11 +46,13 @@ _NUMBER = r"[0-9]++(?:[.,:/-][0-9]++)*+"
 _NAME = r"(?<=[\p{L}\p{N},;:]\x20)\p{Lu}\p{Ll}\p{L}*+"
 
 
-def template_tokens(text: Column, values: bool) -> Column:
+def template_tokens(text: Column, values: bool, names: bool = True) -> Column:
     """Template tokens of a text; a placeholder is a mark and its type, with
-    ``values`` followed by what it stands for."""
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), _MARK, " ")
-    t = F.regexp_replace(t, _NAME, f" {_MARK}p" + ("$0" if values else "") + " ")
+    ``values`` followed by what it stands for.  Without ``names`` these stay
+    words, so case and what precedes them play no part."""
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), rf"[{_MARK}\s]+", " ")
+    if names:
+        t = F.regexp_replace(t, _NAME, f" {_MARK}p" + ("$0" if values else "") + " ")
     t = F.regexp_replace(t, _NUMBER, f" {_MARK}n" + ("$0" if values else "") + " ")
     t = F.regexp_replace(t, rf"(?<={_MARK}n{'[0-9.,:/-]{1,24}' if values else ''}\x20{{1,2}})"
                             rf"(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f"{_MARK}u" + ("$0" if values else ""))
@@ -78,12 +81,14 @@ def _values_at(tokens: str, at: str) -> Column:
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """(item, item_id, window, n_windows): distinct windows of every item."""
+    """(item, item_id, names, n_windows, window): distinct windows of every
+    item, with names as placeholders and as words."""
     items = benchmark.select("item_id", text_digest("text").alias("item_text"), "text").dropDuplicates(
         ["item_id", "item_text"])
-    return items.withColumn("t", template_tokens(F.col("text"), False)) \
-        .withColumn("w", F.array_distinct(_windows("t"))) \
-        .select(F.xxhash64("item_id", "item_text").alias("item"), "item_id", F.size("w").alias("n_windows"),
+    kinds = [items.withColumn("t", template_tokens(F.col("text"), False, names))
+             .withColumn("w", F.array_distinct(_windows("t"))).withColumn("names", F.lit(names)) for names in (True, False)]
+    return kinds[0].unionByName(kinds[1]) \
+        .select(F.xxhash64("item_id", "item_text").alias("item"), "item_id", "names", F.size("w").alias("n_windows"),
                 F.explode_outer("w").alias("window")).where("window is not null")
 
 
@@ -92,14 +97,15 @@ def _candidates(docs: DataFrame, items: DataFrame, contained: float) -> DataFram
     # explode_outer: a filter on the array's size, which explode() brings along,
     # would be pushed into the lambdas that build the array
     count = items.count()
-    items = items.select("item", "item_id", "n_windows", "window")
+    items = items.select("item", "item_id", "names", "n_windows", "window")
     side = F.broadcast(items) if count <= BROADCAST_WINDOWS else items.hint("merge")
-    rows = docs.select(text_digest("text").alias("digest"), template_tokens(F.col("text"), False).alias("t")) \
-        .select("digest", F.array_distinct(_windows("t")).alias("w")) \
+    rows = docs.select(text_digest("text").alias("digest"), template_tokens(F.col("text"), False).alias("t"),
+                       template_tokens(F.col("text"), False, False).alias("plain")) \
+        .select("digest", F.array_union(_windows("t"), _windows("plain")).alias("w")) \
         .select("digest", F.explode_outer("w").alias("window"))
-    return rows.join(side, "window").groupBy("digest", "item", "item_id", "n_windows") \
+    return rows.join(side, "window").groupBy("digest", "item", "item_id", "names", "n_windows") \
         .agg(F.size(F.collect_set("window")).alias("found")) \
-        .select("digest", "item", "item_id", (F.col("found") / F.col("n_windows")).alias("containment")) \
+        .groupBy("digest", "item", "item_id").agg(F.max(F.col("found") / F.col("n_windows")).alias("containment")) \
         .where(F.col("containment") >= contained)
 
 

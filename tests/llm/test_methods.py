@@ -178,6 +178,16 @@ def test_shifted_diagonals_do_not_outvote_a_copy(spark):
     assert got[4, 1].changed_slots > 0
 
 
+def test_copies_in_another_case_or_layout(spark):
+    items = ["Once Anna met Paul in Rome and then Carl went from Oslo to Bonn while Emma took Greta and Hans to Wien",
+             "What is the capital of France?"]
+    docs = spark.createDataFrame([(0, items[0].lower()), (1, items[0].replace(" ", "\n")), (2, "Q: " + items[1] + " A: Paris"),
+                                  (3, "what is the price of it")], "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.decontaminate(docs, bench).collect()}
+    assert got == {(0, 0), (1, 0), (2, 1)}
+
+
 @needs_data
 def test_decontamination_against_substrings(spark):
     def norm(t):
