@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitpanel.llm import decontamination, exact_dedup, language_id, licenses, mixing, near_dedup, pii, sharding, \
-    substring_dedup, toxicity
+from pitpanel.llm import collocations, decontamination, exact_dedup, hard_negatives, language_id, licenses, mixing, \
+    near_dedup, packing, pii, sharding, substring_dedup, toxicity
 from pitpanel.llm.common import read
 
 
@@ -53,9 +53,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(read(spark, sf_dir, "embeddings"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_substring_dedup, op2_pii, op3_decontamination, op4_exact_dedup, op5_sharding, op6_licenses, op7_near_dedup,
-                            op8_mixing, op9_language_id, op10_toxicity)}
+                            op8_mixing, op9_language_id, op10_toxicity, op11_collocations, op12_hard_negatives,
+                            op13_packing)}
 
 
 _WORDS = r"[x for x in regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> '']"
@@ -128,5 +141,46 @@ SELECT doc_id, size, source_size, target, taken,
             ELSE 0.5 + 2.0 * (x - 0.3125) / (0.75 + sqrt(0.5625 + 5.0 * (x - 0.3125))) END AS position
 FROM u"""
 
+OP11_SQL = f"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+                  unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+p AS (SELECT lang, [x for x in regexp_split_to_array(piece, '[\\x20\\x09]+') if x <> ''] AS w FROM d),
+g AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS gram
+      FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(w) >= m)),
+f AS (SELECT lang, gram, m, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, gram, m, f AS a, string_split(gram, ' ') AS w FROM f WHERE m > 1 AND f >= 30),
+cuts AS (SELECT lang, gram, m, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+         FROM (SELECT *, unnest(range(1, m)) AS k FROM c)),
+s AS (SELECT cuts.lang, cuts.gram, cuts.m, a, k, x.f AS l, y.f AS r,
+             (2000000::HUGEINT * a // (x.f + y.f))::BIGINT AS score
+      FROM cuts JOIN f x ON x.lang = cuts.lang AND x.gram = head JOIN f y ON y.lang = cuts.lang AND y.gram = tail),
+low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, k) = 1),
+swallowed AS (SELECT DISTINCT c.lang, c.gram
+              FROM (SELECT lang, a, m, w, k, unnest(range(1, m - k + 2)) AS i
+                    FROM (SELECT *, unnest(range(2, m)) AS k FROM c)) b
+              JOIN c ON c.lang = b.lang AND c.gram = array_to_string(b.w[i:i + k - 1], ' ')
+              WHERE 100::HUGEINT * b.a >= 80::HUGEINT * c.a),
+r AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(gram)) AS rank, gram AS phrase,
+             a, l, r, score FROM low ANTI JOIN swallowed USING (lang, gram))
+SELECT lang, rank, phrase, a, l, r, n, score FROM r JOIN n USING (lang) WHERE rank <= 2000"""
+
+OP12_SQL = """
+WITH v AS (SELECT row_number() OVER () AS u, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  [floor(256 * x::DOUBLE) for x in embedding] AS x
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.u, a.vec_id AS anchor_id, b.u AS o, b.vec_id AS id, a.label = b.label AS same,
+             list_dot_product(a.x, b.x)::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.u <> b.u),
+p AS (SELECT u, anchor_id, o AS po, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY u ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY u, po ORDER BY score DESC, id))::INT AS rank, id AS negative_id,
+       positive_score, score AS negative_score
+FROM p JOIN s USING (u) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10"""
+
 ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op4_exact_dedup": OP4_SQL,
-                              "op7_near_dedup": OP7_SQL, "op8_mixing": OP8_SQL}
+                              "op7_near_dedup": OP7_SQL, "op8_mixing": OP8_SQL,
+                              "op11_collocations": OP11_SQL, "op12_hard_negatives": OP12_SQL}
