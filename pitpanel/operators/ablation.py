@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+import pickle
+import sys
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitpanel.functions.season import CHECKPOINTS
 from pitpanel.operators import metrics as M
 from pitpanel.operators.features import available_groups, feature_set
-from concurrent.futures import ThreadPoolExecutor
+from pitpanel.operators.linear import design_columns, design_rows, gram_matrices, logistic_models, ridge
+from pitpanel.operators.ml import LOGISTIC_C, N_TREES, RANDOM_STATE, RIDGE_ALPHA
+from pitpanel.operators.targets import TARGET_KEYS, apply_thresholds, risk_thresholds
+from pitpanel.operators.trees import Spec, fit_trees, predict_rows
+from pitpanel.session import cut_lineage
 
-from pitpanel.operators.ml import N_TREES, fit_model, predict, preprocessing_stats, spread_by_key
-from pitpanel.operators.splits import temporal_split
-from pitpanel.operators.targets import assign_risk_labels
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ABLATION_REG_MODELS = ["ridge", "hist_gradient_boosting_reg"]
 ABLATION_CLF_MODELS = ["logistic_regression", "random_forest_clf"]
@@ -31,64 +38,126 @@ def crop_modes(panel: DataFrame, crop_col: str = "crop") -> dict[str, str | None
     return {"pooled": None} | {f"{c.lower()}_only": c for c in crops}
 
 
+def mode_split(panel: DataFrame, modes: dict[str, str | None], n_test_years: int,
+               classification_target: str = "severe_risk") -> DataFrame:
+    """The labelled temporal split of every mode as one table: ``_mode`` (place
+    in ``modes``), ``split`` and the label learnt on the mode's training rows."""
+    member = F.array(*[F.when(F.lit(True) if crop is None else F.col("crop") == crop, F.lit(k))
+                       for k, crop in enumerate(modes.values())])
+    rows = panel.where(F.col("year").isNotNull()).withColumn("_mode", F.explode(F.filter(member, lambda m: m.isNotNull())))
+    years = {r["_mode"]: sorted(r["years"], reverse=True)
+             for r in rows.groupBy("_mode").agg(F.collect_set("year").alias("years")).collect()}  # years: a handful
+    for k, mode in enumerate(modes):
+        if len(years.get(k, [])) <= n_test_years:
+            raise ValueError(f"mode {mode!r}: {n_test_years} test years leave no training year")
+    cutoff = F.create_map(*[F.lit(int(x)) for k, ys in years.items() for x in (k, ys[n_test_years - 1])])
+    rows = rows.withColumn("split", F.when(F.col("year") < cutoff[F.col("_mode")], "train").otherwise("test"))
+    keys = (*TARGET_KEYS, "_mode")
+    return apply_thresholds(rows, risk_thresholds(rows.where("split = 'train'"), keys=keys), keys,
+                            label_col=classification_target)
+
+
 def run_ablation(panel: DataFrame, modes: dict[str, str | None], n_test_years: int = 3,
-                 n_trees: int = N_TREES, groups: Sequence[str] | None = None, parallelism: int = 8,
-                 regression_target: str = "yield_anomaly", classification_target: str = "severe_risk") -> DataFrame:
+                 n_trees: int = N_TREES, groups: Sequence[str] | None = None,
+                 regression_target: str = "yield_anomaly", classification_target: str = "severe_risk",
+                 rounds: int = 100) -> DataFrame:
     """Modes x available feature groups x models -> grouped metrics
     tagged with (mode, feature_group).
 
-    Each mode's labelled split is persisted once and shared by its fits; the
-    fits (independent small Spark jobs) run concurrently from a driver thread
-    pool; all predictions are then scored by ONE grouped-metrics aggregation
-    keyed by (mode, feature_group, model) rather than one job per fit."""
+    All models are fitted together: the rows of each (mode, task) are one data
+    set of a common design table, ridge solves parts of one Gram matrix per
+    data set, the logistic models share their Newton passes, and the trees of
+    all groups grow side by side.  All predictions come from one pass over the
+    test rows and are scored by one grouped aggregate."""
+    spark = panel.sparkSession
     groups = list(groups) if groups else available_groups(panel)
     meta = [c for c in ("year", "state", "county_fips", "crop", "checkpoint") if c in panel.columns]
-    splits, jobs = {}, []
-    for mode, crop in modes.items():
-        sub = crop_mode(panel, crop)
-        train, test = temporal_split(sub, n_test_years)
-        train, test = assign_risk_labels(train, test)
-        train = spread_by_key(train.filter(F.col(regression_target).isNotNull())).persist()
-        test = test.persist()
-        tr_c = spread_by_key(train.filter(F.col(classification_target).isNotNull())).persist()
-        te_c = test.filter(F.col(classification_target).isNotNull())
-        all_num = list(dict.fromkeys(c for g in groups for c in feature_set(panel, g)[0]))
-        cats = feature_set(panel, "all_features")[1]
-        st_reg = preprocessing_stats(train, all_num, cats)
-        st_cls = preprocessing_stats(tr_c, all_num, cats, classification_target)
-        clf_ok = len(st_cls.class_counts or {}) >= 2 and te_c.limit(1).count() > 0
-        splits[mode] = (train, test, tr_c, te_c, st_reg, st_cls)
-        for group in groups:
-            numeric, categorical = feature_set(panel, group)
-            for name in ABLATION_REG_MODELS:
-                jobs.append((mode, group, name, "regression", regression_target, numeric, categorical))
-            if clf_ok:
-                for name in ABLATION_CLF_MODELS:
-                    jobs.append((mode, group, name, "classification", classification_target, numeric, categorical))
-
-    def run(job):
-        mode, group, name, task, label, numeric, categorical = job
-        train, test, tr_c, te_c, st_reg, st_cls = splits[mode]
-        tr = train if task == "regression" else tr_c
-        te = test.filter(F.col(label).isNotNull()) if task == "regression" else te_c
-        stats = st_reg if task == "regression" else st_cls
-        model = fit_model(tr, name, numeric, categorical, label, n_trees, stats=stats, sized=True)
-        return predict(model, te, meta, label, name, task).select(
-            F.lit(mode).alias("mode"), F.lit(group).alias("feature_group"), "*")
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        preds = list(ex.map(run, jobs))
-    allp = preds[0]
-    for p in preds[1:]:
-        allp = allp.unionByName(p)
+    numeric = list(dict.fromkeys(c for g in groups for c in feature_set(panel, g)[0]))
+    categorical = list(dict.fromkeys(c for g in groups for c in feature_set(panel, g)[1]))
+    split = cut_lineage(mode_split(panel, modes, n_test_years, classification_target))
+    sets = F.filter(F.array(F.when(F.col(regression_target).isNotNull(), 2 * F.col("_mode")),
+                            F.when(F.col(classification_target).isNotNull(), 2 * F.col("_mode") + 1)), lambda s: s.isNotNull())
+    tagged = split.withColumn("_set", F.explode(sets)) \
+        .withColumn("_y", F.when(F.col("_set") % 2 == 0, F.col(regression_target)).otherwise(F.col(classification_target)).cast("double"))
+    sizes = {(r["split"], r["_set"], r["_y"]): r["n"] for r in tagged.groupBy("split", "_set", F.when(
+        F.col("_set") % 2 == 1, F.col("_y")).alias("_y")).agg(F.count("*").alias("n")).collect()}
+    balance, usable = [], set()
+    for m in range(len(modes)):
+        classes = {y: n for (part, s, y), n in sizes.items() if part == "train" and s == 2 * m + 1}
+        if len(classes) >= 2 and any(part == "test" and s == 2 * m + 1 for part, s, _ in sizes):
+            usable.add(2 * m + 1)
+            balance += [F.when((F.col("_set") == 2 * m + 1) & (F.col("_y") == y), sum(classes.values()) / (len(classes) * n))
+                        for y, n in classes.items()]
+        usable.add(2 * m)
+    train = tagged.where("split = 'train'").where(F.col("_set").isin(sorted(usable))) \
+        .withColumn("_w", F.coalesce(*balance, F.lit(1.0))) \
+        .withColumn("_row", F.pmod(F.xxhash64(*meta), F.lit(2**31 - 1)))
+    columns = design_columns(train, "_set", numeric, categorical)
+    rows = cut_lineage(design_rows(train, "_set", columns, "_y", weight="_w", key="_row")).persist()
+    picks = {(s, g): tuple(k for k, c in enumerate(columns[s]) if c.feature in set(sum(feature_set(panel, g), [])))
+             for s in columns for g in groups}
+    names = {0: ABLATION_REG_MODELS, 1: ABLATION_CLF_MODELS}
+    grams = gram_matrices(rows)
+    linear = {f"{s}/{g}/{names[0][0]}": ridge(grams[s], at, RIDGE_ALPHA) for (s, g), at in picks.items() if s % 2 == 0 and s in grams}
+    linear |= logistic_models(rows, {f"{s}/{g}/{names[1][0]}": (s, at) for (s, g), at in picks.items() if s % 2 == 1}, LOGISTIC_C)
+    specs = [Spec(f"{s}/{g}/{names[0][1]}", s, "boosting", at, trees=rounds, seed=RANDOM_STATE) if s % 2 == 0 else
+             Spec(f"{s}/{g}/{names[1][1]}", s, "forest", at, trees=n_trees, max_leaves=None, min_leaf=1,
+                  draw=max(1, int(len(at) ** 0.5)), classes=True, seed=RANDOM_STATE) for (s, g), at in picks.items() if at]
+    trees = fit_trees(rows, specs)
+    rows.unpersist()
+    test = design_rows(tagged.where("split = 'test'").where(F.col("_set").isin(sorted(set(columns) & usable))),
+                       "_set", columns, "_y", keep=meta)
+    at_of = {f"{s}/{g}": at for (s, g), at in picks.items()}
+    scored = score_rows(test, meta, linear, trees, at_of)
+    place = F.split("key", "/")
+    number = place[0].cast("int")
+    out = scored.select(*meta, F.array(*[F.lit(m) for m in modes])[F.floor(number / 2).cast("int")].alias("mode"),
+                        place[1].alias("feature_group"), place[2].alias("model"),
+                        F.when(number % 2 == 0, "regression").otherwise("classification").alias("task"),
+                        "y_true", "y_pred", "y_proba")
+    out = cut_lineage(out)
     keys = ("mode", "feature_group", "model")
-    reg = M.grouped_metrics(allp.filter(F.col("task") == "regression"), "regression",
+    reg = M.grouped_metrics(out.filter(F.col("task") == "regression"), "regression",
                             crop_checkpoint=False, model_cols=keys)
-    cls = M.grouped_metrics(allp.filter(F.col("task") == "classification"), "classification",
+    cls = M.grouped_metrics(out.filter(F.col("task") == "classification"), "classification",
                             crop_checkpoint=False, model_cols=keys)
     return reg.unionByName(cls, allowMissingColumns=True)
 
 
+def score_rows(test: DataFrame, meta: Sequence[str], linear: dict, trees: dict, at_of: dict) -> DataFrame:
+    """Every model's prediction for the design rows of its data set: the meta
+    columns, key, y_true, y_pred (a class for odd data sets) and y_proba."""
+    shared = test.sparkSession.sparkContext.broadcast(cloudpickle.dumps((linear, trees, at_of)))
+    kept = [f for f in test.schema.fields if f.name in meta]
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
+    kept = [f.name for f in kept]
+
+    def run(batches):
+        linear, trees, at_of = pickle.loads(shared.value)
+        for batch in batches:
+            sets = batch.column("rows").to_numpy()
+            for s in np.unique(sets):
+                part = batch.take(pa.array(np.flatnonzero(sets == s)))
+                x, bins = (np.frombuffer(b"".join(part.column(c).to_pylist()), t).reshape(part.num_rows, -1)
+                           for c, t in (("x", np.float64), ("bins", np.uint16)))
+                for key in [*linear, *trees]:
+                    if not key.startswith(f"{s}/"):
+                        continue
+                    if key in linear:
+                        value = linear[key][0] + x[:, list(at_of[key.rsplit("/", 1)[0]])] @ linear[key][1:]
+                        if s % 2:
+                            value = 0.5 * (1 + np.tanh(value / 2))
+                    else:
+                        value = predict_rows(trees[key], bins)
+                    proba = pa.array(value) if s % 2 else pa.nulls(len(value), pa.float64())
+                    yield pa.RecordBatch.from_arrays(
+                        [*(part.column(c) for c in kept), pa.array([key] * len(value)), part.column("y"),
+                         pa.array((value > 0.5).astype(float) if s % 2 else value), proba],
+                        [*kept, "key", "y_true", "y_pred", "y_proba"])
+
+    return test.mapInArrow(run, f"{fields}, key string, y_true double, y_pred double, y_proba double")
+
+
 def best_per_group(metrics: DataFrame, task: str = "regression") -> DataFrame:
     """Lowest RMSE / highest F1 per (mode, feature_group), overall rows."""
     m = metrics.filter((F.col("task") == task) & (F.col("group") == "overall"))

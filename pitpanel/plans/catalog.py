@@ -933,6 +933,9 @@ def q_a15(spark, sf_dir):
 # ------------------------------------------------------------------ models (rows-only checks)
 from pitpanel.operators import ablation as AB  # noqa: E402
 from pitpanel.operators import features as FS  # noqa: E402
+from pitpanel.operators import linear as LN  # noqa: E402
+from pitpanel.operators import trees as TR  # noqa: E402
+from pitpanel.session import cut_lineage  # noqa: E402
 from pitpanel.operators import ml as ML  # noqa: E402
 
 _MODELS: dict[tuple[int, str], tuple[object, dict]] = {}
@@ -1038,6 +1041,154 @@ def q_m6(spark, sf_dir):
         .withColumn("value", F.round("value", 4) + 0.0)
 
 
+# The batched learners on the training split.  Fixed parameters of the checks:
+TREE_FEATURES = ["dry_days", "extreme_heat_days", "longest_dry_spell", "weeks_d2_plus", "weeks_d0"]
+FOREST_CHECK = {"trees": 3, "max_leaves": None, "min_leaf": 1, "max_depth": 2, "seed": 7}
+BOOST_CHECK = {"trees": 1, "max_depth": 2}
+
+
+def design(spark, sf_dir, numeric, categorical, label):
+    """Design rows of the training split (data set 0) and their columns; classes
+    are balanced, and rows carry a hash of their keys."""
+    train = labelled_split(spark, sf_dir)[0].where(F.col(label).isNotNull()).withColumn("_set", F.lit(0))
+    key = F.conv(F.substring(F.md5(F.concat_ws("|", "county_fips", "crop", "year", "checkpoint")), 1, 7), 16, 10)
+    train = train.withColumn("_row", key.cast("long"))
+    if label == "severe_risk":
+        train = ML.add_balanced_weights(train, label)
+    columns = LN.design_columns(train, "_set", numeric, categorical)
+    return LN.design_rows(train, "_set", columns, label, weight="__w" if label == "severe_risk" else None, key="_row"), columns[0]
+
+
+def tree_splits(spark, sf_dir, spec):
+    """A model fitted on ``TREE_FEATURES``, their columns, and its splits as rows:
+    tree, node (root 1, children 2n and 2n + 1), feature, threshold, and both
+    children's weights and values."""
+    rows, columns = design(spark, sf_dir, TREE_FEATURES, [], "yield_anomaly")
+    model = TR.fit_trees(rows, [spec])[spec.key]
+    out = []
+    for t, tree in enumerate(model["trees"]):
+        todo = [(0, 1)]
+        while todo:
+            k, place = todo.pop()
+            f = int(tree["feature"][k])
+            if f >= 0:
+                todo += [(int(tree["left"][k]), 2 * place), (int(tree["right"][k]), 2 * place + 1)]
+                out.append((t, place, columns[f].feature, float(columns[f].edges[tree["bin"][k]]),
+                            float(tree["weight"][tree["left"][k]]), float(tree["weight"][tree["right"][k]]),
+                            float(tree["value"][tree["left"][k]]), float(tree["value"][tree["right"][k]])))
+    return model, columns, spark.createDataFrame(
+        out, "tree int, node int, feature string, threshold double, left_weight double, right_weight double, "
+             "left_value double, right_value double")
+
+
+def splits_sql(samples: str, min_leaf: int, rate: float) -> str:
+    """CTEs of the first two levels of trees over ``samples`` (tree, id, g, h),
+    by brute force over all cuts: ``splits``."""
+    names = ", ".join(f"'{c}'" for c in TREE_FEATURES)
+    values = ", ".join(f"coalesce(cast({c} AS double), m{k})" for k, c in enumerate(TREE_FEATURES))
+    medians = ", ".join(f"median({c}) AS m{k}" for k, c in enumerate(TREE_FEATURES))
+
+    def level(name, source):
+        return f"""
+{name}_cells AS (SELECT tree, node, place, v, sum(g) AS g, sum(h) AS h, count(*) AS n FROM {source} GROUP BY ALL),
+{name}_cuts AS (SELECT *, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(n) OVER w AS nl, sum(g) OVER a AS gt, sum(h) OVER a AS ht,
+    sum(n) OVER a AS nt FROM {name}_cells WINDOW w AS (PARTITION BY tree, node, place ORDER BY v), a AS (PARTITION BY tree, node, place)),
+{name}_gains AS (SELECT *, gl * gl / hl + (gt - gl) * (gt - gl) / nullif(ht - hl, 0) - gt * gt / ht AS gain
+    FROM {name}_cuts WHERE nl >= {min_leaf} AND nt - nl >= {min_leaf}),
+{name} AS (SELECT tree, node, place, v AS cut, (v + nxt) / 2 AS threshold, gain, hl AS left_weight, ht - hl AS right_weight,
+    {rate} * gl / hl AS left_value, {rate} * (gt - gl) / (ht - hl) AS right_value
+    FROM {name}_gains JOIN steps USING (place, v) WHERE gain > 1e-9
+    QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY round(gain, 6) DESC, place, v) = 1)"""
+
+    return f"""known AS (SELECT row_number() OVER (ORDER BY county_fips, crop, year, checkpoint) AS id, *,
+    cast('0x' || substr(md5(county_fips || '|' || crop || '|' || year || '|' || checkpoint), 1, 7) AS bigint) AS row_hash
+    FROM train WHERE yield_anomaly IS NOT NULL),
+med AS (SELECT {medians} FROM known),
+cells AS (SELECT id, unnest(range({len(TREE_FEATURES)})) AS place, unnest([{values}]) AS v FROM known, med),
+steps AS (SELECT place, v, lead(v) OVER (PARTITION BY place ORDER BY v) AS nxt FROM (SELECT DISTINCT place, v FROM cells)),
+samples AS ({samples}),
+top_rows AS (SELECT tree, 1 AS node, id, place, v, g, h FROM samples JOIN cells USING (id) WHERE h > 0),
+{level('top', 'top_rows')},
+low_rows AS (SELECT r.tree, CASE WHEN c.v <= t.cut THEN 2 ELSE 3 END AS node, r.id, r.place, r.v, r.g, r.h
+    FROM top_rows r JOIN top t USING (tree) JOIN cells c ON c.id = r.id AND c.place = t.place),
+{level('low', 'low_rows')},
+splits AS (SELECT *, ([{names}])[place + 1] AS feature FROM (SELECT * FROM top UNION ALL SELECT * FROM low))"""
+
+
+SPLIT_DOUBLES = ["threshold", "left_weight", "right_weight", "left_value", "right_value"]
+SPLIT_SELECT = "SELECT cast(tree AS int) AS tree, node, feature, " + ", ".join(SPLIT_DOUBLES) + " FROM splits"
+FOREST_SAMPLES = "\nUNION ALL\n".join(
+    f"SELECT {t} AS tree, id, yield_anomaly * n AS g, cast(n AS double) AS h FROM (SELECT id, yield_anomaly, "
+    f"len([x for x in {[float(v) for v in TR._POISSON]} if x <= ((row_hash * {a} + {b}) % 2147483647) / 2147483647.0]) AS n FROM known)"
+    for t in range(FOREST_CHECK["trees"]) for a, b in [TR.bootstrap_factors(FOREST_CHECK["seed"], t)])
+
+
+@register("m8_boosting_first_tree", O.with_ctes(["lab"], SPLIT_SELECT, extra=splits_sql(
+    "SELECT 0 AS tree, id, yield_anomaly - avg(yield_anomaly) OVER () AS g, 1.0::double AS h FROM known", 20, 0.1)),
+    SPLIT_DOUBLES, digits=dict.fromkeys(SPLIT_DOUBLES, 6))
+def q_m8(spark, sf_dir):
+    """M8: the first two levels of the first boosted tree, against all cuts."""
+    return tree_splits(spark, sf_dir, TR.Spec("m8", 0, "boosting", tuple(range(len(TREE_FEATURES))), **BOOST_CHECK))[2]
+
+
+def forest_check(spark, sf_dir):
+    return tree_splits(spark, sf_dir, TR.Spec("m7", 0, "forest", tuple(range(len(TREE_FEATURES))), **FOREST_CHECK))
+
+
+@register("m7_forest_levels", O.with_ctes(["lab"], SPLIT_SELECT, extra=splits_sql(FOREST_SAMPLES, 1, 1.0)),
+          SPLIT_DOUBLES, digits=dict.fromkeys(SPLIT_DOUBLES, 6))
+def q_m7(spark, sf_dir):
+    """M7: the first two levels of bootstrapped regression trees, against all cuts."""
+    return forest_check(spark, sf_dir)[2]
+
+
+@register("m16_forest_importance", O.with_ctes(["lab"], """
+SELECT feature, sum(share) / sum(sum(share)) OVER () AS importance
+FROM (SELECT feature, gain / sum(gain) OVER (PARTITION BY tree) AS share FROM splits) GROUP BY feature""",
+    extra=splits_sql(FOREST_SAMPLES, 1, 1.0)), ["importance"], digits={"importance": 6})
+def q_m16_forest(spark, sf_dir):
+    """Importances of that forest."""
+    model, columns, _ = forest_check(spark, sf_dir)
+    share = TR.importances(model, len(columns))
+    return spark.createDataFrame([(c.feature, float(v)) for c, v in zip(columns, share) if v > 0], "feature string, importance double")
+
+
+def gradient_rows(spark, sf_dir, kind, label):
+    """Each term's penalised gradient at the fitted optimum, per training row."""
+    numeric, categorical = FS.select_feature_columns(stored_panel(spark, sf_dir))
+    rows, columns = design(spark, sf_dir, numeric, categorical, label)
+    rows = cut_lineage(rows)
+    models = {kind: (0, tuple(range(len(columns))))}
+    beta = LN.logistic_models(rows, models) if kind == "logistic" \
+        else {kind: LN.ridge(LN.gram_matrices(rows)[0], range(len(columns)))}
+    slope = LN.gradients(rows, models, beta, kind)[kind] / rows.count()
+    return spark.createDataFrame([(c, float(g)) for c, g in zip(["intercept", *(c.name for c in columns)], slope)],
+                                 "term string, gradient double").withColumn("gradient", F.round("gradient", 6) + 0.0)
+
+
+def terms_sql(label):
+    numbers = " UNION ALL ".join(f"SELECT '{c}' AS term, count({c}) AS n FROM known" for c in M5_NUMERIC)
+    categories = " UNION ALL ".join(f"SELECT DISTINCT '{c}=' || {c}, 1 FROM known WHERE {c} IS NOT NULL"
+                                    for c in FS.BASE_CATEGORICAL)
+    return O.with_ctes(["lab"], f"""
+SELECT term, 0.0::double AS gradient FROM (SELECT 'intercept' AS term, 1 AS n UNION ALL {numbers} UNION ALL {categories})
+WHERE n > 0""", extra=f"known AS (SELECT * FROM train WHERE {label} IS NOT NULL)")
+
+
+@register("m6_ridge_gradient", terms_sql("yield_anomaly"))
+def q_m6_gradient(spark, sf_dir):
+    """M6 on all features and categories: the normal equations hold (gradient
+    per row, 6 decimals) for every term that SQL finds in the training rows."""
+    return gradient_rows(spark, sf_dir, "ridge", "yield_anomaly")
+
+
+@register("m9_logistic_gradient", terms_sql("severe_risk"))
+def q_m9_gradient(spark, sf_dir):
+    """M9 on all features and categories: the penalised, balanced log-loss is at
+    its minimum (gradient per row, 6 decimals)."""
+    return gradient_rows(spark, sf_dir, "logistic", "severe_risk")
+
+
 def baseline_mode_metrics(spark, sf_dir):
     """Baseline metrics with the crop as mode and the checkpoint as feature group."""
     tagged = reg_preds(spark, sf_dir).withColumn("mode", F.col("crop")).withColumn("feature_group", F.col("checkpoint"))
