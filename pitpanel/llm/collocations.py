@@ -6,7 +6,8 @@ phrase's count, its first cut gives ``a / (l + r) <= a / (f(w) + a)``, which
 rises with ``a <= f(p)``.  So ``bound(p) = floor(2000000 f(p) / (f(p) + f(w)))``
 is admissible.
 
-One pass counts words and pairs of words.  Then each round expands, for every
+Texts are split into words once and written as codes, slice by slice.  One
+pass over them counts words and pairs of words.  Then each round expands, for every
 language, the best bounds of the frontier: it counts all extensions of those
 phrases by one word to either side.  The right ones are the growth; both sides
 together settle whether a longer phrase swallows the expanded one.  Three-word
@@ -25,6 +26,7 @@ byte order; an empty table gives no rows.  Extra columns are ignored.
 
 from __future__ import annotations
 
+import contextlib
 import itertools
 
 import numpy as np
@@ -38,8 +40,8 @@ from pitpanel.llm.common import drop_stage, text_batches, window_hashes, word_ha
 TOP = 2000
 MIN_COUNT = 30
 MAX_WORDS = 4
-#: Hashes sent to the tasks for one pass (8 bytes each).
-LIMIT = 1 << 20
+#: Phrases that one pass looks for; the tasks get their hashes (8 bytes each).
+LIMIT = 1 << 18
 
 _BREAK = b"\xff"  # in no UTF-8 text
 _UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -54,20 +56,40 @@ def tokens(text: bytes | None) -> list[bytes]:
     return ((text or b"").translate(_TABLE) + _BREAK).replace(_BREAK, b" \xff ").split()
 
 
-class _Slice:
-    """The words of a slice of texts as codes, text after text."""
-
-    def __init__(self, langs: list, texts: list) -> None:
+def _tokenised(batches):
+    """One row for each slice of texts: its distinct words, their hashes, and
+    codes of the words, text after text."""
+    for batch, texts in text_batches(batches):
+        if not any(texts):
+            continue
         per_text = [tokens(t) for t in texts]
         codes = pa.array([w for ws in per_text for w in ws], pa.binary()).dictionary_encode()
-        self.words = codes.dictionary
-        self.ids = codes.indices.to_numpy().astype(np.int64)
-        of_lang = pa.array(langs, pa.string()).dictionary_encode()
-        self.langs = of_lang.dictionary
-        self.lang = np.repeat(of_lang.indices.to_numpy().astype(np.int64), [len(ws) for ws in per_text])
-        words = self.words.to_pylist()
-        at = words.index(_BREAK) if _BREAK in words else -1
-        self.word = self.ids != at
+        of_lang = pa.array(batch.column("lang").to_pylist(), pa.string()).dictionary_encode()
+        words = codes.dictionary.to_pylist()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([of_lang.dictionary.to_pylist()], pa.list_(pa.string())),
+             *(pa.array([x], pa.binary()) for x in (
+                 of_lang.indices.to_numpy().astype(np.int32).tobytes(), np.array([len(ws) for ws in per_text], np.int32).tobytes(),
+                 b"\n".join(words), word_hashes(words).tobytes(), codes.indices.to_numpy().astype(np.int32).tobytes()))],
+            ["langs", "text_lang", "text_words", "words", "hashes", "ids"])
+
+
+_TOKENS = "langs array<string>, text_lang binary, text_words binary, words binary, hashes binary, ids binary"
+#: Slices handed to a task at once (each about as large as its text).
+_SLICES_PER_BATCH = 4
+
+
+class _Slice:
+    """The words of a slice of texts as codes."""
+
+    def __init__(self, row: dict) -> None:
+        words = row["words"].split(b"\n")
+        self.words = pa.array(words, pa.binary())
+        self.ids = np.frombuffer(row["ids"], np.int32).astype(np.int64)
+        self.word_hash = np.frombuffer(row["hashes"], np.uint64)
+        self.langs = pa.array(row["langs"], pa.string())
+        self.lang = np.repeat(np.frombuffer(row["text_lang"], np.int32).astype(np.int64), np.frombuffer(row["text_words"], np.int32))
+        self.word = self.ids != words.index(_BREAK)
 
     def starts(self, m: int) -> np.ndarray:
         """Mask of the positions where ``m`` words stand in one piece."""
@@ -78,7 +100,7 @@ class _Slice:
         return ok
 
     def hashes(self, m: int) -> np.ndarray:
-        h = word_hashes(self.words.to_pylist())[self.ids]
+        h = self.word_hash[self.ids]
         return phrase_hashes(window_hashes(h, m), word_hashes([x.encode() for x in self.langs.to_pylist()])[
             self.lang[:max(len(h) - m + 1, 0)]])
 
@@ -110,9 +132,9 @@ def phrase_hashes(windows: np.ndarray, langs: np.ndarray) -> np.ndarray:
 
 
 def _slices(batches):
-    for batch, texts in text_batches(batches):
-        if any(texts):
-            yield _Slice(batch.column("lang").to_pylist(), texts)
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield _Slice(batch.slice(k, 1).to_pylist()[0])
 
 
 def _words_and_pairs(batches):
@@ -160,15 +182,13 @@ def _extensions(shared):
     return run
 
 
-def _phrase_hash(batches):
-    for batch in batches:
-        out = []
-        for lang, gram in zip(batch.column("lang").to_pylist(), batch.column("gram").to_pylist()):
-            words = gram.encode().split(b" ")
-            out.append(phrase_hashes(window_hashes(word_hashes(words), len(words)),
-                                     word_hashes([lang.encode()]))[0])
-        yield pa.RecordBatch.from_arrays([batch.column("kind"), pa.array(np.array(out, np.uint64).view(np.int64))],
-                                         ["kind", "h"])
+def sought_hashes(rows: pa.Table) -> dict[str, np.ndarray]:
+    """Hashes of the phrases (kind, lang, gram) that a pass looks for, by kind."""
+    out = {"pair": [], "triple": [], "ask": []}
+    for kind, lang, gram in zip(*(rows.column(c).to_pylist() for c in ("kind", "lang", "gram"))):
+        words = gram.encode().split(b" ")
+        out[kind].append(phrase_hashes(window_hashes(word_hashes(words), len(words)), word_hashes([lang.encode()]))[0])
+    return {kind: np.array(h, np.uint64) for kind, h in out.items()}
 
 
 # ------------------------------------------------------------ on the driver
@@ -224,10 +244,31 @@ def collocations(docs: DataFrame, top: int = TOP, min_count: int = MIN_COUNT, li
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
 
+    slices = write_stage(texts.mapInArrow(_tokenised, _TOKENS), "phrase_tokens")
+
     def counted(pass_):
-        return texts.mapInArrow(pass_, _COUNTS).groupBy("lang", "gram", "m").agg(F.sum("f").alias("f")) \
+        return slices.mapInArrow(pass_, _COUNTS).groupBy("lang", "gram", "m").agg(F.sum("f").alias("f")) \
             .where((F.col("f") >= min_count) | (F.col("m") == 0))
 
+    with _small_batches(spark):
+        return _grown(spark, slices, counted, top, limit)
+
+
+@contextlib.contextmanager
+def _small_batches(spark):
+    """Rows that hold a slice each reach the tasks a few at a time."""
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = {name: spark.conf.get(name) for name in names}
+    for name in names:
+        spark.conf.set(name, str(_SLICES_PER_BATCH))
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def _grown(spark, slices: DataFrame, counted, top: int, limit: int) -> DataFrame:
     base = write_stage(counted(_words_and_pairs), "phrase_base")
     short = base.where("m > 0")
     nodes = write_stage(_scored(base.where("m = 2").withColumnRenamed("f", "a"), short)
@@ -253,9 +294,7 @@ def collocations(docs: DataFrame, top: int = TOP, min_count: int = MIN_COUNT, li
         if n > limit:
             part = F.pmod(F.xxhash64("lang", "gram", F.lit(rounds)), F.lit(-(-n // limit)))  # dealt anew each round
             todo = todo.where(part == 0)
-        found = todo.mapInArrow(_phrase_hash, "kind string, h long").toPandas()
-        shared = spark.sparkContext.broadcast({
-            kind: found["h"][found["kind"] == kind].to_numpy(np.int64).view(np.uint64) for kind in ("pair", "triple", "ask")})
+        shared = spark.sparkContext.broadcast(sought_hashes(todo.select("kind", "lang", "gram").toArrow()))
         more = counted(_extensions(shared))
         if longer is not None:
             more = more.unionByName(longer).distinct()
@@ -270,6 +309,7 @@ def collocations(docs: DataFrame, top: int = TOP, min_count: int = MIN_COUNT, li
             .withColumn("expanded", F.col("expanded") | F.coalesce("_now", F.lit(False))).drop("_now"), "phrase_nodes")
         drop_stage(state)
         size = min(4 * size, 1 << 40)
+    drop_stage(slices)
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     best = state.where((F.col("bound") >= F.col("tau")) & F.col("cut").isNotNull() & ~F.col("dropped")
                        & (F.col("cut.part_score") >= F.col("tau"))) \
