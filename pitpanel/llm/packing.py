@@ -67,63 +67,92 @@ def _byte_characters() -> dict[int, str]:
 
 class Ids:
     """Token ids of whole texts.  White space separates tokens, so each stretch
-    between ASCII white space is encoded once and remembered; lower-case letters
-    without further rules go to the model directly."""
+    between ASCII white space is encoded once and remembered.  Of a stretch,
+    punctuation after a letter or digit is a group of its own, and a word of
+    Latin letters needs no rule but lower case: it goes to the model directly."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.alphabet = _byte_characters()
-        self.known: dict[bytes, int] = {}
-        self.flat: list[np.ndarray] = []
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-
-    def _word(self, chunk: bytes) -> list[int]:
-        text = chunk.decode()
-        if text.isalpha() and max(text) < "ɐ":  # Latin letters: lower case maps letter by letter
-            lower = unicodedata.normalize("NFC", text).lower()
-            if lower.isalpha():
-                return [t.id for t in self.model.tokenize(lower.encode().decode("latin-1").translate(self.alphabet))]
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _chunk(self, chunk: bytes) -> np.ndarray:
-        body = chunk.rstrip(b".,;:!?")
-        if body and body != chunk and body.isalpha() | body[-1:].isalnum():
-            end = chunk[len(body):]  # punctuation after a letter or digit is a token group of its own
-            return np.concatenate([self.flat[self._code(body)], self.flat[self._code(end)]])
-        return np.array(self._word(chunk), self.dtype)
-
-    def _code(self, chunk: bytes) -> int:
-        code = self.known.get(chunk)
-        if code is None:
-            ids = self._chunk(chunk)
-            code = self.known[chunk] = len(self.flat)
-            self.flat.append(ids)
-        return code
-
-    def encode(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids with the end token, and the places after sentence ends."""
-        if not text:
-            return np.array([END_ID], self.dtype), np.empty(0, np.int32)
-        if b"<|" in text:  # may hold the name of a special token
-            ids = np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids + [END_ID], self.dtype)
-            return ids, np.empty(0, np.int32)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}           # stretch -> row of pairs
+        self.pairs = np.empty((0, 2), np.int64)     # its two groups; 0 is the empty one
+        self.groups: dict[bytes, int] = {b"": 0}    # group -> place in spans
+        self.spans = np.zeros((1, 2), np.int64)     # its ids in flat
+        self.flat = np.empty(0, self.dtype)
+
+    def _learn_groups(self, groups: list[bytes]) -> None:
+        ids, sizes = [], []
+        for group in groups:
+            text = group.decode()
+            lower = text if text.isascii() else unicodedata.normalize("NFC", text).lower()
+            if lower.isalpha() and (lower.isascii() or max(lower) < "\u0250"):
+                lower = lower.lower()
+                symbols = lower if lower.isascii() else lower.encode().decode("latin-1").translate(self.alphabet)
+                found = [t.id for t in self.model.tokenize(symbols)]
+            else:
+                found = self.tokenizer.encode(text, add_special_tokens=False).ids
+            ids += found
+            sizes.append(len(found))
+            self.groups[group] = len(self.groups)
+        ends = len(self.flat) + np.cumsum(np.array(sizes, np.int64))
+        self.spans = np.concatenate([self.spans, np.column_stack([ends - sizes, ends])])
+        self.flat = np.concatenate([self.flat, np.array(ids, self.dtype)])
+
+    def _learn(self, stretches: list[bytes]) -> None:
+        split = []
+        for chunk in stretches:
+            body = chunk.rstrip(b".,;:!?")
+            if body != chunk and body[-1:].isalnum():
+                split += (body.lower() if body.isalpha() else body, chunk[len(body):])
+            else:
+                split += (chunk.lower() if chunk.isalpha() else chunk, b"")
+        self._learn_groups([g for g in dict.fromkeys(split) if g not in self.groups])
+        self.known.update(zip(stretches, range(len(self.pairs), len(self.pairs) + len(stretches))))
+        codes = np.fromiter(map(self.groups.__getitem__, split), np.int64, len(split))
+        self.pairs = np.concatenate([self.pairs, codes.reshape(-1, 2)])
+
+    def encode(self, texts: list[bytes | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per text its ids with the end token, and the places after sentence ends."""
         if len(self.known) > CACHE:
-            self.known, self.flat = {}, []
-        chunks = text.split()
-        parts = [self.flat[self._code(c)] for c in chunks]
-        ids = np.concatenate([*parts, np.array([END_ID], self.dtype)]).astype(self.dtype)
-        ends = np.cumsum([len(p) for p in parts])
-        stops = [k for k, c in enumerate(chunks) if c[-1] in b".!?"]
-        return ids, ends[stops].astype(np.int32) if stops else np.empty(0, np.int32)
+            self._forget()
+        end = np.array([END_ID], self.dtype)
+        special = [bool(t) and b"<|" in t for t in texts]  # may hold the name of a special token
+        per_text = [[] if s or not t else t.split() for t, s in zip(texts, special)]
+        chunks = [c for cs in per_text for c in cs]
+        new = [c for c in dict.fromkeys(chunks) if c not in self.known]
+        if new:
+            self._learn(new)
+        codes = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
+        spans = self.spans[self.pairs[codes].ravel()]
+        sizes = spans[:, 1] - spans[:, 0]
+        ends = np.cumsum(sizes)
+        ids = self.flat[np.repeat(spans[:, 0] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        ends = ends[1::2]
+        stop = np.fromiter((c[-1] in b".!?" for c in chunks), bool, len(chunks))
+        out, first = [], 0
+        for text, cs, plain in zip(texts, per_text, special):
+            if plain:
+                whole = self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
+                out.append((np.array([*whole, END_ID], self.dtype), np.empty(0, np.int32)))
+                continue
+            last = first + len(cs)
+            low, high = (ends[first - 1] if first else 0), (ends[last - 1] if last else 0)
+            out.append((np.concatenate([ids[low:high], end]), (ends[first:last][stop[first:last]] - low).astype(np.int32)))
+            first = last
+        return out
 
 
 def _tokenised(path: str):
     def run(batches):
         ids = Ids(path)
         for batch, texts in text_batches(batches):
-            done = [ids.encode(t) for t in texts]
+            done = ids.encode(texts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([i.tobytes() for i, _ in done], pa.binary()),
                  pa.array([s.tobytes() for _, s in done], pa.binary()), pa.array([len(i) for i, _ in done], pa.int64())],

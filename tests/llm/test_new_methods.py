@@ -207,8 +207,11 @@ def test_ids_equal_the_tokenizer():
     from tokenizers import Tokenizer
     model = Tokenizer.from_file(packing.default_tokenizer())
     ids = packing.Ids(packing.default_tokenizer())
-    for text in [*TRICKY, *(t for _, t, *_ in ROWS if t), " ".join(TRICKY)]:
-        assert ids.encode(text.encode())[0].tolist() == model.encode(text, add_special_tokens=False).ids + [1], text
+    texts = [*TRICKY, *(t for _, t, *_ in ROWS if t), " ".join(TRICKY), "", "The the THE. the! The!! a!b ! é.É!"]
+    for _ in range(2):  # learnt, then known
+        for text, (got, stops) in zip(texts, ids.encode([t.encode() for t in texts])):
+            assert got.tolist() == model.encode(text, add_special_tokens=False).ids + [1], text
+            assert all(0 < s < len(got) for s in stops)
 
 
 def test_packing_on_nasty_rows(spark, docs, empty):  # noqa: F811
