@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from pitpanel.functions.windows import gated_avg, gated_std, ordered, prior
 
@@ -24,7 +25,7 @@ def add_lag_features(df: DataFrame, keys: Sequence[str] = LAG_KEYS, year_col: st
                      tiebreak: Sequence[str] = ()) -> DataFrame:
     """Lag 1, prior 3-row mean (min 1) and sample std (min 2).
     All six share one partitioning and ordering -> one exchange, one sort."""
-    order = [F.col(year_col), *[F.col(c) for c in tiebreak]]
+    order = [F.col(c) for c in dict.fromkeys([year_col, *tiebreak, yield_col, anomaly_col])]
     w_lag = ordered(keys, order)
     w3 = prior(keys, order, LAG_ROLLING_WINDOW)
     return df.select(
@@ -39,10 +40,14 @@ def add_lag_features(df: DataFrame, keys: Sequence[str] = LAG_KEYS, year_col: st
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
-    """One row per key, the first under an explicit total order
-    (never ``dropDuplicates``, whose survivor is arbitrary)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    """One row per key, the least under ``order`` (values, ascending, null
+    first) and then under all other columns: a total order, so the survivor
+    does not depend on the partitioning (as ``dropDuplicates``'s does).  One
+    ``min_by``, combined on the map side before the shuffle."""
+    others = [F.col(f"`{f.name}`") for f in df.schema.fields
+              if f.name not in keys and not isinstance(f.dataType, (MapType, VariantType))]
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.groupBy(*keys).agg(F.min_by(row, F.struct(*order, *others)).alias("_row")).select("_row.*")
 
 
 def lag_table(df: DataFrame, keys: Sequence[str] = ("county_fips", "crop", "year"),
@@ -50,8 +55,8 @@ def lag_table(df: DataFrame, keys: Sequence[str] = ("county_fips", "crop", "year
     """Merge-ready keys + six lag columns, unique by ``keys``."""
     tb = [c for c in tiebreak if c in df.columns]
     with_lags = add_lag_features(df, tiebreak=tb)
-    order = [F.col(c) for c in tb] or [F.lit(1)]
-    return keep_first(with_lags, list(keys), order).select(*keys, *LAG_COLUMNS)
+    return keep_first(with_lags.select(*keys, *[c for c in tb if c not in keys], *LAG_COLUMNS), list(keys),
+                      [F.col(c) for c in tb]).select(*keys, *LAG_COLUMNS)
 
 
 def add_yield_lags(df: DataFrame, n_lags: int = 1, keys: Sequence[str] = LAG_KEYS,
@@ -73,6 +78,6 @@ def add_lag_columns(df: DataFrame, keys: Sequence[str] = ("county_fips", "crop",
     cols = set(df.columns)
     tb = [c for c in tiebreak if c in cols]
     with_lags = add_lag_features(df, tiebreak=tb)
-    order = [F.col(c) for c in tb] or [F.lit(1)]
+    order = [F.col(c) for c in [*tb, *LAG_COLUMNS]]  # rows equal in all of these give the same values
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return with_lags.withColumns({c: F.first(F.col(c)).over(w) for c in LAG_COLUMNS})

@@ -82,7 +82,7 @@ def prepare_weather(weather: DataFrame, current_year: int | None = None,
         w = drop_incomplete_current_year(w, current_year, allow_partial)
     w = w.drop(*[c for c in ("county", "state", "state_fips") if c in cols])
     keys = WEATHER_MERGE_KEYS + (["checkpoint"] if "checkpoint" in cols else [])
-    order = [F.col("obs_days").desc_nulls_last()] if "obs_days" in cols else [F.lit(1)]
+    order = [F.col("obs_days").isNull(), -F.col("obs_days")] if "obs_days" in cols else []
     return keep_first(w, keys, order)
 
 
@@ -95,7 +95,7 @@ def prepare_drought(drought: DataFrame, panel_has_checkpoint: bool) -> tuple[Dat
         keys.append("checkpoint")
     elif "checkpoint" in cols:
         d = d.drop("checkpoint")
-    order = [F.col("weeks_d0").desc_nulls_last()] if "weeks_d0" in cols else [F.lit(1)]
+    order = [F.col("weeks_d0").isNull(), -F.col("weeks_d0")] if "weeks_d0" in cols else []
     return keep_first(d, keys, order), keys
 
 

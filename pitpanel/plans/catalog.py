@@ -772,6 +772,12 @@ def q_s5(spark, sf_dir):
     """S5 + C11: per entity-year weather payloads {PARAM: {YYYYMMDD: v}}
     (sentinel -999 for some days, some dates absent from some parameters)
     unnested back to one row per date."""
+    out = PL.unnest_weather_payload(weather_payloads(spark, sf_dir), keep=["county_fips"])
+    return out.withColumn("year", F.col("year").cast("int")).withColumn("month", F.col("month").cast("int"))
+
+
+def weather_payloads(spark, sf_dir):
+    """One payload per (county, year)."""
     d = A.daily(spark, sf_dir)
     ds = F.date_format("date", "yyyyMMdd")
     day = F.dayofmonth("date")
@@ -787,9 +793,30 @@ def q_s5(spark, sf_dir):
         F.map_from_entries(entries(F.col("T2M_MAX"))).alias("tx"))
     payload = F.to_json(F.create_map(F.lit("PRECTOTCORR"), F.col("p"), F.lit("T2M"), F.col("t"),
                                      F.lit("T2M_MIN"), F.col("tn"), F.lit("T2M_MAX"), F.col("tx")))
-    pl = g.select("county_fips", payload.alias("payload"))
-    out = PL.unnest_weather_payload(pl, keep=["county_fips"])
-    return out.withColumn("year", F.col("year").cast("int")).withColumn("month", F.col("month").cast("int"))
+    return g.select("county_fips", "year", payload.alias("payload"))
+
+
+@register("s5_quarantined_weather", O.with_ctes(["daily"], """
+SELECT reason, key, count(*) AS n FROM (
+  SELECT CASE year WHEN 1995 THEN 'not a JSON object' WHEN 1996 THEN 'no payload' WHEN 1997 THEN 'unexpected shape'
+                   WHEN 1998 THEN 'bad date key' ELSE 'unexpected shape' END AS reason,
+         CASE year WHEN 1998 THEN '20209999' END AS key
+  FROM (SELECT DISTINCT county_fips, year FROM daily) WHERE cast(county_fips AS int) % 2 = 0 AND year <= 1999)
+GROUP BY reason, key
+UNION ALL SELECT 'rows', NULL, count(*) FROM daily WHERE cast(county_fips AS int) % 2 = 1 OR year > 1999 OR year = 1998"""))
+def q_s5_quarantine(spark, sf_dir):
+    """S5 on bad input: for every second county, truncated, absent and shapeless
+    payloads and ones with an impossible date; what is unnested and what is not."""
+    good = F.col("payload")
+    bad = F.when(F.col("year") == 1995, F.expr("substring(payload, 1, length(payload) - 2)")) \
+        .when(F.col("year") == 1996, F.lit(None).cast("string")).when(F.col("year") == 1997, F.lit('{"T2M": 5}')) \
+        .when(F.col("year") == 1998, F.regexp_replace("payload", r'^\{"PRECTOTCORR":\{', '{"PRECTOTCORR":{"20209999":1.0,')) \
+        .when(F.col("year") == 1999, F.lit("{}")).otherwise(good)
+    pl = weather_payloads(spark, sf_dir) \
+        .withColumn("payload", F.when(F.col("county_fips").cast("int") % 2 == 0, bad).otherwise(good))
+    rows = PL.unnest_weather_payload(pl, keep=["county_fips"])
+    return PL.quarantined_weather(pl).groupBy("reason", "key").agg(F.count("*").alias("n")).unionByName(
+        rows.agg(F.count("*").alias("n")).select(F.lit("rows").alias("reason"), F.lit(None).cast("string").alias("key"), "n"))
 
 
 def record_payloads(spark, sf_dir):
@@ -817,6 +844,45 @@ def q_s6_errors(spark, sf_dir):
     return PL.unnest_records(record_payloads(spark, sf_dir))[1].groupBy("error").agg(F.count("*").alias("n"))
 
 
+DEFECT_SQL = """
+SELECT *, CASE WHEN coalesce(commodity_desc, '') NOT LIKE 'B%' THEN CASE WHEN year = '2001' THEN 'error' ELSE 'rows' END
+    WHEN year = '1995' THEN 'not a JSON object' WHEN year = '1996' THEN 'no payload' WHEN year IN ('1997', '1998', '2001') THEN 'error'
+    WHEN year = '1999' THEN 'unexpected shape' WHEN year = '2000' THEN 'empty' ELSE 'rows' END AS outcome,
+  CASE WHEN year = '2001' THEN 'record limit exceeded; ' || county_name
+    WHEN coalesce(commodity_desc, '') LIKE 'B%' AND year = '1997' THEN 'limit'
+    WHEN coalesce(commodity_desc, '') LIKE 'B%' AND year = '1998' THEN '' END AS error
+FROM (SELECT state_name, county_name, county_ansi, commodity_desc, year, count(*) AS n FROM dirty GROUP BY ALL)"""
+
+
+def defective_payloads(spark, sf_dir):
+    """The record payloads; those of crops on B broken by year: truncated,
+    absent, an error text, an empty error beside data, no records, no data."""
+    year = F.get_json_object("payload", "$.data[0].year")
+    crop = F.get_json_object("payload", "$.data[0].commodity_desc")
+    broken = F.when(year == "1995", F.expr("substring(payload, 1, length(payload) - 2)")) \
+        .when(year == "1996", F.lit(None).cast("string")) \
+        .when(year == "1997", F.lit('{"data": [], "error": "limit"}')) \
+        .when(year == "1998", F.concat(F.expr("substring(payload, 1, length(payload) - 1)"), F.lit(',"error":[]}'))) \
+        .when(year == "1999", F.lit('{"data": [1, 2]}')).when(year == "2000", F.lit('{"data": []}')).otherwise(F.col("payload"))
+    return record_payloads(spark, sf_dir).withColumn("payload", F.when(crop.startswith("B"), broken).otherwise(F.col("payload")))
+
+
+@register("s6_payload_balance", O.with_ctes(["dirty"], """
+SELECT outcome, count(*) AS payloads, cast(sum(CASE WHEN outcome = 'rows' THEN n ELSE 0 END) AS bigint) AS records
+FROM g GROUP BY outcome""", extra=f"g AS ({DEFECT_SQL})"))
+def q_s6_balance(spark, sf_dir):
+    """S6 on bad input: every payload is unnested, empty or in the quarantine."""
+    return PL.payload_balance(defective_payloads(spark, sf_dir))
+
+
+@register("s6_quarantine_reasons", O.with_ctes(["dirty"], """
+SELECT outcome AS reason, error, count(*) AS n FROM g WHERE outcome NOT IN ('rows', 'empty') GROUP BY outcome, error""",
+    extra=f"g AS ({DEFECT_SQL})"))
+def q_s6_reasons(spark, sf_dir):
+    """S6 on bad input: the quarantine by reason and error text."""
+    return PL.unnest_records(defective_payloads(spark, sf_dir))[1].groupBy("reason", "error").agg(F.count("*").alias("n"))
+
+
 @register("u_year_set_ops", O.with_ctes(["annual", "daily"], """
 SELECT 'intersect' AS op, year FROM (SELECT year FROM annual INTERSECT SELECT year FROM daily)
 UNION ALL SELECT 'except', year FROM (SELECT year FROM daily EXCEPT SELECT year FROM annual)

@@ -6,6 +6,9 @@ import tempfile
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from pitpanel.operators.lags import keep_first
 from pitpanel.sources import landing as L
 from pitpanel.sources import payloads as PL
 from pitpanel.sources import records as R
@@ -88,6 +91,45 @@ def test_record_payloads(spark):
     assert errors.first()["error"] == "exceeds limit"
 
 
+def test_no_payload_is_lost(spark):
+    """Truncated text, no JSON, a null, errors of any kind and other shapes are
+    quarantined with their reason; the balance adds up to the input."""
+    rows = [(json.dumps({"data": [{"year": "2020"}, {"year": "2021"}]}), "rows"), (json.dumps({"data": []}), "empty"),
+            (json.dumps({}), "empty"), (json.dumps({"data": None}), "empty"), (None, PL.NO_PAYLOAD),
+            ('{"data": [{"year": "20', PL.NOT_AN_OBJECT), ("<html>", PL.NOT_AN_OBJECT), ("", PL.NOT_AN_OBJECT),
+            ("[1]", PL.NOT_AN_OBJECT), (json.dumps({"error": "limit"}), PL.ERROR_KEY),
+            (json.dumps({"data": [{"year": "1"}], "error": []}), PL.ERROR_KEY), (json.dumps({"error": ["a", "b"]}), PL.ERROR_KEY),
+            (json.dumps({"error": None}), PL.ERROR_KEY), (json.dumps({"data": "none"}), PL.BAD_SHAPE),
+            (json.dumps({"data": [1, 2]}), PL.BAD_SHAPE), (json.dumps({"data": {"year": "1"}}), PL.BAD_SHAPE)]
+    df = spark.createDataFrame([(i, p) for i, (p, _) in enumerate(rows)], "id int, payload string")
+    good, errors = PL.unnest_records(df, keep=["id"])
+    assert [(r["id"], r["year"]) for r in good.orderBy("id", "year").collect()] == [(0, "2020"), (0, "2021")]
+    found = {r["id"]: r for r in errors.collect()}
+    assert {i: r["reason"] for i, r in found.items()} == {i: why for i, (_, why) in enumerate(rows) if why not in ("rows", "empty")}
+    assert (found[9]["error"], found[10]["error"], found[11]["error"], found[12]["error"]) == ("limit", "", "a; b", "")
+    balance = {r["outcome"]: (r["payloads"], r["records"]) for r in PL.payload_balance(df).collect()}
+    assert sum(n for n, _ in balance.values()) == len(rows) and balance["rows"] == (1, 2) and balance["empty"] == (3, 0)
+
+
+def test_no_weather_payload_is_lost(spark):
+    good = {"PRECTOTCORR": {"20200401": 1.5}, "T2M": {"20200401": 10.0}}
+    rows = [json.dumps(good), json.dumps(good)[:-3], None, "oops", json.dumps({"PRECTOTCORR": 5}), "{}",
+            json.dumps({"PRECTOTCORR": {"20201345": 1.0, "x": 2.0, "20200402": 3.0}})]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(rows)], "id int, payload string")
+    out = PL.unnest_weather_payload(df, keep=["id"]).orderBy("id").collect()
+    assert [(r["id"], r["date"].day) for r in out] == [(0, 1), (6, 2)]
+    bad = sorted((r["id"], r["reason"], r["key"]) for r in PL.quarantined_weather(df, keep=["id"]).collect())
+    assert bad == [(1, PL.NOT_AN_OBJECT, None), (2, PL.NO_PAYLOAD, None), (3, PL.NOT_AN_OBJECT, None), (4, PL.BAD_SHAPE, None),
+                   (5, PL.BAD_SHAPE, None), (6, PL.BAD_DATE, "20201345"), (6, PL.BAD_DATE, "x")]
+
+
+def test_keep_first_does_not_depend_on_partitions(spark):
+    """One key, tied order column: the survivor is the least of all columns."""
+    df = spark.range(200).select(F.lit("k").alias("k"), F.lit(1).alias("obs"), (200 - F.col("id")).alias("v"), F.lit(None).alias("n"))
+    kept = {tuple(keep_first(df.repartition(n), ["k"], [-F.col("obs")]).first()) for n in (1, 3, 7)}
+    assert kept == {("k", 1, 1, None)}
+
+
 def test_resume_complete_only_if_all_years(spark):
     landed = spark.createDataFrame([("1", 2015), ("1", 2016), ("2", 2015), ("2", 2016), ("2", 2017)],
                                    "county_fips string, year int")
