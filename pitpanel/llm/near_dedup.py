@@ -36,10 +36,10 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from pitpanel.llm.common import fresh, mix64, text_batches, text_digest, window_hashes, word_hashes, write_stage
+from pitpanel.llm.common import drop_stage, fresh, mix64, text_batches, text_digest, window_hashes, word_hashes, write_stage
 
 SHINGLE = 5
 PERCENT = 80
@@ -136,25 +136,37 @@ def components(edges: DataFrame) -> DataFrame:
             .groupBy(F.col("u").alias("node")).agg(F.min("comp").alias("near"))
         hooked = labels.join(near, "node").select("node", "comp", F.least("comp", "near").alias("new"))
         up = labels.select(F.col("node").alias("new"), F.col("comp").alias("up"))
-        step = write_stage(hooked.join(up, "new").select(
-            "node", F.least("new", "up").alias("comp"), (F.least("new", "up") != F.col("comp")).alias("moved")),
-            "labels")
-        labels = step.select("node", "comp")
-        if step.where("moved").isEmpty():
+        seen = Observation()
+        step = write_stage(
+            hooked.join(up, "new").select("node", F.least("new", "up").alias("comp"), F.col("comp").alias("old"))
+            .observe(seen, F.count_if(F.col("comp") != F.col("old")).alias("moved")).drop("old"), "labels")
+        drop_stage(labels)
+        labels = step
+        if not seen.get["moved"]:
+            drop_stage(both)
             return labels
 
 
+def relabel(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` with the component of their ``comp``, itself a node of the
+    graph that ``labels`` (node, comp) describe; others stay."""
+    return rows.join(labels.select(F.col("node").alias("comp"), F.col("comp").alias("_top")), "comp", "left") \
+        .withColumn("comp", F.coalesce("_top", "comp")).drop("_top")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` (a, b) with ``linked``: the exact test on the full sets."""
+    """``pairs`` (a, b, ...) with ``linked``: the exact test on the full sets."""
     a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb")).cast("long")
     return pairs.join(a, "a").join(b, "b").select(
-        "a", "b", (100 * both >= percent * (F.size("sa") + F.size("sb") - both)).alias("linked"))
+        *pairs.columns, (100 * both >= percent * (F.size("sa") + F.size("sb") - both)).alias("linked"))
 
 
-def near_links(docs: DataFrame, nodes: DataFrame, length: int, percent: int, side: int) -> DataFrame:
-    """Components (node, comp) among ``nodes`` by confirmed links."""
+def near_links(docs: DataFrame, nodes: DataFrame, length: int, percent: int, side: int) -> list[DataFrame]:
+    """Components of ``nodes`` by confirmed links, as (node, comp) frames to be
+    applied one after the other (:func:`relabel`): every round links the
+    components of the round before, so its graph is small."""
     parts = nodes.select("node", F.posexplode("parts").alias("at", "part"))
     shared = parts.groupBy("at", "part").agg(F.count("*").alias("n")).where("n > 1").select("at", "part")
     useful = parts.join(shared, ["at", "part"], "left_semi").groupBy("node").agg(
@@ -166,8 +178,6 @@ def near_links(docs: DataFrame, nodes: DataFrame, length: int, percent: int, sid
     tables = keys.groupBy("table").agg(F.min("node").alias("lead"), F.count("*").alias("n")) \
         .where("n > 1").drop("n")
     members = write_stage(keys.join(tables, "table"), "members")
-    tested = write_stage(members.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b"))
-                         .distinct(), "pairs")
     in_pairs = members.select("node").distinct()
     chosen = in_pairs.join(nodes.select("node", "text_of", "digest"), "node")
     texts = docs.select(F.col("doc_id").alias("text_of"), text_digest("text").alias("_digest"), "text")
@@ -176,25 +186,47 @@ def near_links(docs: DataFrame, nodes: DataFrame, length: int, percent: int, sid
                    & texts["text_of"].eqNullSafe(chosen["text_of"]))
         .select("node", "text").dropDuplicates(["node"]).mapInArrow(_sets(length), "node long, shingles array<long>, parity array<long>"),
         "sets")
-    results = write_stage(_confirmed(tested, sets, percent), "links")
-    labels = components(results.where("linked").select("a", "b"))
-    unsettled = _mixed(members, labels).select("node").distinct()
-    tokens = write_stage(_prefix_tokens(unsettled.join(sets, "node"), percent), "tokens")
+    stars = members.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+    tested = write_stage(_confirmed(stars, sets, percent), "links")
+    labels = [components(tested.where("linked").select("a", "b"))]
+    tested = tested.select("a", "b")
+    named = members.withColumn("comp", F.col("node"))
+    unsettled = _mixed(relabel(named, labels[0])).select("node").distinct()
+    tokens = _prefix_tokens(unsettled.join(sets, "node"), percent).withColumn("comp", F.col("node"))
+    still = Observation()
+    open_ = write_stage(_mixed(relabel(tokens, labels[0])).observe(still, F.count("*").alias("rows")), "open")
+    drop_stage(members)
+    left, last = still.get["rows"], False
     for round_ in range(STAR_ROUNDS + 1):
-        open_ = write_stage(_mixed(tokens, labels), "open")
-        new = _stars(open_) if round_ < STAR_ROUNDS \
-            else _rest(open_.join(sets.select("node", "parity"), "node"), percent)
-        new = write_stage(new.distinct().join(results.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        if not new.isEmpty():
-            results = write_stage(results.unionByName(_confirmed(new, sets, percent)), "links")
-            labels = components(results.where("linked").select("a", "b"))
+        if not left:
+            break
+        last = last or round_ == STAR_ROUNDS
+        new = _rest(open_.join(sets.select("node", "parity"), "node"), percent) if last else _stars(open_)
+        new = new.dropDuplicates(["a", "b"]).join(tested, ["a", "b"], "left_anti")
+        seen = Observation()
+        new = write_stage(_confirmed(new, sets, percent)
+                          .observe(seen, F.count_if("linked").alias("linked")), "links")
+        if seen.get["linked"]:
+            labels.append(components(new.where("linked").select(F.col("ca").alias("a"), F.col("cb").alias("b"))))
+        if last:
+            break
+        tested = tested.unionByName(new.select("a", "b"))
+        if not seen.get["linked"]:  # the same stars again would find nothing
+            last = True
+            continue
+        still = Observation()
+        mixed = write_stage(_mixed(relabel(open_.drop("low", "high"), labels[-1]))
+                            .observe(still, F.count("*").alias("rows")), "open")
+        drop_stage(open_)
+        open_, left = mixed, still.get["rows"]
+    drop_stage(open_)
+    drop_stage(sets)
     return labels
 
 
-def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members (table, node, ...) of tables with more than one component, with
-    ``comp`` and the table's lowest and highest component."""
-    named = members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+def _mixed(named: DataFrame) -> DataFrame:
+    """Members (table, node, comp, ...) of tables with more than one component,
+    with the table's lowest and highest one."""
     mixed = named.groupBy("table").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
     return named.join(mixed, "table")
 
@@ -214,29 +246,39 @@ def _prefix_tokens(sets: DataFrame, percent: int) -> DataFrame:
         .select(F.col("p.table").alias("table"), "node", (F.col("n") - F.col("at")).alias("after"), "n")
 
 
+def _pair(one: Column, other: Column) -> list[Column]:
+    """a, b and their components ca, cb of two (node, comp) structs, the smaller
+    node first."""
+    first, second = F.least(one, other), F.greatest(one, other)
+    return [first["node"].alias("a"), second["node"].alias("b"), first["comp"].alias("ca"), second["comp"].alias("cb")]
+
+
 def _stars(open_: DataFrame) -> DataFrame:
-    """Pairs of a member of the lowest and one of the highest component of
-    each table with the members of its other components."""
+    """Pairs (a, b, ca, cb) of a member of the lowest and one of the highest
+    component of each table with the members of its other components."""
     leads = open_.groupBy("table").agg(
         F.max(F.when(F.col("comp") == F.col("low"), F.col("node"))).alias("l"),
         F.min(F.when(F.col("comp") == F.col("high"), F.col("node"))).alias("h"))
     stars = open_.join(leads, "table")
-    return stars.where("comp <> low").select(F.least("l", "node").alias("a"), F.greatest("l", "node").alias("b")) \
-        .union(stars.where("comp <> high").select(F.least("h", "node"), F.greatest("h", "node")))
+    member = F.struct("node", "comp")
+    low = F.struct(F.col("l").alias("node"), F.col("low").alias("comp"))
+    high = F.struct(F.col("h").alias("node"), F.col("high").alias("comp"))
+    return stars.where("comp <> low").select(*_pair(low, member)) \
+        .union(stars.where("comp <> high").select(*_pair(high, member)))
 
 
 def _rest(open_: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a group's members in different components that may still reach
-    the similarity: from the first shared shingle on, the rarest, both sets
-    must have enough shingles left, and the difference that the parity sketches
-    prove must not be too large."""
+    """Pairs (a, b, ca, cb) of a group's members in different components that
+    may still reach the similarity: from the first shared shingle on, the
+    rarest, both sets must have enough shingles left, and the difference that
+    the parity sketches prove must not be too large."""
     other = open_.select("table", F.col("node").alias("o"), F.col("comp").alias("oc"), F.col("after").alias("oa"),
                          F.col("n").alias("on"), F.col("parity").alias("op"))
     apart = sum((F.bit_count(F.col("parity")[i].bitwiseXOR(F.col("op")[i])) for i in range(PARITY_WORDS)), F.lit(0))
     return open_.join(other, "table").where("comp < oc") \
         .where((100 + percent) * F.least("after", "oa") >= percent * (F.col("n") + F.col("on"))) \
         .where((100 + percent) * apart <= (100 - percent) * (F.col("n") + F.col("on"))) \
-        .select(F.least("node", "o").alias("a"), F.greatest("node", "o").alias("b"))
+        .select(*_pair(F.struct("node", "comp"), F.struct(F.col("o").alias("node"), F.col("oc").alias("comp"))))
 
 
 def near_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, side: int = SIDE,
@@ -254,8 +296,9 @@ def near_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
         .select(F.monotonically_increasing_id().alias("node"), "set_key", F.col("r.doc_id").alias("text_of"),
                 F.col("r.digest").alias("digest"), "parts"), "nodes")
     labels = near_links(docs, nodes, shingle, percent, side)
-    classes = nodes.select("node", "set_key").join(labels, "node", "left") \
-        .select("set_key", F.coalesce("comp", "node").alias("comp"))
+    classes = nodes.select("set_key", F.col("node").alias("comp"))
+    for step in labels:
+        classes = relabel(classes, step)
     return sketched.select("doc_id", "digest", "n_shingles", "set_key").join(classes, "set_key", "left") \
         .drop("set_key")
 
