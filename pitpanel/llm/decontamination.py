@@ -1,28 +1,37 @@
 """Benchmark decontamination by template canonicalisation.
 
-Texts are reduced to templates: numbers, names (capitalised words inside a
-sentence) and units after a number become typed placeholders, everything else
-is lower-cased words.  Windows of five template tokens are hash-joined with
-the windows of the benchmark items; a document is a candidate for an item when
-it has at least 80 % of the item's distinct windows, with names as placeholders
-or with names as plain words (a copy in another case or layout).  Candidates are then
-aligned: on the best diagonal (document position minus item position) a value
-of an item's slot has to stand for one value of the document.  A
-re-parameterised question replaces its values consistently; an accidental match
-does not.  Other diagonals, on which an item with a run of numbers also matches
-itself, do not count against it.
+Texts are reduced to templates: numbers, names (capitalised words, wherever
+they stand) and units after a number become typed placeholders, everything else
+is lower-cased words; arithmetic signs are words too.  A text is tokenised
+once, and its names also count as plain words, so a copy in another case is
+found.  Windows of five tokens are hash-joined with the windows of the
+benchmark items; a document is a candidate for an item when it has at least
+80 % of the item's distinct windows, or as many as a passage of 50 words.
+
+Candidates are then aligned (document position minus item position).  An item
+is contained
+
+* with its own values, if windows with equal values cover 80 % of it, or 50 words
+  of it, within a band of diagonals no wider than two fifths of the item, so
+  that pieces scattered over a text do not add up;
+* re-parameterised, if one diagonal covers 80 % of its windows, each value of
+  the item stands there for one value of the document (80 % of the slots), and
+  enough of its template is words, not placeholders, to tell it from any run
+  of numbers or names (three words and a third of the tokens).
+
+Items of three or four tokens are found inside a text by windows of their own
+length, if their values are equal; items of one or two only as a whole text.
 
 The windows of the documents are not shuffled while the benchmark's windows
 are few enough to broadcast (counted first, ``BROADCAST_WINDOWS``); beyond
 that the same join is a shuffle join of the windows.  Only matches are grouped, with
 partial aggregation, by text digest; the texts of candidates alone are read a
-second time.  All of it is DataFrame expressions.
+second time, and of their windows those that an item has are written.  All of
+it is DataFrame expressions.
 
-Defined results: null and empty texts or items match nothing; an item shorter
-than a window matches nothing unless a whole text equals its template;
-repeated rows are reported each; items are told apart by item_id and text;
-an empty table on either side gives an empty result.  Extra columns are
-ignored.
+Defined results: null and empty texts or items match nothing; repeated rows
+are reported each; items are told apart by item_id and text; an empty table on
+either side gives an empty result.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,6 +44,13 @@ from pitpanel.llm.common import fresh, text_digest, write_stage
 WINDOW = 5
 CONTAINED = 0.8
 CONSISTENT = 0.8
+#: Words of an item that count as a leaked passage of it.
+PASSAGE = 50
+#: Words, and their share of the tokens, that a re-parameterised item must have.
+LITERALS = 3
+LITERAL_SHARE = 1 / 3
+#: Items with fewer tokens are found as whole texts only.
+EMBEDDED = 3
 #: Item windows (at most about 40 bytes each) that may be broadcast.
 BROADCAST_WINDOWS = 1_000_000
 #: Units that follow a number.
@@ -43,132 +59,167 @@ UNITS = ("mm", "cm", "m", "km", "g", "kg", "mg", "lb", "oz", "l", "ml", "s", "ms
          "litres", "dollars", "euros", "cents", "percent", "degrees")
 _MARK = "\u0001"
 _NUMBER = r"[0-9]++(?:[.,:/-][0-9]++)*+"
-_NAME = r"(?<=[\p{L}\p{N},;:]\x20)\p{Lu}\p{Ll}\p{L}*+"
+_NAME = r"(?<![\p{L}\p{M}\p{N}])\p{Lu}\p{Ll}\p{L}*+"
+_SIGN = "+*=<>^"
+
+
+def template(text: Column, values: bool) -> Column:
+    """The template of a text, its tokens parted by spaces; a placeholder is a
+    mark and its type: ``p`` name, followed by the name, ``n`` number, ``u``
+    unit, with ``values`` followed by what they stand for."""
+    value = "$0" if values else ""
+    t = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), _MARK, " "), _NAME, f" {_MARK}p$0 ")
+    t = F.regexp_replace(t, _NUMBER, f" {_MARK}n{value} ")
+    t = F.regexp_replace(t, rf"(?<={_MARK}n{'[0-9.,:/-]{1,24}' if values else ''}\s{{1,4}})"
+                            rf"(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f"{_MARK}u{value}")
+    t = F.regexp_replace(t, f"[{_SIGN}]", " $0 ")
+    inner = r"(?<![0-9])[.,:/-]++|[.,:/-]++(?![0-9])|" if values else ""
+    keep = ".,:/-" if values else ""
+    return F.lower(F.regexp_replace(t, rf"{inner}[^\x20\p{{L}}\p{{M}}\p{{N}}{_MARK}{_SIGN}{keep}]++", " "))
+
+
+def _tokens(template: Column) -> Column:
+    return F.array_remove(F.split(template, " +"), "")
 
 
-def template_tokens(text: Column, values: bool, names: bool = True) -> Column:
-    """Template tokens of a text; a placeholder is a mark and its type, with
-    ``values`` followed by what it stands for.  Without ``names`` these stay
-    words, so case and what precedes them play no part."""
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), rf"[{_MARK}\s]+", " ")
+def _masked(template: Column, names: bool) -> Column:
+    """The tokens of a template without values; without ``names`` these are
+    plain words."""
     if names:
-        t = F.regexp_replace(t, _NAME, f" {_MARK}p" + ("$0" if values else "") + " ")
-    t = F.regexp_replace(t, _NUMBER, f" {_MARK}n" + ("$0" if values else "") + " ")
-    t = F.regexp_replace(t, rf"(?<={_MARK}n{'[0-9.,:/-]{1,24}' if values else ''}\x20{{1,2}})"
-                            rf"(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f"{_MARK}u" + ("$0" if values else ""))
-    inner = r"(?<![0-9])[.,:/-]++|[.,:/-]++(?![0-9])|" if values else ""
-    keep = ".,:/-" if values else ""
-    t = F.lower(F.regexp_replace(t, rf"{inner}[^\p{{L}}\p{{M}}\p{{N}}{_MARK}{keep}]++", " "))
-    return F.array_remove(F.split(t, " +"), "")
-
-
-def _windows(tokens: str) -> Column:
-    """Hashes of all windows of ``tokens`` (a column name); a shorter, not
-    empty token list is one window."""
-    parts = ", ".join(f"{tokens}[i + {k}]" for k in range(WINDOW))
-    return F.expr(f"""
-        case when size({tokens}) >= {WINDOW}
-             then transform(sequence(0, size({tokens}) - {WINDOW}), i -> xxhash64({parts}))
-             when size({tokens}) > 0 then array(xxhash64(size({tokens}), array_join({tokens}, ' ')))
-             else cast(array() as array<bigint>) end""")
-
-
-def _values_at(tokens: str, at: str) -> Column:
-    """Slot values in the window at ``at``: (k, type and value)."""
-    return F.expr(f"""
-        filter(transform(slice({tokens}, {at} + 1, {WINDOW}), (t, k) -> named_struct('k', k, 'v', t)),
-               x -> startswith(x.v, '{_MARK}'))""")
-
-
-def item_windows(benchmark: DataFrame) -> DataFrame:
-    """(item, item_id, names, n_windows, window): distinct windows of every
-    item, with names as placeholders and as words."""
-    items = benchmark.select("item_id", text_digest("text").alias("item_text"), "text").dropDuplicates(
-        ["item_id", "item_text"])
-    kinds = [items.withColumn("t", template_tokens(F.col("text"), False, names))
-             .withColumn("w", F.array_distinct(_windows("t"))).withColumn("names", F.lit(names)) for names in (True, False)]
-    return kinds[0].unionByName(kinds[1]) \
-        .select(F.xxhash64("item_id", "item_text").alias("item"), "item_id", "names", F.size("w").alias("n_windows"),
-                F.explode_outer("w").alias("window")).where("window is not null")
-
-
-def _candidates(docs: DataFrame, items: DataFrame, contained: float) -> DataFrame:
-    """(digest, item, item_id, containment) of texts with enough windows."""
+        return _tokens(F.regexp_replace(template, rf"{_MARK}([npu])[^\x20]*+", f"{_MARK}$1"))
+    return _tokens(F.replace(F.regexp_replace(template, rf"{_MARK}([nu])[^\x20]*+", f"{_MARK}$1"), F.lit(_MARK + "p"), F.lit("")))
+
+
+def _windows(tokens: str, length: int) -> Column:
+    """Hashes of all windows of ``length`` in ``tokens`` (a column name); of
+    lengths under ``EMBEDDED`` only a whole text is a window."""
+    parts = ", ".join(f"{tokens}[i + {k}]" for k in range(length))
+    fits = f"size({tokens}) {'>=' if length >= EMBEDDED else '='} {length}"
+    return F.expr(f"case when {fits} then transform(sequence(0, size({tokens}) - {length}), i -> xxhash64({length}, {parts}))"
+                  " else cast(array() as array<bigint>) end")
+
+
+def _items(benchmark: DataFrame) -> DataFrame:
+    """(item, item_id, names, n_windows, n_literals, n_tokens, item_at, window,
+    item_slots): all windows of every item, with names as placeholders and as
+    words."""
+    items = benchmark.select("item_id", text_digest("text").alias("item_text"), "text") \
+        .dropDuplicates(["item_id", "item_text"]) \
+        .select(F.xxhash64("item_id", "item_text").alias("item"), "item_id", template(F.col("text"), True).alias("c")) \
+        .withColumn("t", _tokens(F.col("c"))) \
+        .withColumn("n_tokens", F.size("t")) \
+        .withColumn("n_literals", F.size(F.filter("t", lambda x: ~F.startswith(x, F.lit(_MARK)) & x.rlike(r"\p{L}"))))
+    return _placed(items, list(range(1, WINDOW + 1))).where(F.col("length") == F.least("n_tokens", F.lit(WINDOW))) \
+        .withColumn("n_windows", F.col("n_tokens") - F.col("length") + 1) \
+        .withColumnsRenamed({"at": "item_at", "slots": "item_slots"})
+
+
+def _placed(texts: DataFrame, lengths: list[int]) -> DataFrame:
+    """``texts`` rows with templates ``c`` as one row for every window: names,
+    length, at, window and slots (place in the window, type and value)."""
+    def rows(masked: str, names: bool, length: int) -> Column:
+        kept = f"startswith(s.v, '{_MARK}')" + ("" if names else f" and not startswith(s.v, '{_MARK}p')")
+        slots = f"filter(transform(slice(t, i + 1, {length}), (v, k) -> named_struct('k', k, 'v', v)), s -> {kept})"
+        return F.expr(f"transform({masked}_{length}, (w, i) -> named_struct("
+                      f"'names', {names}, 'length', {length}, 'at', i, 'window', w, 'slots', {slots}))")
+    masks = {"_m": True, "_plain": False}
+    return texts.withColumns({"t": _tokens(F.col("c"))} | {m: _masked(F.col("c"), names) for m, names in masks.items()}) \
+        .withColumns({f"{m}_{k}": _windows(m, k) for m in masks for k in lengths}) \
+        .withColumn("_rows", F.concat(*[rows(m, names, k) for m, names in masks.items() for k in lengths])) \
+        .select(*[c for c in texts.columns if c not in ("c", "t")], F.explode_outer("_rows").alias("_row")) \
+        .where("_row is not null").select("*", "_row.*").drop("_row")
+
+
+def _enough(found: Column, contained: float) -> Column:
+    """Whether so many windows are the item or a passage of it."""
+    return (found >= contained * F.col("n_windows")) | (found >= PASSAGE - WINDOW + 1)
+
+
+def _candidates(docs: DataFrame, items: DataFrame, lengths: list[int], contained: float) -> DataFrame:
+    """(digest, item, names) of texts with enough windows."""
     # explode_outer: a filter on the array's size, which explode() brings along,
     # would be pushed into the lambdas that build the array
-    count = items.count()
-    items = items.select("item", "item_id", "names", "n_windows", "window")
-    side = F.broadcast(items) if count <= BROADCAST_WINDOWS else items.hint("merge")
-    rows = docs.select(text_digest("text").alias("digest"), template_tokens(F.col("text"), False).alias("t"),
-                       template_tokens(F.col("text"), False, False).alias("plain")) \
-        .select("digest", F.array_union(_windows("t"), _windows("plain")).alias("w")) \
-        .select("digest", F.explode_outer("w").alias("window"))
-    return rows.join(side, "window").groupBy("digest", "item", "item_id", "names", "n_windows") \
-        .agg(F.size(F.collect_set("window")).alias("found")) \
-        .groupBy("digest", "item", "item_id").agg(F.max(F.col("found") / F.col("n_windows")).alias("containment")) \
-        .where(F.col("containment") >= contained)
-
-
-def _slots(texts: DataFrame, key: str) -> DataFrame:
-    """(key, at, window, slots) of every window of the texts."""
-    return texts.withColumn("t", template_tokens(F.col("text"), True)) \
-        .withColumn("plain", F.transform("t", lambda x: F.when(F.startswith(x, F.lit(_MARK)), F.substring(x, 1, 2)).otherwise(x))) \
-        .withColumn("w", _windows("plain")) \
-        .select(key, F.posexplode_outer(F.arrays_zip("w", F.transform("w", lambda w, i: i).alias("i"))).alias("at", "x"), "t") \
-        .select(key, "at", F.col("x.w").alias("window"), _values_at("t", "at").alias("slots"))
+    distinct = write_stage(items.groupBy("item", "names", "window").agg(F.count("*").alias("times"))
+                           .join(items.select("item", "names", "n_windows").distinct(), ["item", "names"]), "item_windows")
+    side = F.broadcast(distinct) if distinct.count() <= BROADCAST_WINDOWS else distinct.hint("merge")
+    hashes = F.array_distinct(F.concat(*[_windows(m, k) for m in ("m", "plain") for k in lengths]))
+    rows = docs.select(text_digest("text").alias("digest"), template(F.col("text"), False).alias("c")) \
+        .select("digest", _masked(F.col("c"), True).alias("m"), _masked(F.col("c"), False).alias("plain")) \
+        .select("digest", F.explode_outer(hashes).alias("window"))
+    return rows.join(side, "window").dropDuplicates(["digest", "item", "names", "window"]) \
+        .groupBy("digest", "item", "names", "n_windows").agg(F.sum("times").alias("found")) \
+        .where(_enough(F.col("found"), contained)).select("digest", "item", "names")
 
 
 def _hits(docs: DataFrame, benchmark: DataFrame, contained: float, consistent: float) -> DataFrame:
-    """(digest, item, item_id, containment, most, n, changed, consistency) of
-    the texts that contain an item.  Slots are judged on one diagonal, the best:
-    one that is whole and consistent if there is any, else the one with most
-    values that agree.  A text that has the item's windows with the item's own
-    values always contains it."""
-    found = write_stage(_candidates(docs, item_windows(benchmark), contained), "template_matches")
-    texts = docs.select(text_digest("text").alias("digest"), "text")
-    doc_slots = _slots(texts.join(found.select("digest").distinct(), "digest", "left_semi")
-                       .dropDuplicates(["digest"]), "digest")
-    items = benchmark.select(F.xxhash64("item_id", text_digest("text")).alias("item"), "text").dropDuplicates(["item"])
-    item_slots = _slots(items, "item").withColumnRenamed("at", "item_at").withColumnRenamed("slots", "item_slots")
-    asked = item_slots.where(F.size("item_slots") > 0).withColumn("asked_windows", F.expr("count(*) over (partition by item)"))
-    pairs = found.select("digest", "item").join(asked, "item").join(doc_slots, ["digest", "window"])
-    values = pairs.select("digest", "item", (F.col("at") - F.col("item_at")).alias("diagonal"),
-                          F.explode(F.arrays_zip("item_slots", "slots")).alias("z"), "item_at") \
-        .select("digest", "item", "diagonal", (F.col("item_at") + F.col("z.item_slots.k")).alias("slot"),
+    """(digest, item_id, containment, n, changed, consistency) of the texts that
+    contain an item."""
+    items = write_stage(_items(benchmark), "items")
+    lengths = sorted({r.length for r in items.select("length").distinct().collect()}) or [WINDOW]  # five at most
+    found = write_stage(_candidates(docs, items, lengths, contained), "template_matches")
+    texts = docs.select(text_digest("text").alias("digest"), "text") \
+        .join(found.select("digest").distinct(), "digest", "left_semi").dropDuplicates(["digest"]) \
+        .select("digest", template(F.col("text"), True).alias("c"))
+    placed = write_stage(_placed(texts, lengths).join(items.select("names", "window").distinct(), ["names", "window"],
+                                                      "left_semi").drop("length"), "text_windows")
+    key = ["digest", "item", "names"]
+    pairs = found.join(items, ["item", "names"]).join(placed, ["digest", "names", "window"]) \
+        .withColumn("diagonal", F.col("at") - F.col("item_at"))
+
+    # with its own values: item positions covered within a band of diagonals
+    band = F.floor(F.col("diagonal") / (1 + F.floor(F.col("n_windows") / 5)))
+    same = pairs.where("item_slots = slots") \
+        .select(*key, "n_windows", "item_at", F.explode(F.array(band, band - 1)).alias("band")).distinct() \
+        .groupBy(*key, "n_windows", "band").agg(F.count("*").alias("found")) \
+        .where(_enough(F.col("found"), contained)) \
+        .groupBy("digest", "item").agg(F.max(F.col("found") / F.col("n_windows")).alias("same"))
+
+    # re-parameterised: whole diagonals, then their values
+    wordy = (F.col("n_literals") >= LITERALS) & (F.col("n_literals") >= LITERAL_SHARE * F.col("n_tokens")) \
+        & (F.col("n_tokens") >= WINDOW)
+    told = pairs.where(wordy)
+    whole = told.groupBy(*key, "n_windows", "diagonal").agg(F.count("*").alias("found")) \
+        .where(F.col("found") >= contained * F.col("n_windows")) \
+        .select(*key, "diagonal", (F.col("found") / F.col("n_windows")).alias("covered"))
+    values = told.join(whole, [*key, "diagonal"]) \
+        .select(*key, "diagonal", "covered", "item_at", F.explode_outer(F.arrays_zip("item_slots", "slots")).alias("z")) \
+        .select(*key, "diagonal", "covered", (F.col("item_at") + F.col("z.item_slots.k")).alias("slot"),
                 F.col("z.item_slots.v").alias("asked"), F.col("z.slots.v").alias("given")).distinct()
-    one = values.groupBy("digest", "item", "diagonal", "asked", "given").agg(F.count("*").alias("n")) \
-        .groupBy("digest", "item", "diagonal", "asked") \
-        .agg(F.max("n").alias("most"), F.sum("n").alias("n"),
-             F.sum(F.when(F.col("asked") != F.col("given"), F.col("n")).otherwise(0)).alias("changed")) \
-        .groupBy("digest", "item", "diagonal") \
-        .agg(F.sum("most").alias("most"), F.sum("n").alias("n"), F.sum("changed").alias("changed"))
-    aligned = pairs.groupBy("digest", "item", (F.col("at") - F.col("item_at")).alias("diagonal")) \
-        .agg((F.count("*") / F.max("asked_windows")).alias("aligned"))
-    verbatim = pairs.where("item_slots = slots").groupBy("digest", "item") \
-        .agg((F.count_distinct("item_at") / F.max("asked_windows")).alias("verbatim")).where(F.col("verbatim") >= contained)
-    checked = one.join(aligned, ["digest", "item", "diagonal"]).join(verbatim, ["digest", "item"], "left") \
-        .withColumn("whole", (F.col("aligned") >= contained) & (F.col("most") >= consistent * F.col("n"))) \
+    given = F.col("asked").isNotNull().cast("long")
+    line = [*key, "diagonal", "covered"]
+    changed = values.groupBy(*line, "asked", "given").agg(F.sum(given).alias("n")) \
+        .groupBy(*line, "asked").agg(
+            F.max("n").alias("most"), F.sum("n").alias("n"),
+            F.sum(F.when(F.col("asked") != F.col("given"), F.col("n")).otherwise(0)).alias("changed")) \
+        .groupBy(*line).agg(F.sum("most").alias("most"), F.sum("n").alias("n"), F.sum("changed").alias("changed")) \
+        .where(F.col("most") >= consistent * F.col("n")) \
         .groupBy("digest", "item").agg(F.max(F.struct(
-            F.coalesce(F.col("verbatim").isNotNull() & (F.col("changed") == 0), F.lit(False)).alias("same"), "whole", "most",
-            (-F.col("n")).alias("less"), "n", "changed", F.col("verbatim").isNotNull().alias("verbatim"))).alias("best")) \
-        .select("digest", "item", "best.most", "best.n", "best.changed", "best.verbatim")
-    return found.join(checked, ["digest", "item"], "left") \
-        .withColumn("consistency", F.coalesce(F.col("most") / F.col("n"), F.lit(1.0))) \
-        .where((F.col("consistency") >= consistent) | F.col("verbatim"))
+            (-F.col("changed")).alias("least"), "covered", "n", "changed", "most")).alias("best")) \
+        .select("digest", "item", "best.*")
+
+    named = items.select("item", "item_id").distinct()
+    slots = items.where("names").select("item", "item_at", F.explode("item_slots").alias("x")) \
+        .groupBy("item").agg(F.count_distinct(F.col("item_at") + F.col("x.k")).alias("n_slots"))
+    by_value = F.coalesce(F.col("same") >= 1, F.col("n").isNull())
+    return same.join(changed, ["digest", "item"], "full").join(named, "item").join(slots, "item", "left").select(
+        "digest", "item_id", F.greatest("same", "covered").alias("containment"),
+        F.when(by_value, F.coalesce("n_slots", F.lit(0))).otherwise(F.col("n")).alias("n"),
+        F.when(by_value, F.lit(0)).otherwise(F.col("changed")).cast("long").alias("changed"),
+        F.when(by_value | (F.col("n") == 0), F.lit(1.0)).otherwise(F.col("most") / F.col("n")).alias("consistency"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, contained: float = CONTAINED,
                   consistent: float = CONSISTENT) -> DataFrame:
     """One row per document and item that it contains: doc_id, item_id,
-    containment, n_slots (slot values aligned on the best diagonal), consistency
-    (their share that follows the item's values one to one) and changed_slots
-    (aligned values that differ: a re-parameterised copy has some)."""
+    containment, n_slots (values of the item, or those aligned on the best
+    diagonal of a re-parameterised copy), consistency (their share that follows
+    the item's values one to one) and changed_slots (aligned values that differ:
+    a re-parameterised copy has some)."""
     docs = docs.select("doc_id", "text")
     hits = _hits(docs, benchmark, contained, consistent)
     rows = docs.select("doc_id", text_digest("text").alias("digest"))
     return rows.join(hits, "digest").select(
-        "doc_id", "item_id", "containment", F.coalesce("n", F.lit(0).cast("long")).alias("n_slots"), "consistency",
-        F.coalesce("changed", F.lit(0).cast("long")).alias("changed_slots"))
+        "doc_id", "item_id", "containment", F.col("n").alias("n_slots"), "consistency", F.col("changed").alias("changed_slots"))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, contained: float = CONTAINED,

@@ -189,6 +189,41 @@ def test_copies_in_another_case_or_layout(spark):
     assert got == {(0, 0), (1, 0), (2, 1)}
 
 
+def test_placeholders_alone_are_no_copy(spark):
+    """Runs of numbers, and the pieces of an item scattered over a text, are
+    clean; the same values in order are not."""
+    items = ["12 + 5 * 3 - 4 / 2 =", "the quick brown fox jumps over the lazy dog near the old river bank today at noon"]
+    words = items[1].split()
+    pieces = " . ".join(" ".join(words[i:i + 5]) for i in reversed(range(len(words) - 4)))
+    docs = spark.createDataFrame(
+        [(0, "open ports are 80 443 8080 22 21 on that host"), (1, "scores 1 2 3 4 5 6 7 8 9 10"), (2, pieces),
+         (3, "compute 12 + 5 * 3 - 4 / 2 = please"), (4, "and " + items[1] + " again"),
+         (5, "12 + 5 * 3 - 4 / 7 ="), (6, "values 3 + 1 * 2 - 9 / 8 =")], "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.decontaminate(docs, bench).collect()}
+    assert got == {(3, 0), (4, 1)}
+    left = {r.doc_id for r in decontamination.clean_documents(docs, bench).collect()}
+    assert left == {0, 1, 2, 5, 6}
+
+
+def test_names_first_short_items_and_passages(spark):
+    """Names at a sentence start, items under a window, an inserted word and a
+    long part of an item."""
+    rng = np.random.default_rng(3)
+    long_item = " ".join(f"w{chr(97 + a)}{chr(97 + b)}" for a, b in rng.integers(0, 26, (200, 2)))
+    part = " ".join(long_item.split()[70:130])
+    items = ["Alice buys 3 apples from Bob", "Name the largest planet", long_item, "Paris",
+             "Once upon a time there was a tiny house in the deep green forest by the lake"]
+    docs = spark.createDataFrame(
+        [(0, "Carol buys 9 apples from Dave"), (1, "well. Eve buys 41 apples from Finn. ok"), (2, "Q name the largest planet now"),
+         (3, "intro " + part + " outro"), (4, "intro " + " ".join(part.split()[:40])), (5, "Paris"), (6, "we saw Paris today"),
+         (7, items[4].replace("tiny house", "tiny little house")), (8, "the largest of all the planets")], "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontamination.decontaminate(docs, bench).collect()}
+    assert set(got) >= {(0, 0), (1, 0), (2, 1), (3, 2), (5, 3)} and set(got) <= {(0, 0), (1, 0), (2, 1), (3, 2), (5, 3), (7, 4)}
+    assert got[0, 0].changed_slots == 3 and got[0, 0].consistency == 1.0
+
+
 @needs_data
 def test_decontamination_against_substrings(spark):
     def norm(t):
