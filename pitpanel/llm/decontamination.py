@@ -59,7 +59,8 @@ UNITS = ("mm", "cm", "m", "km", "g", "kg", "mg", "lb", "oz", "l", "ml", "s", "ms
          "litres", "dollars", "euros", "cents", "percent", "degrees")
 _MARK = "\u0001"
 _NUMBER = r"[0-9]++(?:[.,:/-][0-9]++)*+"
-_NAME = r"(?<![\p{L}\p{M}\p{N}])\p{Lu}\p{Ll}\p{L}*+"
+# the capital first and what precedes it after, so most places fail at once
+_NAME = r"\p{Lu}(?<![\p{L}\p{M}\p{N}]\p{Lu})\p{Ll}\p{L}*+"
 _SIGN = "+*=<>^"
 
 
@@ -68,26 +69,27 @@ def template(text: Column, values: bool) -> Column:
     mark and its type: ``p`` name, followed by the name, ``n`` number, ``u``
     unit, with ``values`` followed by what they stand for."""
     value = "$0" if values else ""
-    t = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), _MARK, " "), _NAME, f" {_MARK}p$0 ")
+    t = F.replace(F.coalesce(text, F.lit("")), F.lit(_MARK), F.lit(" "))
+    t = F.regexp_replace(t, _NAME, f" {_MARK}p$0 ")
     t = F.regexp_replace(t, _NUMBER, f" {_MARK}n{value} ")
-    t = F.regexp_replace(t, rf"(?<={_MARK}n{'[0-9.,:/-]{1,24}' if values else ''}\s{{1,4}})"
-                            rf"(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f"{_MARK}u{value}")
+    t = F.regexp_replace(t, rf"({_MARK}n{'[0-9.,:/-]++' if values else ''}\s{{1,4}})"
+                            rf"({'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f"$1{_MARK}u{'$2' if values else ''}")
     t = F.regexp_replace(t, f"[{_SIGN}]", " $0 ")
     inner = r"(?<![0-9])[.,:/-]++|[.,:/-]++(?![0-9])|" if values else ""
     keep = ".,:/-" if values else ""
-    return F.lower(F.regexp_replace(t, rf"{inner}[^\x20\p{{L}}\p{{M}}\p{{N}}{_MARK}{_SIGN}{keep}]++", " "))
+    return F.lower(F.regexp_replace(t, rf"{inner}[^a-z\x20\p{{L}}\p{{M}}\p{{N}}{_MARK}{_SIGN}{keep}]++", " "))
 
 
 def _tokens(template: Column) -> Column:
-    return F.array_remove(F.split(template, " +"), "")
+    return F.array_remove(F.split(template, " "), "")
 
 
-def _masked(template: Column, names: bool) -> Column:
-    """The tokens of a template without values; without ``names`` these are
-    plain words."""
-    if names:
-        return _tokens(F.regexp_replace(template, rf"{_MARK}([npu])[^\x20]*+", f"{_MARK}$1"))
-    return _tokens(F.replace(F.regexp_replace(template, rf"{_MARK}([nu])[^\x20]*+", f"{_MARK}$1"), F.lit(_MARK + "p"), F.lit("")))
+def _masked(template: Column, names: bool, values: bool = True) -> Column:
+    """The tokens of a template without values (without ``values`` it has none
+    but the names); without ``names`` these are plain words."""
+    kinds = ("n" if values else "") + ("p" if names else "") + ("u" if values else "")
+    bare = F.regexp_replace(template, rf"{_MARK}([{kinds}])[^\x20]*+", f"{_MARK}$1") if kinds else template
+    return _tokens(bare if names else F.replace(bare, F.lit(_MARK + "p"), F.lit("")))
 
 
 def _windows(tokens: str, length: int) -> Column:
@@ -144,7 +146,7 @@ def _candidates(docs: DataFrame, items: DataFrame, lengths: list[int], contained
     side = F.broadcast(distinct) if distinct.count() <= BROADCAST_WINDOWS else distinct.hint("merge")
     hashes = F.array_distinct(F.concat(*[_windows(m, k) for m in ("m", "plain") for k in lengths]))
     rows = docs.select(text_digest("text").alias("digest"), template(F.col("text"), False).alias("c")) \
-        .select("digest", _masked(F.col("c"), True).alias("m"), _masked(F.col("c"), False).alias("plain")) \
+        .select("digest", _masked(F.col("c"), True, False).alias("m"), _masked(F.col("c"), False, False).alias("plain")) \
         .select("digest", F.explode_outer(hashes).alias("window"))
     return rows.join(side, "window").dropDuplicates(["digest", "item", "names", "window"]) \
         .groupBy("digest", "item", "names", "n_windows").agg(F.sum("times").alias("found")) \
