@@ -80,15 +80,22 @@ def sig_round(c, sig: int = SIG_DIGITS):
 
 
 def finish(df: DataFrame, digits: dict[str, int] | None = None, default: int = SIG_DIGITS) -> DataFrame:
-    """Round every floating column to significant digits (per-column override)."""
+    """Round every floating column to significant digits (per-column override).
+    Columns of equal digits are rounded as one array, so the generated code
+    does not grow with their number."""
     digits = digits or {}
-    cols = []
+    alike: dict[int, list[str]] = {}
     for f in df.schema.fields:
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            cols.append(sig_round(F.col(f"`{f.name}`"), digits.get(f.name, default)).alias(f.name))
-        else:
-            cols.append(F.col(f"`{f.name}`"))
-    return df.select(*cols)
+            alike.setdefault(digits.get(f.name, default), []).append(f.name)
+    places = {c: F.col(f"_rounded_{d}")[i].alias(c) for d, names in alike.items() for i, c in enumerate(names)}
+
+    def rounded(d: int):
+        values = F.array(*[F.col(f"`{c}`").cast("double") for c in alike[d]])
+        return F.transform(values, lambda x: sig_round(x, d)).alias(f"_rounded_{d}")
+    arrays = [rounded(d) for d in alike]
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in places]
+    return df.select(*kept, *arrays).select(*[places.get(c, F.col(f"`{c}`")) for c in df.columns])
 
 
 def double_columns(df: DataFrame) -> list[str]:
@@ -1358,6 +1365,9 @@ def q_m14(spark, sf_dir):
     return AB.ablation_pivot(ablation_metrics(spark, sf_dir), "regression")
 
 
+from pitpanel.plans import defects as _defects  # noqa: E402, F401 - registers its queries
+
+
 # ------------------------------------------------------------------ export
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def wrap(q: Query):

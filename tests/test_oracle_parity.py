@@ -10,7 +10,9 @@ import pytest
 SF = "/root/testdata/sf0.001"
 SUBSET = ["j1_modeling_panel", "t2_severe_risk", "a5_checkpoint_weather", "a4_drought_features",
           "b7_regression_baselines", "a12_regression_metrics", "a17_residual_box", "a19_auroc",
-          "c7_clean_yield_records", "s5_weather_payload", "j9_remaining_entities"]
+          "c7_clean_yield_records", "s5_weather_payload", "j9_remaining_entities",
+          "s2_weather_csv", "s3_weekly_csv", "s4_daily_csv", "s12_saved_predictions", "c12_valid_entities",
+          "t8_gates", "m4_feature_groups"]
 
 
 def _canon(df):
