@@ -1103,7 +1103,7 @@ FROM (SELECT cast(count(*) AS double) AS n, covar_pop(x1, y) / stddev_pop(x1) AS
   SELECT median(cumulative_precip) AS m1, median(mean_temp) AS m2 FROM train WHERE yield_anomaly IS NOT NULL),
 filled AS (
   SELECT coalesce(cumulative_precip, m1) AS x1, coalesce(mean_temp, m2) AS x2, yield_anomaly AS y
-  FROM train, med WHERE yield_anomaly IS NOT NULL)"""))
+  FROM train, med WHERE yield_anomaly IS NOT NULL)"""), ["value"])
 def q_m6(spark, sf_dir):
     """M5 + M6: the fitted ridge model on two imputed and scaled features (4
     decimals); the oracle solves the normal equations (alpha = 1)."""
