@@ -203,6 +203,33 @@ def best_split(g: np.ndarray, h: np.ndarray, n: np.ndarray, features: list[int],
     return (features[k], int(b), (gl[k, b], hl[k, b], nl[k, b]), (gr[k, b], hr[k, b], nr[k, b]), won), totals
 
 
+def best_sorted_split(bins: np.ndarray, g, h, n, features: list[int], min_leaf: int, first_only: bool):
+    """``best_split`` of a node of few rows: its rows sorted by each feature,
+    instead of sums over all bins.  Sums are of whole numbers, so both agree."""
+    totals = (g.sum(), h.sum(), n.sum())
+    x = bins[:, features].T
+    order = np.argsort(x, 1, kind="stable")
+    x = np.take_along_axis(x, order, 1)
+    gl, hl, nl = (np.cumsum(v[order], 1)[:, :-1] for v in (g, h, n))
+    hr, nr = totals[1] - hl, totals[2] - nl
+    ok = (x[:, 1:] != x[:, :-1]) & (nl >= min_leaf) & (nr >= min_leaf) & (hl > 0) & (hr > 0)
+    if first_only and ok.any():
+        ok[np.flatnonzero(ok.any(1))[0] + 1:] = False
+    if not ok.any():
+        return None, totals
+    at = np.flatnonzero(ok)
+    gl, hl, nl, hr = gl.ravel()[at], hl.ravel()[at], nl.ravel()[at], hr.ravel()[at]
+    gr = totals[0] - gl
+    gain = gl ** 2 / hl + gr ** 2 / hr
+    i = int(gain.argmax())
+    k, j = divmod(int(at[i]), ok.shape[1])
+    before = totals[0] ** 2 / totals[1]
+    won = float(gain[i] - before)
+    if won <= 1e-12 * before:  # pure, or nothing to gain
+        return None, totals
+    return (features[k], int(x[k, j]), (gl[i], hl[i], nl[i]), (gr[i], hr[i], totals[2] - nl[i]), won), totals
+
+
 def histograms(bins: np.ndarray, g, h, n, features: list[int], width: int) -> np.ndarray:
     """(3, feature, bin) sums of the rows."""
     key = (bins[:, features].astype(np.int64) + np.arange(len(features)) * width).ravel()
@@ -234,8 +261,13 @@ def grow(tree: Tree, spec: Spec, number: int, bins, g, h, n, width: int) -> None
             at = rows[node]
             while node not in tree.best:
                 features = tree.to_try(node, spec, number)
-                found, totals = best_split(*histograms(bins[at], g[at], h[at], n[at], features, width), features,
-                                           spec.min_leaf, node in tree.tried) if len(at) else (None, (0.0, 0.0, 0.0))
+                again, mine = node in tree.tried, (bins[at], g[at], h[at], n[at])
+                if len(at) == 0:
+                    found, totals = None, (0.0, 0.0, 0.0)
+                elif len(at) < width:
+                    found, totals = best_sorted_split(*mine, features, spec.min_leaf, again)
+                else:
+                    found, totals = best_split(*histograms(*mine, features, width), features, spec.min_leaf, again)
                 tree.receive(node, spec, number, found, totals)
             if tree.best[node] is not None:
                 low = bins[at, tree.feature[node]] <= tree.bin[node]

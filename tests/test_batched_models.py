@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pitpanel.operators import ablation, linear, trees
+from pitpanel.operators import ablation, linear, scoring, trees
 
 
 def tree_rows(spark, n=400, seed=0):
@@ -171,3 +171,39 @@ def test_ablation_of_all_models(spark):
     assert best["pooled", "weather_raw", "logistic_regression"] > 0.8 and best["pooled", "weather_raw", "random_forest_clf"] > 0.75
     with pytest.raises(ValueError, match="no training year"):
         ablation.run_ablation(p, modes, n_test_years=10)
+
+
+@pytest.mark.parametrize("rows", [2, 7, 40])
+def test_sorted_rows_split_as_histograms_do(rows):
+    rng = np.random.default_rng(rows)
+    for _ in range(50):
+        x = rng.integers(0, 6, (rows, 4)).astype(np.uint16)
+        g, h, n = rng.integers(-50, 50, rows) * 1.0, rng.integers(1, 4, rows) * 1.0, np.ones(rows)
+        for first_only in (False, True):
+            features = [int(f) for f in rng.permutation(4)]
+            want = trees.best_split(*trees.histograms(x, g, h, n, features, 6), features, 1, first_only)
+            assert trees.best_sorted_split(x, g, h, n, features, 1, first_only) == want
+
+
+def test_scoring_deals_models_over_bounded_passes(spark, monkeypatch):
+    rows, x, y, label = tree_rows(spark, n=60)
+    fitted = trees.fit_trees(rows, [trees.Spec("0/a/boost", 0, "boosting", (0, 1, 2), trees=6),
+                                    trees.Spec("1/a/forest", 1, "forest", (0, 1), trees=5, max_leaves=None, min_leaf=1, classes=True)])
+    test = rows.withColumn("x", F.lit(np.ones(5).tobytes())).withColumn("year", F.col("row"))
+    linear_ = {"0/a/ridge": np.arange(6.0)}
+    at_of = {"0/a": (0, 1, 2, 3, 4), "1/a": (0, 1, 2, 3, 4)}
+    sent = []
+    broadcast = spark.sparkContext.broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(len(value)) or broadcast(value))
+    got = {}
+    for limit in (1 << 20, 2000, 1):
+        sent.clear()
+        out = scoring.score_rows(test, ["year"], linear_, fitted, at_of, limit).toPandas()
+        got[limit] = out.sort_values(["key", "year"], ignore_index=True), list(sent)
+        assert len(out) == 3 * 60 and out.y_proba.isna().sum() == 120
+    whole, passes = got[1 << 20]
+    assert len(passes) == 1 and len(got[1][1]) == 12  # one model or tree each
+    assert max(got[1][1]) < max(got[2000][1]) < passes[0]
+    for limit in (2000, 1):
+        np.testing.assert_allclose(got[limit][0].y_pred, whole.y_pred, rtol=1e-12)
+    np.testing.assert_allclose(whole[whole.key == "0/a/ridge"].y_pred, 15.0)
