@@ -1,4 +1,7 @@
-"""Spark ML models on the panel.
+"""Models on the panel.
+
+``train_and_predict`` fits all models at once with the batched learners of
+``linear`` and ``trees``; single models that are saved and loaded are Spark ML.
 
 Preprocessing is fitted on the training split only, with the package's own
 aggregates so that it matches the reference exactly where it matters:
@@ -12,9 +15,10 @@ into a ``SQLTransformer`` statement, so preprocessing + estimator form one
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
@@ -23,8 +27,12 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitpanel.operators import linear as LN
+from pitpanel.operators import trees as TR
 from pitpanel.operators.features import assert_no_leakage
 from pitpanel.operators.metrics import exact_quantiles
+from pitpanel.operators.scoring import score_rows
+from pitpanel.session import cut_lineage
 
 # Model names and hyper-parameters of the reference models.
 RANDOM_STATE = 42
@@ -33,6 +41,9 @@ CLASSIFICATION_MODELS = ["logistic_regression", "random_forest_clf"]
 RIDGE_ALPHA = 1.0
 LOGISTIC_C = 1.0
 N_TREES = 300
+BOOST_ROUNDS = 100
+#: The slot of categories that no training row has.
+_UNKNOWN = "__unknown"
 
 
 def _lit_double(v: float) -> str:
@@ -216,54 +227,102 @@ def predict(model: PipelineModel, df: DataFrame, meta: Sequence[str], label: str
                       y_pred.alias("y_pred"), proba.alias("y_proba"))
 
 
+@dataclass
+class BatchedModel:
+    """A model of :func:`train_and_predict`: its design columns, and weights
+    (intercept first) or trees."""
+    name: str
+    columns: list
+    fitted: np.ndarray | dict
+
+
+def _tree_spec(name: str, key: str, rows: int, n_features: int, n_trees: int) -> TR.Spec:
+    at = tuple(range(n_features))
+    if name == "hist_gradient_boosting_reg":
+        return TR.Spec(key, rows, "boosting", at, trees=BOOST_ROUNDS, seed=RANDOM_STATE)
+    classes = name == "random_forest_clf"
+    return TR.Spec(key, rows, "forest", at, trees=n_trees, max_leaves=None, min_leaf=1,
+                   draw=max(1, int(n_features ** 0.5)) if classes else None, classes=classes, seed=RANDOM_STATE)
+
+
 def train_and_predict(train: DataFrame, test: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                       regression_target: str = "yield_anomaly", classification_target: str = "severe_risk",
                       meta: Sequence[str] = ("year", "state", "county_fips", "crop", "checkpoint"),
                       reg_models: Sequence[str] = REGRESSION_MODELS,
                       clf_models: Sequence[str] = CLASSIFICATION_MODELS, n_trees: int = N_TREES,
-                      parallelism: int = 4, return_models: bool = False):
+                      return_models: bool = False):
     """Every model fitted on train, scored on test -> long predictions.
-    Fits are independent Spark jobs and run concurrently from a small
-    driver thread pool (job-level parallelism for many small fits)."""
+
+    The labelled rows of each task are one data set of a common design table.
+    Ridge is a solve on its Gram matrix, logistic regression takes Newton steps
+    in one pass each, and the trees of all models grow side by side; scoring
+    deals the models over passes of bounded size."""
+    assert_no_leakage(list(numeric), list(categorical))
+    for name in (*reg_models, *clf_models):
+        if name not in (*REGRESSION_MODELS, *CLASSIFICATION_MODELS):
+            raise ValueError(f"Unknown model {name!r}")
     meta = [c for c in meta if c in test.columns]
-    tr_r = spread_by_key(train.filter(F.col(regression_target).isNotNull()))
-    st_r = preprocessing_stats(tr_r, numeric, categorical)
-    jobs = [(n, "regression", regression_target) for n in reg_models]
-    tr_c = te_c = st_c = None
+    labels, names = (regression_target, classification_target), {0: list(reg_models)}
+    counts: dict = {}
     if classification_target in train.columns and clf_models:
-        tr_c = spread_by_key(train.filter(F.col(classification_target).isNotNull()))
-        te_c = test.filter(F.col(classification_target).isNotNull())
-        st_c = preprocessing_stats(tr_c, numeric, categorical, classification_target)
-        if len(st_c.class_counts or {}) >= 2 and te_c.limit(1).count():
-            jobs += [(n, "classification", classification_target) for n in clf_models]
-
-    def run(job):
-        name, task, label = job
-        tr, st = (tr_r, st_r) if task == "regression" else (tr_c, st_c)
-        te = test.filter(F.col(label).isNotNull()) if task == "regression" else te_c
-        model = fit_model(tr, name, numeric, categorical, label, n_trees, stats=st, sized=True)
-        return name, model, predict(model, te, meta, label, name, task)
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        results = list(ex.map(run, jobs))
-    preds = results[0][2]
-    for _, _, p in results[1:]:
-        preds = preds.unionByName(p)
+        counts = {float(r[0]): r[1] for r in train.where(F.col(classification_target).isNotNull())
+                  .groupBy(classification_target).count().collect()}
+        if len(counts) >= 2 and test.where(F.col(classification_target).isNotNull()).limit(1).count():
+            names[1] = list(clf_models)
+    names = {s: found for s, found in names.items() if found}
+
+    def tagged(df: DataFrame) -> DataFrame:
+        return reduce(DataFrame.unionByName, [
+            df.where(F.col(labels[s]).isNotNull()).withColumn("_y", F.col(labels[s]).cast("double")).withColumn("_set", F.lit(s))
+            for s in names])
+
+    n_rows = sum(counts.values())
+    balance = [F.when((F.col("_set") == 1) & (F.col("_y") == y), n_rows / (len(counts) * n)) for y, n in counts.items()]
+    # few columns in the hash: the optimiser restates it for every set of their later names
+    fit_on = cut_lineage(tagged(train).withColumn("_w", F.coalesce(*balance, F.lit(1.0)))
+                         .withColumn("_row", F.pmod(F.xxhash64(*[c for c in meta if c in train.columns], "_y"), F.lit(2**31 - 1))))
+    columns = LN.design_columns(fit_on, "_set", numeric, categorical)
+    missing = [labels[s] for s in names if s not in columns]
+    if missing:
+        raise ValueError(f"no training rows with {', '.join(missing)}")
+    rows = cut_lineage(LN.design_rows(fit_on, "_set", columns, "_y", weight="_w", key="_row")).persist()
+    keys = {f"{s}/all/{name}": (s, name) for s in names for name in names[s]}
+    at_of = {f"{s}/all": tuple(range(len(columns[s]))) for s in names}
+    logistic = {k: (s, at_of[f"{s}/all"]) for k, (s, name) in keys.items() if name == "logistic_regression"}
+    fitted = LN.logistic_models(rows, logistic, LOGISTIC_C) if logistic else {}
+    if "ridge" in names.get(0, ()):
+        fitted["0/all/ridge"] = LN.ridge(LN.gram_matrices(rows)[0], at_of["0/all"], RIDGE_ALPHA)
+    trees = TR.fit_trees(rows, [_tree_spec(name, k, s, len(columns[s]), n_trees)
+                                for k, (s, name) in keys.items() if k not in fitted])
+    rows.unpersist()
+    scored = score_rows(LN.design_rows(tagged(test), "_set", columns, "_y", keep=meta), meta, fitted, trees, at_of)
+    place = F.split("key", "/")
+    preds = scored.select(*meta, place[2].alias("model"),
+                          F.when(place[0] == "0", "regression").otherwise("classification").alias("task"),
+                          "y_true", "y_pred", "y_proba")
     if return_models:
-        return preds, {n: m for n, m, _ in results}
+        return preds, {name: BatchedModel(name, columns[s], fitted[k] if k in fitted else trees[k])
+                       for k, (s, name) in keys.items()}
     return preds
 
 
-def feature_importance(model: PipelineModel, sample: DataFrame) -> DataFrame:
+def feature_importance(model: PipelineModel | BatchedModel, sample: DataFrame) -> DataFrame:
     """Tree-model importances with slot names, sorted descending."""
-    est = model.stages[-1]
-    if not hasattr(est, "featureImportances"):
-        raise ValueError("model has no feature importances")
-    schema = model.transform(sample.limit(1)).schema["features"]
-    attrs = schema.metadata.get("ml_attr", {}).get("attrs", {})
-    names = {a["idx"]: a["name"] for group in attrs.values() for a in group}
-    imp = est.featureImportances.toArray().tolist()
-    rows = [(names.get(i, f"f{i}").removeprefix("__n_").replace("__o_", ""), float(v)) for i, v in enumerate(imp)]
+    if isinstance(model, BatchedModel):
+        if not isinstance(model.fitted, dict):
+            raise ValueError("model has no feature importances")
+        share = TR.importances(model.fitted, len(model.columns)).tolist()
+        rows = [(c.feature if c.value is None else f"{c.feature}_{c.value}", v) for c, v in zip(model.columns, share)]
+        rows += [(f"{f}_{_UNKNOWN}", 0.0) for f in dict.fromkeys(c.feature for c in model.columns if c.value is not None)]
+    else:
+        est = model.stages[-1]
+        if not hasattr(est, "featureImportances"):
+            raise ValueError("model has no feature importances")
+        schema = model.transform(sample.limit(1)).schema["features"]
+        attrs = schema.metadata.get("ml_attr", {}).get("attrs", {})
+        names = {a["idx"]: a["name"] for group in attrs.values() for a in group}
+        imp = est.featureImportances.toArray().tolist()
+        rows = [(names.get(i, f"f{i}").removeprefix("__n_").replace("__o_", ""), float(v)) for i, v in enumerate(imp)]
     spark = sample.sparkSession
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.col("importance").desc())
 

@@ -1020,8 +1020,7 @@ def model_predictions(spark, sf_dir):
     def build():
         train, test = labelled_split(spark, sf_dir)
         numeric, categorical = FS.select_feature_columns(stored_panel(spark, sf_dir))
-        preds, models = ML.train_and_predict(train, test, numeric, categorical, parallelism=5,
-                                             return_models=True)
+        preds, models = ML.train_and_predict(train, test, numeric, categorical, return_models=True)
         _MODELS[key] = (spark._jsparkSession, models)
         return preds
     return stored(spark, sf_dir, "model_predictions", build)

@@ -124,3 +124,27 @@ def test_entry_contract():
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs)
     assert set(qs) >= set(E.catalog.REGISTRY)
+
+
+def test_models_are_fitted_together_without_udfs_of_the_jvm(spark):
+    """All five models on repeated, unseen and null keys; trees have no depth limit."""
+    p = _ml_panel(spark)
+    train = p.filter("year < 2021").unionByName(p.filter("year < 2016"))
+    test = p.filter("year >= 2021").withColumn("state", F.when(F.col("state") == "IOWA", "TEXAS")) \
+        .withColumn("severe_risk", F.when(F.col("crop") == "CORN", F.col("severe_risk")))
+    preds, models = ML.train_and_predict(train, test, ["expected_yield", "cumulative_precip", "mean_temp"],
+                                         ["crop", "checkpoint", "state"], n_trees=4, return_models=True)
+    assert "UDF" not in _plan(preds)
+    got = {(r["model"], r["task"]): r["n"] for r in preds.groupBy("model", "task").agg(F.count("y_pred").alias("n")).collect()}
+    labelled = test.filter("severe_risk IS NOT NULL").count()
+    assert got == {(m, "regression"): test.count() for m in ML.REGRESSION_MODELS} \
+        | {(m, "classification"): labelled for m in ML.CLASSIFICATION_MODELS}
+    forest = models["random_forest_reg"].fitted
+    assert len(forest["trees"]) == 4 and forest["spec"].max_depth is None
+    imp = ML.feature_importance(models["random_forest_reg"], train).collect()
+    assert abs(sum(r["importance"] for r in imp) - 1.0) < 1e-9
+    assert {"crop_CORN", "state___unknown", "mean_temp"} <= {r["feature"] for r in imp}
+    with pytest.raises(ValueError):
+        ML.feature_importance(models["ridge"], train)
+    with pytest.raises(ValueError):
+        ML.train_and_predict(train, test, ["mean_temp"], [], reg_models=["nope"])
