@@ -160,7 +160,7 @@ def _hits(docs: DataFrame, benchmark: DataFrame, contained: float, consistent: f
     lengths = sorted({r.length for r in items.select("length").distinct().collect()}) or [WINDOW]  # five at most
     found = write_stage(_candidates(docs, items, lengths, contained), "template_matches")
     texts = docs.select(text_digest("text").alias("digest"), "text") \
-        .join(found.select("digest").distinct(), "digest", "left_semi").dropDuplicates(["digest"]) \
+        .join(found.select("digest").distinct().hint("merge"), "digest", "left_semi").dropDuplicates(["digest"]) \
         .select("digest", template(F.col("text"), True).alias("c"))
     placed = write_stage(_placed(texts, lengths).join(items.select("names", "window").distinct(), ["names", "window"],
                                                       "left_semi").drop("length"), "text_windows")

@@ -339,3 +339,20 @@ def test_pipeline_stages(spark):
     assert 0 < len(rows) <= 3 * n
     sizes = Counter(r.shard for r in rows)
     assert max(sizes.values()) - min(sizes.values()) <= 1
+
+
+def test_texts_of_candidates_are_joined_by_one_plan(spark, monkeypatch):
+    """No broadcast of the candidates' digests, which grow with the documents."""
+    from pitpanel.llm import decontamination as D
+    plans, write = {}, D.write_stage
+
+    def recorded(df, name, *args):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name, *args)
+
+    monkeypatch.setattr(D, "write_stage", recorded)
+    item = "a train leaves the old station at 9 and reaches the far coast after 40 minutes of travel"
+    docs = spark.createDataFrame([(1, "so " + item), (2, "nothing of the kind is here at all")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in D.decontaminate(docs, bench).collect()] == [(1, 7)]
+    assert any("SortMergeJoin [digest" in line and "LeftSemi" in line for line in plans["text_windows"].splitlines())
