@@ -30,6 +30,7 @@ from collections import deque
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,11 +66,55 @@ def _byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(rest)}
 
 
+class _Numbers(dict):
+    """Numbers keys in the order of their first look-up; ``new`` has those not yet learnt."""
+
+    def __init__(self) -> None:
+        self.new: list[bytes] = []
+
+    def __missing__(self, key: bytes) -> int:
+        n = self[key] = len(self)
+        self.new.append(key)
+        return n
+
+    def take(self) -> list[bytes]:
+        new, self.new = self.new, []
+        return new
+
+
+def _latin(text: str) -> str | None:
+    """``text`` as the tokenizer normalises it, if it is a word of Latin letters."""
+    lower = text if text.isascii() else unicodedata.normalize("NFC", text)
+    lower = lower.lower()
+    return lower if lower.isalpha() and (lower.isascii() or max(lower) < "\u0250") else None
+
+
+class _Rows:
+    """An array that grows at its end."""
+
+    def __init__(self, shape: tuple[int, ...], dtype) -> None:
+        self.n, self.room = 0, np.empty((1024, *shape), dtype)
+
+    def add(self, rows: np.ndarray) -> None:
+        need = self.n + len(rows)
+        if need > len(self.room):
+            room = np.empty((max(need, 2 * len(self.room)), *self.room.shape[1:]), self.room.dtype)
+            room[:self.n] = self.all
+            self.room = room
+        self.room[self.n:need] = rows
+        self.n = need
+
+    @property
+    def all(self) -> np.ndarray:
+        return self.room[:self.n]
+
+
 class Ids:
     """Token ids of whole texts.  White space separates tokens, so each stretch
-    between ASCII white space is encoded once and remembered.  Of a stretch,
-    punctuation after a letter or digit is a group of its own, and a word of
-    Latin letters needs no rule but lower case: it goes to the model directly."""
+    between ASCII white space is encoded once and remembered; Arrow splits the
+    texts and numbers their distinct stretches, and only those are looked up.  Of
+    a stretch, punctuation after a letter or digit is a group of its own, and a
+    word of Latin letters needs no rule but lower case: it goes to the model directly."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -80,29 +125,30 @@ class Ids:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}           # stretch -> row of pairs
-        self.pairs = np.empty((0, 2), np.int64)     # its two groups; 0 is the empty one
-        self.groups: dict[bytes, int] = {b"": 0}    # group -> place in spans
-        self.spans = np.zeros((1, 2), np.int64)     # its ids in flat
-        self.flat = np.empty(0, self.dtype)
+        self.known = _Numbers()                     # stretch -> row of pairs
+        self.pairs = _Rows((2,), np.int32)          # its two groups; 0 is the empty one
+        self.stops = _Rows((), bool)                # whether it ends a sentence
+        self.groups = _Numbers()                    # group -> place in spans
+        self.groups[b""] = 0
+        self.spans = _Rows((2,), np.int64)          # its ids in flat
+        self.spans.add(np.zeros((1, 2)))
+        self.flat = _Rows((), self.dtype)
 
     def _learn_groups(self, groups: list[bytes]) -> None:
         ids, sizes = [], []
+        tokenize, encode = self.model.tokenize, self.tokenizer.encode
         for group in groups:
             text = group.decode()
-            lower = text if text.isascii() else unicodedata.normalize("NFC", text).lower()
-            if lower.isalpha() and (lower.isascii() or max(lower) < "\u0250"):
-                lower = lower.lower()
+            if lower := _latin(text):
                 symbols = lower if lower.isascii() else lower.encode().decode("latin-1").translate(self.alphabet)
-                found = [t.id for t in self.model.tokenize(symbols)]
+                found = [t.id for t in tokenize(symbols)]
             else:
-                found = self.tokenizer.encode(text, add_special_tokens=False).ids
+                found = encode(text, add_special_tokens=False).ids
             ids += found
             sizes.append(len(found))
-            self.groups[group] = len(self.groups)
-        ends = len(self.flat) + np.cumsum(np.array(sizes, np.int64))
-        self.spans = np.concatenate([self.spans, np.column_stack([ends - sizes, ends])])
-        self.flat = np.concatenate([self.flat, np.array(ids, self.dtype)])
+        ends = self.flat.n + np.cumsum(np.array(sizes, np.int64))
+        self.spans.add(np.column_stack([ends - sizes, ends]))
+        self.flat.add(np.array(ids, self.dtype))
 
     def _learn(self, stretches: list[bytes]) -> None:
         split = []
@@ -110,41 +156,52 @@ class Ids:
             body = chunk.rstrip(b".,;:!?")
             if body != chunk and body[-1:].isalnum():
                 split += (body.lower() if body.isalpha() else body, chunk[len(body):])
+            elif body != chunk and body[-1:] >= b"\x80" and (lower := _latin(body.decode())):
+                split += (lower.encode(), chunk[len(body):])
             else:
                 split += (chunk.lower() if chunk.isalpha() else chunk, b"")
-        self._learn_groups([g for g in dict.fromkeys(split) if g not in self.groups])
-        self.known.update(zip(stretches, range(len(self.pairs), len(self.pairs) + len(stretches))))
-        codes = np.fromiter(map(self.groups.__getitem__, split), np.int64, len(split))
-        self.pairs = np.concatenate([self.pairs, codes.reshape(-1, 2)])
+        codes = np.fromiter(map(self.groups.__getitem__, split), np.int32, len(split))
+        self._learn_groups(self.groups.take())
+        self.pairs.add(codes.reshape(-1, 2))
+        self.stops.add(np.fromiter((c[-1:] in (b".", b"!", b"?") for c in stretches), bool, len(stretches)))
+
+    def _taken(self, spans: np.ndarray) -> np.ndarray:
+        """The ids of spans of ``flat``, one after the other."""
+        sizes = spans[:, 1] - spans[:, 0]
+        ends = np.cumsum(sizes)
+        return self.flat.all[np.repeat(spans[:, 0] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
 
     def encode(self, texts: list[bytes | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Per text its ids with the end token, and the places after sentence ends."""
         if len(self.known) > CACHE:
             self._forget()
-        end = np.array([END_ID], self.dtype)
         special = [bool(t) and b"<|" in t for t in texts]  # may hold the name of a special token
-        per_text = [[] if s or not t else t.split() for t, s in zip(texts, special)]
-        chunks = [c for cs in per_text for c in cs]
-        new = [c for c in dict.fromkeys(chunks) if c not in self.known]
-        if new:
-            self._learn(new)
-        codes = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
-        spans = self.spans[self.pairs[codes].ravel()]
-        sizes = spans[:, 1] - spans[:, 0]
+        split = pc.ascii_split_whitespace(pa.array([b"" if s or not t else t for t, s in zip(texts, special)], pa.large_string()))
+        words = split.flatten().dictionary_encode()
+        stretches = words.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        codes = np.fromiter(map(self.known.__getitem__, stretches), np.int32, len(stretches))
+        if self.known.new:
+            self._learn(self.known.take())
+        # the ids of the distinct stretches, then those of all words
+        spans = self.spans.all[self.pairs.all[codes].ravel()]
+        flat, ends = self._taken(spans), np.cumsum((spans[:, 1] - spans[:, 0]).reshape(-1, 2).sum(1))
+        stops, at = self.stops.all[codes], words.indices.to_numpy()
+        starts = np.concatenate([[0], ends[:-1]])[:len(ends)]
+        sizes = (ends - starts)[at]
         ends = np.cumsum(sizes)
-        ids = self.flat[np.repeat(spans[:, 0] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
-        ends = ends[1::2]
-        stop = np.fromiter((c[-1] in b".!?" for c in chunks), bool, len(chunks))
-        out, first = [], 0
-        for text, cs, plain in zip(texts, per_text, special):
-            if plain:
-                whole = self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
-                out.append((np.array([*whole, END_ID], self.dtype), np.empty(0, np.int32)))
-                continue
-            last = first + len(cs)
-            low, high = (ends[first - 1] if first else 0), (ends[last - 1] if last else 0)
-            out.append((np.concatenate([ids[low:high], end]), (ends[first:last][stop[first:last]] - low).astype(np.int32)))
-            first = last
+        ids = flat[np.repeat(starts[at] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        after = ends[stop := np.flatnonzero(stops[at])]
+        bounds = split.offsets.to_numpy()
+        lows = np.concatenate([[0], ends])[bounds]
+        marks = np.searchsorted(stop, bounds)
+        end, out = np.array([END_ID], self.dtype), []
+        for i, (text, whole) in enumerate(zip(texts, special)):
+            if whole:
+                found = self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
+                out.append((np.array([*found, END_ID], self.dtype), np.empty(0, np.int32)))
+            else:
+                out.append((np.concatenate([ids[lows[i]:lows[i + 1]], end]),
+                            (after[marks[i]:marks[i + 1]] - lows[i]).astype(np.int32)))
         return out
 
 

@@ -244,3 +244,25 @@ def test_packing_wastes_little(spark):
     df = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     sizes = [sum(n for _, n in s) for s in check_pieces([tuple(r) for r in df.collect()], packing.pack(df).collect()).values()]
     assert sum(0 if n & (n - 1) == 0 else 2048 - n for n in sizes) < 0.01 * sum(sizes)
+
+
+def test_words_are_looked_up_once_a_batch():
+    """Repeated words cost no look-up each; odd white space, empty and null texts keep their ids."""
+    ids = packing.Ids(packing.default_tokenizer())
+
+    class Counting(type(ids.known)):
+        asked = 0
+
+        def __getitem__(self, key):
+            Counting.asked += 1
+            return super().__getitem__(key)
+
+    ids.known = Counting()
+    texts = [b"Word, other.\x0b\x1cword " * 2000, b"", None, b" \t\n", b"\xc2\xa0word\x0cother.",
+             "R\u00e9. r\u00c9, re\u0301! \u0130. \u00bb. a\u0301\u0338? \u01c6: \u00aa. \u00b2. \u0416. \u00e9\u0307.".encode()]
+    got = ids.encode(texts)
+    assert Counting.asked <= 17
+    for text, (found, stops) in zip(texts, got):
+        whole = ids.tokenizer.encode((text or b"").decode(), add_special_tokens=False).ids
+        assert found.tolist() == [*whole, packing.END_ID]
+    assert [len(s) for _, s in got][:5] == [2000, 0, 0, 0, 1]
