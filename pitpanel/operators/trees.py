@@ -401,16 +401,15 @@ def fit_trees(rows: DataFrame, specs: list[Spec], local_bytes: int = LOCAL_BYTES
     small = {s for s, r in sizes.items() if r["n"] * (r["bytes"] + 24) <= local_bytes}
     local = [s for s in specs if s.rows in small]
     if local:
-        work = spark.createDataFrame(
-            [(s.rows, s.key, first, float(out[s.key]["base"])) for s in local
-             for first in range(0, s.trees, s.trees if s.kind == "boosting" else TREE_BLOCK)],
-            "rows int, key string, first int, base double")
+        # boosting, the longest, begins first; each unit of work has a task of its own
+        units = [(s.rows, s.key, first, float(out[s.key]["base"])) for s in sorted(local, key=lambda s: s.kind != "boosting")
+                 for first in range(0, s.trees, s.trees if s.kind == "boosting" else TREE_BLOCK)]
+        work = spark.createDataFrame([(*u, k) for k, u in enumerate(units)],
+                                     "rows int, key string, first int, base double, unit int")
         packed = rows.where(F.col("rows").isin(sorted(small))).groupBy("rows").applyInArrow(
             _pack, "rows int, bins binary, y binary, w binary, row binary")
         shared = spark.sparkContext.broadcast(cloudpickle.dumps(local))
-        # models differ in cost, so there are several tasks for each core
-        n_tasks = 8 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        done = work.join(packed, "rows").repartition(n_tasks, "key", "first") \
+        done = work.join(packed, "rows").repartitionById(len(units), "unit") \
             .mapInArrow(_local(shared, scales, widths), "key string, first int, done binary")
         for r in sorted(done.collect(), key=lambda r: r["first"]):
             out[r["key"]]["trees"] += pickle.loads(r["done"])

@@ -207,3 +207,18 @@ def test_scoring_deals_models_over_bounded_passes(spark, monkeypatch):
     for limit in (2000, 1):
         np.testing.assert_allclose(got[limit][0].y_pred, whole.y_pred, rtol=1e-12)
     np.testing.assert_allclose(whole[whole.key == "0/a/ridge"].y_pred, 15.0)
+
+
+def test_each_unit_of_work_has_one_task(spark, monkeypatch):
+    rows, *_ = tree_rows(spark, n=60)
+    specs = [trees.Spec(f"f{k}", 0, "forest", (0, 1), trees=60, max_leaves=None, min_leaf=5) for k in range(2)] + SPECS[:1]
+    sizes, whole = [], type(rows).mapInArrow
+
+    def spy(self, func, schema, *args):
+        if "done" in str(schema):
+            sizes.extend(self.rdd.glom().map(len).collect())
+        return whole(self, func, schema, *args)
+    monkeypatch.setattr(type(rows), "mapInArrow", spy)
+    got = trees.fit_trees(rows, specs)
+    assert sizes == [1] * 7  # three blocks of trees for each forest, boosting whole
+    assert [len(got[s.key]["trees"]) for s in specs] == [60, 60, 5]
