@@ -41,6 +41,9 @@ NODES_PER_PASS = 4096
 TREE_BLOCK = 25
 #: Boosted trees are added to the stored margins after so many rounds.
 REFRESH = 10
+#: Rows of the nodes whose splits are searched at once, and of such a node.
+SPLIT_ROWS = 4096
+FEW_ROWS = 96
 
 _P = (1 << 31) - 1
 #: Cumulative Poisson(1) probabilities: a row's count in a bootstrap sample.
@@ -142,6 +145,9 @@ class Tree:
 
     def chosen(self, spec: Spec) -> tuple[set[int], list[int]]:
         """Nodes that best-first growth splits, and nodes it needs to know."""
+        if spec.max_leaves is None:  # all that gain are split, in any order
+            return ({k for k, gain in self.best.items() if gain is not None},
+                    [k for k in range(len(self.feature)) if k not in self.best])
         if 0 not in self.best:
             return set(), [0]
         heap = [(-self.best[0], 0)] if self.best[0] is not None else []
@@ -230,11 +236,62 @@ def best_sorted_split(bins: np.ndarray, g, h, n, features: list[int], min_leaf:
     return (features[k], int(x[k, j]), (gl[i], hl[i], nl[i]), (gr[i], hr[i], totals[2] - nl[i]), won), totals
 
 
+def best_sorted_splits(bins: np.ndarray, g, h, n, rows: list[np.ndarray], features: np.ndarray,
+                       min_leaf: int) -> list[tuple]:
+    """``best_sorted_split`` of many nodes side by side: their ``rows`` sorted
+    by each of the node's ``features`` (node x feature)."""
+    sizes = np.array([len(r) for r in rows])
+    at, node = np.concatenate(rows), np.repeat(np.arange(len(rows)), sizes)
+    ends = np.cumsum(sizes)
+    starts, size = ends - sizes, len(at)
+    x = bins[at, features[node].T]
+    order = np.argsort(x, 1, kind="stable")
+    by_node = np.argsort(node.astype(np.uint16)[order], 1, kind="stable")
+    line = np.arange(len(x))[:, None]
+    order = order[line, by_node]
+    x = x[line, order]
+    same = h is n
+    sums = []
+    for v in (g, h) if same else (g, h, n):
+        low = np.cumsum(v[at][order], 1)
+        before = np.where(starts > 0, low[0, starts - 1], 0.0)
+        sums.append((low - before[node], low[0, ends - 1] - before))
+    if same:
+        sums.append(sums[1])
+    (gl, tg), (hl, th), (nl, tn) = sums
+    hr, nr = th[node] - hl, tn[node] - nl
+    ok = np.zeros(x.shape, bool)
+    ok[:, :-1] = x[:, 1:] != x[:, :-1]
+    ok[:, ends - 1] = False
+    ok &= (nl >= min_leaf) & (nr >= min_leaf) & (hl > 0) & (hr > 0)
+    i = np.flatnonzero(ok)
+    gl_, hl_, hr_ = gl.ravel()[i], hl.ravel()[i], hr.ravel()[i]
+    gain = np.full(ok.shape, -np.inf)
+    gain.ravel()[i] = gl_ ** 2 / hl_ + (tg[node][i % size] - gl_) ** 2 / hr_
+    most = np.maximum.reduceat(gain, starts, 1)
+    chosen = most.argmax(0)  # of equal gains the first feature and the lowest bin
+    out = []
+    for k, f in enumerate(chosen.tolist()):
+        totals = (tg[k], th[k], tn[k])
+        top = most[f, k]
+        before = totals[0] ** 2 / totals[1] if totals[1] else 0.0
+        won = float(top - before)
+        if top == -np.inf or won <= 1e-12 * before:  # no split, pure, or nothing to gain
+            out.append((None, totals))
+            continue
+        j = starts[k] + int(gain[f, starts[k]:ends[k]].argmax())
+        low = (gl[f, j], hl[f, j], nl[f, j])
+        out.append(((int(features[k, f]), int(x[f, j]), low,
+                     (totals[0] - low[0], hr[f, j], nr[f, j]), won), totals))
+    return out
+
+
 def histograms(bins: np.ndarray, g, h, n, features: list[int], width: int) -> np.ndarray:
     """(3, feature, bin) sums of the rows."""
     key = (bins[:, features].astype(np.int64) + np.arange(len(features)) * width).ravel()
     size, m = len(features) * width, len(features)
-    return np.stack([np.bincount(key, np.repeat(v, m), size).reshape(m, width) for v in (g, h, n)])
+    sums = [np.bincount(key, np.repeat(v, m), size).reshape(m, width) for v in ((g, h) if h is n else (g, h, n))]
+    return np.stack(sums if len(sums) == 3 else [*sums, sums[1]])
 
 
 def to_scale(limit: float) -> float:
@@ -245,11 +302,28 @@ def to_scale(limit: float) -> float:
 def row_values(spec: Spec, tree: int, y, w, row, margin, scale):
     """g, h and n of the rows on the fixed scale."""
     if spec.kind == "boosting":
-        return np.round((y - margin) * scale), np.ones(len(y)), np.ones(len(y))
+        ones = np.ones(len(y))
+        return np.round((y - margin) * scale), ones, ones
     times = bootstrap_counts(row, spec.seed, tree) if spec.bootstrap else np.ones(len(y))
     return np.round(y * w * scale) * times, np.round(w * scale) * times, (times > 0).astype(float)
 
 
+def _small_splits(bins, g, h, n, work: list[tuple], min_leaf: int) -> dict:
+    """First tries of small nodes ``work`` (node, rows, features), in blocks of
+    about ``SPLIT_ROWS`` rows; nodes have equally many features to try."""
+    out, at = {}, 0
+    while at < len(work):
+        end, size = at, 0
+        while end < len(work) and (end == at or size + len(work[end][1]) <= SPLIT_ROWS):
+            size += len(work[end][1])
+            end += 1
+        if end > at + 1:
+            nodes, rows, features = zip(*work[at:end])
+            out.update(zip(nodes, best_sorted_splits(bins, g, h, n, rows, np.array(features), min_leaf)))
+        at = end
+    return out
+
+
 def grow(tree: Tree, spec: Spec, number: int, bins, g, h, n, width: int) -> None:
     """Grow one tree over rows in memory."""
     rows = {0: np.flatnonzero(n > 0)}
@@ -257,17 +331,21 @@ def grow(tree: Tree, spec: Spec, number: int, bins, g, h, n, width: int) -> None
         _, unknown = tree.chosen(spec)
         if not unknown:
             return
+        small = _small_splits(bins, g, h, n, [(k, rows[k], tree.to_try(k, spec, number)) for k in unknown
+                                              if 0 < len(rows[k]) < min(FEW_ROWS, width)], spec.min_leaf)
         for node in unknown:
             at = rows[node]
             while node not in tree.best:
-                features = tree.to_try(node, spec, number)
-                again, mine = node in tree.tried, (bins[at], g[at], h[at], n[at])
+                features, again = tree.to_try(node, spec, number), node in tree.tried
                 if len(at) == 0:
                     found, totals = None, (0.0, 0.0, 0.0)
                 elif len(at) < width:
-                    found, totals = best_sorted_split(*mine, features, spec.min_leaf, again)
+                    found, totals = small.pop(node, None) or best_sorted_split(
+                        bins[at], g[at], h[at], n[at], features, spec.min_leaf, again)
                 else:
-                    found, totals = best_split(*histograms(*mine, features, width), features, spec.min_leaf, again)
+                    gs, hs = g[at], h[at]
+                    sums = histograms(bins[at], gs, hs, hs if h is n else n[at], features, width)
+                    found, totals = best_split(*sums, features, spec.min_leaf, again)
                 tree.receive(node, spec, number, found, totals)
             if tree.best[node] is not None:
                 low = bins[at, tree.feature[node]] <= tree.bin[node]

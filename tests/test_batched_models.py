@@ -185,6 +185,34 @@ def test_sorted_rows_split_as_histograms_do(rows):
             assert trees.best_sorted_split(x, g, h, n, features, 1, first_only) == want
 
 
+def test_many_nodes_split_as_each_does():
+    rng = np.random.default_rng(5)
+    for classes in (False, True):
+        x = rng.integers(0, 6, (300, 5)).astype(np.uint16)
+        g, h, n = rng.integers(0 if classes else -50, 2 if classes else 50, 300) * 1.0, rng.integers(1, 4, 300) * 1.0, np.ones(300)
+        rows = np.split(rng.permutation(300), np.sort(rng.choice(np.arange(1, 300), 60, replace=False)))
+        features = np.array([rng.permutation(5)[:3] for _ in rows])
+        got = trees.best_sorted_splits(x, g, h, n, rows, features, 2)
+        for at, f, found in zip(rows, features.tolist(), got):
+            assert found == trees.best_sorted_split(x[at], g[at], h[at], n[at], f, 2, False)
+
+
+@pytest.mark.parametrize("spec", SPECS[2:])
+def test_forests_search_many_nodes_at_once(spec, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 12, (400, 5)).astype(np.uint16)
+    y = (x[:, 0] + rng.integers(0, 9, 400) > 9) * 1.0
+    fit = lambda: trees.fit_local(spec, range(3), x, y, np.ones(400), np.arange(400), 0.0, 2.0**20, 64)
+    calls, many = [], trees.best_sorted_splits
+    monkeypatch.setattr(trees, "best_sorted_splits", lambda *a: calls.append(len(a[4])) or many(*a))
+    got = fit()
+    assert max(calls) > 3
+    monkeypatch.setattr(trees, "FEW_ROWS", 0)  # every node on its own
+    for a, b in zip(got, fit()):
+        for k in a:
+            np.testing.assert_array_equal(a[k], b[k])
+
+
 def test_scoring_deals_models_over_bounded_passes(spark, monkeypatch):
     rows, x, y, label = tree_rows(spark, n=60)
     fitted = trees.fit_trees(rows, [trees.Spec("0/a/boost", 0, "boosting", (0, 1, 2), trees=6),
