@@ -23,11 +23,12 @@ def global_prefix_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Seque
     """Add ``<c>_cum`` = sum of ``c`` over all rows ordered before (and, when
     ``inclusive``, including) each row, ties broken by ``order_cols`` only
     (rows with equal keys must be pre-aggregated by the caller)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Without a number, adaptive execution joins ranges of few rows: small tables
+    # do not pay for a task in each of the session's shuffle partitions.
+    ranges = [num_partitions, *order_cols] if num_partitions else order_cols
     # The ranges are sampled, so the partitioned rows are written once: both
     # branches below must see the same range ids whatever the optimiser reuses.
-    part = cut_lineage(df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id()))
+    part = cut_lineage(df.repartitionByRange(*ranges).withColumn("_pid", F.spark_partition_id()))
     # Offsets: sum over all earlier partitions.  One row per partition.
     totals = part.groupBy("_pid").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
     wo = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

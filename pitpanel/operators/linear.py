@@ -70,10 +70,12 @@ def design_columns(train: DataFrame, set_col: str, numeric: Sequence[str], categ
                 F.avg("value").alias("mean"), F.stddev_pop("value").alias("sd"),
                 F.approx_count_distinct("value", 0.02).alias("distinct"),
                 F.percentile_approx("value", F.array(*[F.lit(p) for p in probs]), 10_000).alias("marks"))
-            few = filled.join(stats.where(F.col("distinct") <= _MANY).select("_set", "feature"), ["_set", "feature"]) \
+            stats = sorted(stats.collect(), key=lambda r: numeric.index(r["feature"]))
+            names = [f"{r['_set']}/{r['feature']}" for r in stats if r["distinct"] <= _MANY]
+            few = filled.where(F.concat_ws("/", "_set", "feature").isin(names)) \
                 .groupBy("_set", "feature").agg(F.collect_set("value").alias("values"))  # about _MANY values at most
-            exact = {(r["_set"], r["feature"]): sorted(r["values"]) for r in few.collect()}
-            for r in sorted(stats.collect(), key=lambda r: numeric.index(r["feature"])):
+            exact = {(r["_set"], r["feature"]): sorted(r["values"]) for r in few.collect()} if names else {}
+            for r in stats:
                 values = exact.get((r["_set"], r["feature"]), [])
                 if not values or len(values) > max_bins + 1:
                     values = sorted(set(r["marks"]))

@@ -54,6 +54,23 @@ def test_prefix_sums(spark):
     assert all(got[k] == counts[:k + 1].sum() for k in range(97))
 
 
+def test_prefix_sums_of_few_rows_take_few_tasks(spark, monkeypatch):
+    from pitpanel.functions import prefix
+    df = spark.range(0, 1000).select((F.col("id") % 97).alias("k"), F.lit(1).alias("c")) \
+        .groupBy("k").agg(F.sum("c").alias("c"))
+    parts, cut = [], prefix.cut_lineage
+    monkeypatch.setattr(prefix, "cut_lineage", lambda df: parts.append(cut(df)) or parts[0])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        got = {r["k"]: r["c_cum"] for r in global_prefix_sums(df, ["k"], ["c"]).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    counts = np.bincount(np.arange(1000) % 97)
+    assert all(got[k] == counts[:k + 1].sum() for k in range(97))
+    assert parts[0].rdd.getNumPartitions() <= 4
+
+
 def test_exact_quantiles_match_numpy(spark):
     rng = np.random.default_rng(3)
     rows = [("a" if i % 3 else "b", float(v)) for i, v in enumerate(rng.integers(0, 20, 301))]
