@@ -64,9 +64,13 @@ def write_stage(df: DataFrame, name: str, bucket_by: str | None = None) -> DataF
 
 
 def drop_stage(stage: DataFrame) -> None:
-    """Remove a stage that nothing reads any more."""
+    """Remove a stage that nothing reads any more.  The driver then collects its
+    garbage: until it does, Spark keeps the shuffle files and broadcasts of the
+    ended plans, and a loop of small jobs makes the heap grow to its limit."""
+    spark = stage.sparkSession
     for path in {f.rsplit("/", 1)[0] for f in stage.inputFiles()}:
-        _drop_folder(stage.sparkSession, path)
+        _drop_folder(spark, path)
+    spark._jvm.java.lang.System.gc()
 
 
 def text_digest(text: Column | str) -> Column:

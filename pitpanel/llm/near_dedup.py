@@ -194,7 +194,7 @@ def near_links(docs: DataFrame, nodes: DataFrame, length: int, percent: int, sid
     unsettled = _mixed(relabel(named, labels[0])).select("node").distinct()
     tokens = _prefix_tokens(unsettled.join(sets, "node"), percent).withColumn("comp", F.col("node"))
     still = Observation()
-    open_ = write_stage(_mixed(relabel(tokens, labels[0])).observe(still, F.count("*").alias("rows")), "open")
+    open_ = write_stage(_led(relabel(tokens, labels[0])).observe(still, F.count("*").alias("rows")), "open")
     drop_stage(members)
     left, last = still.get["rows"], False
     for round_ in range(STAR_ROUNDS + 1):
@@ -215,7 +215,7 @@ def near_links(docs: DataFrame, nodes: DataFrame, length: int, percent: int, sid
             last = True
             continue
         still = Observation()
-        mixed = write_stage(_mixed(relabel(open_.drop("low", "high"), labels[-1]))
+        mixed = write_stage(_led(relabel(open_.drop("low", "high"), labels[-1]))
                             .observe(still, F.count("*").alias("rows")), "open")
         drop_stage(open_)
         open_, left = mixed, still.get["rows"]
@@ -225,10 +225,21 @@ def near_links(docs: DataFrame, nodes: DataFrame, length: int, percent: int, sid
 
 
 def _mixed(named: DataFrame) -> DataFrame:
-    """Members (table, node, comp, ...) of tables with more than one component,
-    with the table's lowest and highest one."""
+    """Members (table, node, comp, ...) of tables with more than one component."""
     mixed = named.groupBy("table").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-    return named.join(mixed, "table")
+    return named.join(mixed.select("table"), "table")
+
+
+def _led(named: DataFrame) -> DataFrame:
+    """As :func:`_mixed`, with the leads of the table's stars: ``low``, the last
+    member of its lowest component, and ``high``, the first of its highest
+    (both structs of node and comp).  One aggregate finds components and
+    leads, so a round of stars needs no shuffle to form its pairs."""
+    member = F.struct("comp", (-F.col("node")).alias("back"))
+    mixed = named.groupBy("table").agg(F.min(member).alias("l"), F.max(member).alias("h")).where("l.comp < h.comp")
+    lead = [F.struct((-F.col(f"{x}.back")).alias("node"), F.col(f"{x}.comp").alias("comp")).alias(name)
+            for x, name in (("l", "low"), ("h", "high"))]
+    return named.join(mixed.select("table", *lead), "table")
 
 
 def _prefix_tokens(sets: DataFrame, percent: int) -> DataFrame:
@@ -256,15 +267,8 @@ def _pair(one: Column, other: Column) -> list[Column]:
 def _stars(open_: DataFrame) -> DataFrame:
     """Pairs (a, b, ca, cb) of a member of the lowest and one of the highest
     component of each table with the members of its other components."""
-    leads = open_.groupBy("table").agg(
-        F.max(F.when(F.col("comp") == F.col("low"), F.col("node"))).alias("l"),
-        F.min(F.when(F.col("comp") == F.col("high"), F.col("node"))).alias("h"))
-    stars = open_.join(leads, "table")
-    member = F.struct("node", "comp")
-    low = F.struct(F.col("l").alias("node"), F.col("low").alias("comp"))
-    high = F.struct(F.col("h").alias("node"), F.col("high").alias("comp"))
-    return stars.where("comp <> low").select(*_pair(low, member)) \
-        .union(stars.where("comp <> high").select(*_pair(high, member)))
+    rows = open_.select(F.struct("node", "comp").alias("member"), F.explode(F.array("low", "high")).alias("lead"))
+    return rows.where("member.comp <> lead.comp").select(*_pair(F.col("lead"), F.col("member")))
 
 
 def _rest(open_: DataFrame, percent: int) -> DataFrame:

@@ -11,7 +11,7 @@ import pytest
 from pitpanel.llm import (
     decontamination, language_id, licenses, mixing, near_dedup, pii, sharding, substring_dedup, toxicity)
 from pitpanel.llm import catalog
-from pitpanel.llm.common import window_hashes, word_hashes
+from pitpanel.llm.common import drop_stage, window_hashes, word_hashes, write_stage
 
 SF = "/root/testdata/sf0.001"
 SF_LABELS = "/root/testdata/sf0.01"
@@ -93,6 +93,22 @@ def test_parity_sketches_never_overstate_a_difference():
         assert (ones == 0) == (n + m == 2 * shared)
 
 
+def test_stars_need_no_shuffle_of_their_own(spark):
+    rows = [("t", 1, 1), ("t", 2, 1), ("t", 5, 5), ("t", 7, 7), ("t", 8, 7), ("u", 1, 1), ("u", 2, 1)]
+    open_ = write_stage(near_dedup._led(spark.createDataFrame(rows, "table string, node long, comp long")), "open")
+    stars = near_dedup._stars(open_)
+    assert "Exchange" not in stars._jdf.queryExecution().executedPlan().toString()
+    low, high = [(2, 5, 1, 5), (2, 7, 1, 7), (2, 8, 1, 7)], [(1, 7, 1, 7), (2, 7, 1, 7), (5, 7, 5, 7)]
+    assert sorted(map(tuple, stars.collect())) == sorted(low + high)
+
+
+def test_dropping_a_stage_collects_the_drivers_garbage(spark):
+    stage = write_stage(spark.range(3), "few")
+    left = spark._jvm.java.lang.ref.WeakReference("nothing but this reference has the Java copy")
+    drop_stage(stage)
+    assert left.get() is None
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r.node: r.comp for r in near_dedup.components(edges).collect()}
