@@ -12,8 +12,15 @@ language, the best bounds of the frontier: it counts all extensions of those
 phrases by one word to either side.  The right ones are the growth; both sides
 together settle whether a longer phrase swallows the expanded one.  Three-word
 parts that the score of a four-word phrase lacks are asked for in the same
-pass.  The ``top``-th best settled score of a language only rises; a language
-is done when no bound of its frontier reaches it (ties included).
+pass.  Phrases are ordered by (score, count) and prefixes by (bound, count), as a
+phrase that reaches the bound of its prefix has no higher count.  The ``top``-th
+best settled phrase of a language only rises; a language is done when no prefix
+of its frontier reaches it (ties included), and what does not reach it is dropped.
+
+A pass counts keys: the 64-bit hashes of the language and of each word, packed
+into sorted runs, so Spark moves a few large values instead of a row for each
+phrase.  Words and languages travel with their keys; if two of them share a
+hash, all is done again with other hashes, so a key is a phrase.
 
 What a pass looks for is sent to the tasks as at most ``LIMIT`` hashes; a larger
 round is dealt over several passes.  A hash that matches another phrase by
@@ -35,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitpanel.llm.common import drop_stage, text_batches, window_hashes, word_hashes, write_stage
+from pitpanel.llm.common import drop_stage, mix64, text_batches, word_hashes, write_stage
 
 TOP = 2000
 MIN_COUNT = 30
@@ -43,105 +50,229 @@ MAX_WORDS = 4
 #: Phrases that one pass looks for; the tasks get their hashes (8 bytes each).
 LIMIT = 1 << 18
 
+#: Rows of keys that a task holds until they are sorted and summed.
+RUN = 1 << 20
+
 _BREAK = b"\xff"  # in no UTF-8 text
 _UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(_UPPER + _ENDS, _UPPER.lower() + _BREAK * len(_ENDS))
-_COUNTS = "lang string, gram string, m int, f long"
 
 
 # ------------------------------------------------------------ inside tasks
-def tokens(text: bytes | None) -> list[bytes]:
-    """Words of a text, with a break after each piece."""
-    return ((text or b"").translate(_TABLE) + _BREAK).replace(_BREAK, b" \xff ").split()
+def seeded_hashes(words: list[bytes], seed: int) -> np.ndarray:
+    return word_hashes([b"%d " % seed + w for w in words] if seed else words)
+
+
+def phrase_hashes(columns) -> np.ndarray:
+    """Hashes of phrases: a column for the language and one for each word."""
+    h = mix64(columns[0])
+    for c in columns[1:]:
+        h = _longer(h, c)
+    return h
+
 
+def _longer(h: np.ndarray, word: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix64(h * np.uint64(0x9FB21C651E98DF25) + word)
+
+
+def split_words(texts: list[bytes | None]) -> tuple[pa.BinaryArray, np.ndarray]:
+    """Words of the texts, with a break after each piece, and their number by text."""
+    texts = [t or b"" for t in texts]
+    raw = np.frombuffer((_BREAK.join(texts) + _BREAK).translate(_TABLE), np.uint8)
+    stays, ends = (raw != 0x20) & (raw != 0x09), raw == _BREAK[0]
+    first = stays & ends
+    first[0] = stays[0]
+    first[1:] |= stays[1:] & (~stays[:-1] | ends[:-1])
+    body = raw[stays]
+    offsets = np.append(np.flatnonzero(first[stays]), len(body)).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(body)])
+    until = np.searchsorted(np.flatnonzero(first), np.cumsum([len(t) + 1 for t in texts]))
+    return words, np.diff(until, prepend=0).astype(np.int32)
 
-def _tokenised(batches):
+
+def _tokenised(hashed, seed: int):
     """One row for each slice of texts: its distinct words, their hashes, and
     codes of the words, text after text."""
-    for batch, texts in text_batches(batches):
-        if not any(texts):
-            continue
-        per_text = [tokens(t) for t in texts]
-        codes = pa.array([w for ws in per_text for w in ws], pa.binary()).dictionary_encode()
-        of_lang = pa.array(batch.column("lang").to_pylist(), pa.string()).dictionary_encode()
-        words = codes.dictionary.to_pylist()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([of_lang.dictionary.to_pylist()], pa.list_(pa.string())),
-             *(pa.array([x], pa.binary()) for x in (
-                 of_lang.indices.to_numpy().astype(np.int32).tobytes(), np.array([len(ws) for ws in per_text], np.int32).tobytes(),
-                 b"\n".join(words), word_hashes(words).tobytes(), codes.indices.to_numpy().astype(np.int32).tobytes()))],
-            ["langs", "text_lang", "text_words", "words", "hashes", "ids"])
+
+    def run(batches):
+        for batch, texts in text_batches(batches):
+            if not any(texts):
+                continue
+            found, per_text = split_words(texts)
+            codes = found.dictionary_encode()
+            of_lang = pa.array(batch.column("lang").to_pylist(), pa.string()).dictionary_encode()
+            langs, text = of_lang.dictionary.to_pylist(), pc.binary_join(
+                pa.ListArray.from_arrays([0, len(codes.dictionary)], codes.dictionary), b"\n")[0].as_py()
+            words = text.split(b"\n")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([langs], pa.list_(pa.string())), pa.array([words.index(_BREAK)], pa.int32()),
+                 *(pa.array([x], pa.binary()) for x in (
+                     hashed([x.encode() for x in langs], seed).tobytes(), of_lang.indices.to_numpy().astype(np.int32).tobytes(),
+                     per_text.tobytes(), text, hashed(words, seed).tobytes(),
+                     codes.indices.to_numpy().astype(np.int32).tobytes()))],
+                ["langs", "break_id", "lang_hashes", "text_lang", "text_words", "words", "hashes", "ids"])
+
+    return run
 
 
-_TOKENS = "langs array<string>, text_lang binary, text_words binary, words binary, hashes binary, ids binary"
-#: Slices handed to a task at once (each about as large as its text).
-_SLICES_PER_BATCH = 4
+_TOKENS = "langs array<string>, break_id int, lang_hashes binary, text_lang binary, text_words binary, words binary, " \
+          "hashes binary, ids binary"
+#: What a pass reads that needs no words.
+_CODES = ["break_id", "lang_hashes", "text_lang", "text_words", "hashes", "ids"]
+#: Slices that Parquet's reader holds at once (each about as large as its text),
+#: and bytes handed to a task at once.
+_SLICES_PER_BATCH, _BATCH_BYTES = 4, 1 << 23
 
 
 class _Slice:
     """The words of a slice of texts as codes."""
 
-    def __init__(self, row: dict) -> None:
-        words = row["words"].split(b"\n")
-        self.words = pa.array(words, pa.binary())
-        self.ids = np.frombuffer(row["ids"], np.int32).astype(np.int64)
-        self.word_hash = np.frombuffer(row["hashes"], np.uint64)
-        self.langs = pa.array(row["langs"], pa.string())
-        self.lang = np.repeat(np.frombuffer(row["text_lang"], np.int32).astype(np.int64), np.frombuffer(row["text_words"], np.int32))
-        self.word = self.ids != words.index(_BREAK)
+    def __init__(self, batch: pa.RecordBatch, k: int) -> None:
+        of = lambda name, kind: np.frombuffer(batch.column(name)[k].as_buffer(), kind)
+        self.ids = of("ids", np.int32)
+        self.word_hash, self.lang_hash = of("hashes", np.uint64), of("lang_hashes", np.uint64)
+        self.lang = np.repeat(of("text_lang", np.int32), of("text_words", np.int32))
+        self.is_word = self.ids != batch.column("break_id")[k].as_py()
+        self.columns = [self.lang_hash[self.lang], self.word_hash[self.ids]]
 
     def starts(self, m: int) -> np.ndarray:
         """Mask of the positions where ``m`` words stand in one piece."""
         n = max(len(self.ids) - m + 1, 0)
         ok = np.ones(n, bool)
         for k in range(m):
-            ok &= self.word[k:k + n]
+            ok &= self.is_word[k:k + n]
         return ok
 
-    def hashes(self, m: int) -> np.ndarray:
-        h = self.word_hash[self.ids]
-        return phrase_hashes(window_hashes(h, m), word_hashes([x.encode() for x in self.langs.to_pylist()])[
-            self.lang[:max(len(h) - m + 1, 0)]])
-
-    def counted(self, m: int, at: np.ndarray) -> pa.RecordBatch:
-        """Counts of the ``m``-word phrases that start at the positions ``at``."""
-        key = self.lang[at] * len(self.words) + self.ids[at]
-        for k in range(1, m):  # ranks keep the keys of longer phrases in 64 bits
-            key = np.unique(key, return_inverse=True)[1].astype(np.int64) if k > 1 else key
-            key = key * len(self.words) + self.ids[at + k]
-        _, first, n = np.unique(key, return_index=True, return_counts=True)
-        first = at[first]
-        gram = self.words.take(pa.array(self.ids[first]))
-        for k in range(1, m):
-            gram = pc.binary_join_element_wise(gram, self.words.take(pa.array(self.ids[first + k])), b" ")
-        return pa.RecordBatch.from_arrays(
-            [self.langs.take(pa.array(self.lang[first])), gram.cast(pa.string()),
-             pa.array(np.full(len(n), m, np.int32)), pa.array(n.astype(np.int64))], ["lang", "gram", "m", "f"])
-
-    def totals(self) -> pa.RecordBatch:
-        n = np.bincount(self.lang[self.word], minlength=len(self.langs)).astype(np.int64)
-        return pa.RecordBatch.from_arrays(
-            [self.langs, pa.array([""] * len(n), pa.string()), pa.array(np.zeros(len(n), np.int32)), pa.array(n)],
-            ["lang", "gram", "m", "f"])
-
+    def keys(self, m: int, at: np.ndarray) -> np.ndarray:
+        """Keys of the ``m``-word phrases that start at the positions ``at``."""
+        out = np.empty((len(at), m + 1), np.uint64)
+        out[:, 0] = self.columns[0][at]
+        for k in range(m):
+            out[:, k + 1] = self.columns[1][at + k]
+        return out
 
-def phrase_hashes(windows: np.ndarray, langs: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return windows ^ (langs * np.uint64(0x9E3779B97F4A7C15))
+    def each_word(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Language and code of each word, and its count."""
+        key = self.lang.astype(np.int64) * len(self.word_hash) + self.ids
+        key, n = np.unique(key[self.is_word], return_counts=True)
+        return *np.divmod(key, len(self.word_hash)), n
 
 
 def _slices(batches):
     for batch in batches:
         for k in range(batch.num_rows):
-            yield _Slice(batch.slice(k, 1).to_pylist()[0])
+            yield batch, k, _Slice(batch, k)
+
+
+def summed(keys: np.ndarray, f: np.ndarray, names: pa.Array | None):
+    """Distinct keys in the order of their hashes, their sums of ``f``, their
+    names and hashes, and whether a key has two names."""
+    h = phrase_hashes(keys.T)
+    order = np.argsort(h)
+    of = h[order]
+    new = np.append(True, of[1:] != of[:-1])
+    again = np.flatnonzero(~new)
+    if (np.take(keys, order[again], 0) != np.take(keys, order[again - 1], 0)).any():  # other keys with the same hash
+        order = np.lexsort((*keys.T, h))
+        new[1:] = (keys[order[1:]] != keys[order[:-1]]).any(axis=1)
+        again = np.flatnonzero(~new)
+    first, clash = np.flatnonzero(new), False
+    if names is not None:
+        clash = len(again) > 0 and not pc.all(pc.equal(*(names.take(pa.array(order[x])) for x in (again, again - 1)))).as_py()
+        names = names.take(pa.array(order[first]))
+    return np.take(keys, order[first], 0), np.add.reduceat(f[order], first), names, of[first], clash
+
+
+#: The keys of one run whose hashes begin with the bits ``part``; ``m`` is -1
+#: where two words or languages share a hash.
+_RUNS = "m int, part int, keys binary, f binary, names array<binary>"
+_SUMS = "m int, f long, key array<long>, name binary"
+
+
+class _Runs:
+    """Keys of a task, sorted and summed each time ``RUN`` rows have come."""
+
+    def __init__(self, bits: int) -> None:
+        self.bits, self.held = bits, {}
+
+    def add(self, m: int, keys: np.ndarray, f: np.ndarray | None = None, names: pa.Array | None = None):
+        f = np.ones(len(keys), np.int64) if f is None else f.astype(np.int64)
+        for at in range(0, len(keys), RUN):
+            held = self.held.setdefault(m, [])
+            held.append((keys[at:at + RUN], f[at:at + RUN], None if names is None else names[at:at + RUN]))
+            if sum(len(x[0]) for x in held) >= RUN:
+                yield from self.packed(m)
+
+    def rest(self):
+        for m in list(self.held):
+            yield from self.packed(m)
+
+    def packed(self, m: int):
+        keys, f, names = zip(*self.held.pop(m))
+        keys, f, names, h, clash = summed(np.concatenate(keys), np.concatenate(f), pa.concat_arrays(names) if m < 2 else None)
+        part = (h >> np.uint64(64 - self.bits)).astype(np.int32)
+        edges = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part)).astype(np.int32)
+        n = len(edges) - 1
+        binary = lambda x: pa.Array.from_buffers(pa.binary(), n, [
+            None, pa.py_buffer(edges * np.int32(x.nbytes // len(x))), pa.py_buffer(x)])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(n, -1 if clash else m, np.int32)), pa.array(part[edges[:-1]]), binary(keys), binary(f),
+             pa.nulls(n, pa.list_(pa.binary())) if names is None else pa.ListArray.from_arrays(pa.array(edges), names)],
+            ["m", "part", "keys", "f", "names"])
+
+
+def _words_and_pairs(bits: int):
+    def run(batches):
+        runs = _Runs(bits)
+        for batch, k, s in _slices(batches):
+            lang, word, n = s.each_word()
+            names = pa.array(batch.column("words")[k].as_py().split(b"\n"), pa.binary())
+            yield from runs.add(1, np.column_stack([s.lang_hash[lang], s.word_hash[word]]), n, names.take(pa.array(word)))
+            langs = pa.array(batch.column("langs")[k].as_py(), pa.string()).cast(pa.binary())
+            n = np.bincount(s.lang[s.is_word], minlength=len(langs))
+            yield from runs.add(0, s.lang_hash[:, None], n, langs)
+            yield from runs.add(2, s.keys(2, np.flatnonzero(s.starts(2))))
+        yield from runs.rest()
+
+    return run
+
+
+def _sums(min_count: int):
+    """Sums over all runs: keys of ``min_count`` or more, and all languages."""
+
+    def total(m, blobs):
+        if m < 0:
+            return pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([0], pa.int64()),
+                                               pa.array([[]], pa.list_(pa.int64())), pa.nulls(1, pa.binary())], names)
+        keys, f, name = zip(*blobs)
+        keys, f, name, _, clash = summed(np.frombuffer(b"".join(keys), np.uint64).reshape(-1, m + 1),
+                                         np.frombuffer(b"".join(f), np.int64), pa.concat_arrays(name) if m < 2 else None)
+        if clash:
+            return total(-1, None)
+        kept = np.flatnonzero(f >= min_count) if m else np.arange(len(f))
+        flat = pa.array(np.ascontiguousarray(keys[kept]).view(np.int64).ravel())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(kept), m, np.int32)), pa.array(f[kept]),
+             pa.ListArray.from_arrays(pa.array(np.arange(len(kept) + 1, dtype=np.int32) * np.int32(m + 1)), flat),
+             pa.nulls(len(kept), pa.binary()) if name is None else name.take(pa.array(kept))], names)
 
+    names = ["m", "f", "key", "name"]
 
-def _words_and_pairs(batches):
-    for s in _slices(batches):
-        yield s.totals()
-        for m in (1, 2):
-            yield s.counted(m, np.flatnonzero(s.starts(m)))
+    def run(batches):
+        at, blobs = None, []
+        for batch in batches:
+            for k, of in enumerate(zip(batch.column("m").to_pylist(), batch.column("part").to_pylist())):
+                if of != at and blobs:
+                    yield total(at[0], blobs)
+                    blobs = []
+                at = of
+                blobs.append((batch.column("keys")[k].as_py(), batch.column("f")[k].as_py(), batch.column("names")[k].values))
+        if blobs:
+            yield total(at[0], blobs)
+
+    return run
 
 
 class _Hashes:
@@ -163,32 +294,40 @@ class _Hashes:
         return out
 
 
-def _extensions(shared):
+def _extensions(shared, bits: int):
     """Counts of the phrases of three words that extend a sought pair or are
     sought themselves, and of four words that extend a sought phrase of three."""
 
     def run(batches):
-        sought = {k: _Hashes(v) for k, v in shared.value.items()}
-        for s in _slices(batches):
+        sought, runs = {k: _Hashes(v) for k, v in shared.value.items()}, _Runs(bits)
+        for _, _, s in _slices(batches):
             if len(s.ids) < 3:
                 continue
-            pair = sought["pair"].has(s.hashes(2)) & s.starts(2)
-            h3, three = s.hashes(3), s.starts(3)
-            yield s.counted(3, np.flatnonzero(three & (pair[:-1] | pair[1:] | sought["ask"].has(h3))))
+            word = s.columns[1]
+            h2 = _longer(phrase_hashes([s.columns[0], word])[:-1], word[1:])
+            pair, three = sought["pair"].has(h2) & s.starts(2), s.starts(3)
+            h3 = _longer(h2[:-1], word[2:])
+            yield from runs.add(3, s.keys(3, np.flatnonzero(three & (pair[:-1] | pair[1:] | sought["ask"].has(h3)))))
             if len(s.ids) >= 4:
                 triple = sought["triple"].has(h3) & three
-                yield s.counted(4, np.flatnonzero(s.starts(4) & (triple[:-1] | triple[1:])))
+                yield from runs.add(4, s.keys(4, np.flatnonzero(s.starts(4) & (triple[:-1] | triple[1:]))))
+        yield from runs.rest()
 
     return run
 
 
-def sought_hashes(rows: pa.Table) -> dict[str, np.ndarray]:
+def sought_hashes(rows: pa.Table, hashed, seed: int) -> dict[str, np.ndarray]:
     """Hashes of the phrases (kind, lang, gram) that a pass looks for, by kind."""
-    out = {"pair": [], "triple": [], "ask": []}
-    for kind, lang, gram in zip(*(rows.column(c).to_pylist() for c in ("kind", "lang", "gram"))):
-        words = gram.encode().split(b" ")
-        out[kind].append(phrase_hashes(window_hashes(word_hashes(words), len(words)), word_hashes([lang.encode()]))[0])
-    return {kind: np.array(h, np.uint64) for kind, h in out.items()}
+    def of(x):
+        x = x.combine_chunks().dictionary_encode() if isinstance(x, pa.ChunkedArray) else x.dictionary_encode()
+        return hashed([w.encode() for w in x.dictionary.to_pylist()], seed)[x.indices.to_numpy()]
+
+    out = {}
+    for kind, m in (("pair", 2), ("triple", 3), ("ask", 3)):
+        some = rows.filter(pc.equal(rows.column("kind"), kind))
+        words = pc.split_pattern(some.column("gram").combine_chunks(), " ").flatten()
+        out[kind] = phrase_hashes([of(some.column("lang")), *of(words).reshape(-1, m).T]) if len(some) else np.empty(0, np.uint64)
+    return out
 
 
 # ------------------------------------------------------------ on the driver
@@ -220,12 +359,18 @@ def _scored(grams: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def _nth_best(rows: DataFrame, column: str, n: int, name: str) -> DataFrame:
-    """Per language the ``n``-th largest value of ``column`` (integers up to a
-    million, so a language has a bounded histogram); no row if there are fewer."""
+    """Per language the ``n``-th largest (``column``, a), as a struct; no row if
+    there are fewer.  ``column`` has integers up to a million, so a language has a
+    bounded histogram; the counts of one value of it are told apart after that."""
+    each = rows.groupBy("lang", column, "a").agg(F.count("*").alias("_n"))
     w = Window.partitionBy("lang").orderBy(F.desc(column))
-    return rows.groupBy("lang", column).agg(F.count("*").alias("_n")) \
+    level = each.groupBy("lang", column).agg(F.sum("_n").alias("_n")) \
         .withColumn("_sum", F.sum("_n").over(w)).where(F.col("_sum") >= n) \
-        .groupBy("lang").agg(F.max(column).alias(name))
+        .groupBy("lang").agg(F.max(F.struct(column, F.expr(f"{n} - _sum + _n").alias("_left"))).alias("_level"))
+    w = Window.partitionBy("lang").orderBy(F.desc("a"))
+    return each.join(level, "lang").where(F.col(column) == F.col(f"_level.{column}")) \
+        .withColumn("_sum", F.sum("_n").over(w)).where(F.col("_sum") >= F.col("_level._left")) \
+        .groupBy("lang").agg(F.max(F.struct(F.col(column).alias("score"), "a")).alias(name))
 
 
 def _with_longest(nodes: DataFrame, counted: DataFrame | None) -> DataFrame:
@@ -239,28 +384,57 @@ def _with_longest(nodes: DataFrame, counted: DataFrame | None) -> DataFrame:
         .drop("_f")
 
 
-def collocations(docs: DataFrame, top: int = TOP, min_count: int = MIN_COUNT, limit: int = LIMIT) -> DataFrame:
+def collocations(docs: DataFrame, top: int = TOP, min_count: int = MIN_COUNT, limit: int = LIMIT,
+                 hashed=seeded_hashes) -> DataFrame:
     """The ``top`` phrases of each language: lang, rank, phrase, a, l, r, n, score."""
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
+    # enough parts that the tasks that sum them get about equally many
+    bits = (8 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length()
+
+    def counted(slices, pass_):
+        with _small_batches(spark):
+            return write_stage(slices.mapInArrow(pass_, _RUNS).repartition("m", "part").sortWithinPartitions("m", "part")
+                               .mapInArrow(_sums(min_count), _SUMS), "phrase_sums")
+
+    for seed in itertools.count():
+        slices = write_stage(texts.mapInArrow(_tokenised(hashed, seed), _TOKENS), "phrase_tokens")
+        short = counted(slices, _words_and_pairs(bits))
+        if short.where("m < 0").isEmpty():
+            break
+        drop_stage(slices)
+        drop_stage(short)
+    langs = short.where("m = 0").select(F.expr("key[0] as lang_key"), F.expr("cast(name as string) as lang"), F.col("f").alias("n"))
+    words = write_stage(short.where("m = 1").select(F.expr("key[0] as lang_key"), F.expr("key[1] as word_key"),
+                                                    F.expr("cast(name as string) as word"), "f")
+                        .join(langs.drop("n"), "lang_key"), "phrase_words")
+
+    def named(sums):
+        """Phrases in place of keys; each word of a counted phrase is counted too."""
+        each = sums.select("key", "m", "f", F.expr("key[0] as lang_key"), F.posexplode(F.expr("slice(key, 2, m)")).alias("at", "word_key"))
+        return each.join(words.drop("f"), ["lang_key", "word_key"]).groupBy("key", "m", "f") \
+            .agg(F.first("lang").alias("lang"), F.sort_array(F.collect_list(F.struct("at", "word"))).alias("found")) \
+            .select("lang", F.expr("array_join(transform(found, x -> x.word), ' ') as gram"), "m", "f")
+
+    base = write_stage(words.select("lang", F.col("word").alias("gram"), F.lit(1).alias("m"), "f")
+                       .unionByName(named(short.where("m = 2"))), "phrase_base")
+
+    def extended(sought):
+        shared = spark.sparkContext.broadcast(sought_hashes(sought.toArrow(), hashed, seed))
+        sums = counted(slices.select(_CODES), _extensions(shared, bits))
+        shared.destroy()
+        return named(sums)
 
-    slices = write_stage(texts.mapInArrow(_tokenised, _TOKENS), "phrase_tokens")
-
-    def counted(pass_):
-        return slices.mapInArrow(pass_, _COUNTS).groupBy("lang", "gram", "m").agg(F.sum("f").alias("f")) \
-            .where((F.col("f") >= min_count) | (F.col("m") == 0))
-
-    with _small_batches(spark):
-        return _grown(spark, slices, counted, top, limit)
+    return _grown(base, langs.select("lang", "n"), extended, top, limit, lambda: drop_stage(slices))
 
 
 @contextlib.contextmanager
 def _small_batches(spark):
     """Rows that hold a slice each reach the tasks a few at a time."""
-    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
-    before = {name: spark.conf.get(name) for name in names}
-    for name in names:
-        spark.conf.set(name, str(_SLICES_PER_BATCH))
+    small = {"spark.sql.execution.arrow.maxBytesPerBatch": _BATCH_BYTES, "spark.sql.parquet.columnarReaderBatchSize": _SLICES_PER_BATCH}
+    before = {name: spark.conf.get(name) for name in small}
+    for name, value in small.items():
+        spark.conf.set(name, str(value))
     try:
         yield
     finally:
@@ -268,23 +442,22 @@ def _small_batches(spark):
             spark.conf.set(name, value)
 
 
-def _grown(spark, slices: DataFrame, counted, top: int, limit: int) -> DataFrame:
-    base = write_stage(counted(_words_and_pairs), "phrase_base")
-    short = base.where("m > 0")
-    nodes = write_stage(_scored(base.where("m = 2").withColumnRenamed("f", "a"), short)
+def _grown(base: DataFrame, n_words: DataFrame, extended, top: int, limit: int, ended) -> DataFrame:
+    nodes = write_stage(_scored(base.where("m = 2").withColumnRenamed("f", "a"), base)
                         .withColumn("expanded", F.lit(False)), "phrase_nodes")
+    least = F.struct(F.lit(0).cast("long").alias("score"), F.lit(0).cast("long").alias("a"))
     longer, size = None, 2 * top
     for rounds in itertools.count():
         state = _with_longest(nodes, longer)
         settled = state.where(F.col("cut").isNotNull() & ~F.col("dropped") & (F.col("expanded") | (F.col("m") == MAX_WORDS)))
         tau = _nth_best(settled.withColumn("score", F.col("cut.part_score")), "score", top, "tau")
-        state = write_stage(state.join(tau, "lang", "left").withColumn("tau", F.coalesce("tau", F.lit(0))), "phrase_state")
-        live = state.where(F.col("bound") >= F.col("tau"))
-        frontier = live.where(~F.col("expanded") & (F.col("m") < MAX_WORDS))
+        state = write_stage(state.join(tau, "lang", "left").withColumn("tau", F.coalesce("tau", least))
+                            .where(F.struct("bound", "a") >= F.col("tau")), "phrase_state")
+        frontier = state.where(~F.col("expanded") & (F.col("m") < MAX_WORDS))
         reach = _nth_best(frontier, "bound", size, "reach")
-        chosen = frontier.join(reach, "lang", "left").where(F.col("bound") >= F.coalesce("reach", F.lit(0))) \
+        chosen = frontier.join(reach, "lang", "left").where(F.struct("bound", "a") >= F.coalesce("reach", least)) \
             .select("lang", "gram", F.when(F.col("m") == 2, "pair").otherwise("triple").alias("kind"))
-        ask = live.where(F.col("cut").isNull()).select("lang", F.explode(F.array(
+        ask = state.where(F.col("cut").isNull()).select("lang", F.explode(F.array(
             F.expr("substring_index(gram, ' ', 3)"), F.expr("substring_index(gram, ' ', -3)"))).alias("gram"),
             F.lit("ask").alias("kind")).distinct()
         todo = write_stage(chosen.unionByName(ask), "phrase_todo")
@@ -294,29 +467,25 @@ def _grown(spark, slices: DataFrame, counted, top: int, limit: int) -> DataFrame
         if n > limit:
             part = F.pmod(F.xxhash64("lang", "gram", F.lit(rounds)), F.lit(-(-n // limit)))  # dealt anew each round
             todo = todo.where(part == 0)
-        shared = spark.sparkContext.broadcast(sought_hashes(todo.select("kind", "lang", "gram").toArrow()))
-        more = counted(_extensions(shared))
+        more = extended(todo.select("kind", "lang", "gram"))
         if longer is not None:
             more = more.unionByName(longer).distinct()
         longer = write_stage(more, "phrase_longer")
-        shared.destroy()
         done = todo.where("kind <> 'ask'").select("lang", "gram", F.lit(True).alias("_now"))
         keep = state.drop("dropped", "tau").where(F.col("cut").isNotNull())
         fresh = longer.withColumnRenamed("f", "a").join(keep.select("lang", "gram"), ["lang", "gram"], "left_anti")
         nodes = write_stage(
-            keep.unionByName(_scored(fresh, short.unionByName(longer)).withColumn("expanded", F.lit(False)))
+            keep.unionByName(_scored(fresh, base.unionByName(longer)).withColumn("expanded", F.lit(False)))
             .join(done, ["lang", "gram"], "left")
             .withColumn("expanded", F.col("expanded") | F.coalesce("_now", F.lit(False))).drop("_now"), "phrase_nodes")
         drop_stage(state)
         size = min(4 * size, 1 << 40)
-    drop_stage(slices)
+    ended()
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    best = state.where((F.col("bound") >= F.col("tau")) & F.col("cut").isNotNull() & ~F.col("dropped")
-                       & (F.col("cut.part_score") >= F.col("tau"))) \
+    best = state.where(F.col("cut").isNotNull() & ~F.col("dropped") & (F.struct("cut.part_score", "a") >= F.col("tau"))) \
         .select("lang", F.col("gram").alias("phrase"), "a", "cut.l", "cut.r", F.col("cut.part_score").alias("score"))
     for keys in (["lang", F.pmod(F.xxhash64("phrase"), F.lit(64))], ["lang"]):  # ties of any number stay spread
         best = best.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))) \
             .where(F.col("rank") <= top)
-    n_words = base.where("m = 0").select("lang", F.col("f").alias("n"))
     return best.join(n_words, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r",
                                              "n", "score")
